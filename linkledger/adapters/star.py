@@ -89,7 +89,7 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def workspaces_with_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = workspaces(spark, sf_dir).withColumn("g", F.floor(F.col("custkey") / 12 / 15))
+    ws = workspaces(spark, sf_dir).withColumn("g", F.floor(F.col("custkey") / 180))
     return ws.join(_users(spark, sf_dir), "g", "left").drop("g")
 
 
@@ -425,7 +425,7 @@ def activity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as landed pages of up to 500, JSON text per page."""
     e = activity_events(spark, sf_dir)
     entity = F.struct(*[c for c in e.columns if c != "event_id"])
-    page = F.floor(F.col("event_id") / 500)
+    page = F.floor(F.monotonically_increasing_id() / 500)
     pages = e.groupBy(page.alias("page")).agg(F.collect_list(entity).alias("activityEventEntities"))
     return pages.select(F.to_json(F.struct(
         "activityEventEntities", F.when(F.col("page") % 2 == 0, _text("t", F.col("page"))).alias("continuationToken")
@@ -444,13 +444,14 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stored state -----------------------------------------------------------------------------
 
 def stored_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored fingerprints' scan times: spread over two days, some unreadable or missing."""
+    """Scan times stored for the workspaces seen before: spread over two days, some
+    unreadable or missing."""
     k = F.col("c_custkey")
     at = as_of() - F.make_dt_interval(hours=(k % 48).cast("int"))
     spelled = F.when(k % 2 == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.0000000'Z'")).otherwise(
         F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     )
-    return table(spark, sf_dir, "customer").filter(k % 3 != 2).select(
+    return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 2500).select(
         _text("ws-", k).alias("workspace_id"),
         F.when(k % 29 == 0, F.lit("not-a-time")).when(k % 31 != 0, spelled).alias("last_scan_time"),
     )

@@ -175,13 +175,17 @@ def flatten_payloads(
     payloads: DataFrame,
     sidecar: DataFrame | None = None,
     kinds: tuple[str, ...] | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Payloads to the 21-column connection table, duplicates included.
 
     ``sidecar`` replaces the payload's own workspace metadata. ``kinds`` keeps only items
-    of these lower-case types, before their references are exploded.
+    of these lower-case types and ``only`` only workspaces with these ``workspace_id``,
+    both before the next level is exploded.
     """
     workspaces = explode_workspaces(payloads)
+    if only is not None:
+        workspaces = workspaces.join(only.select("workspace_id"), "workspace_id", "left_semi")
     if sidecar is not None:
         workspaces = _with_sidecar(workspaces, sidecar)
     items = explode_items(workspaces)

@@ -56,6 +56,12 @@ def merge_all(parts: list[DataFrame], keep: str = "last") -> DataFrame:
     return _survivors(tagged, ["_rank"])
 
 
+def latest(rows: DataFrame, sequence: str) -> DataFrame:
+    """One row per key, from the highest ``sequence`` it occurs with."""
+    ranked = normalise(rows).withColumn("_rank", -F.col(sequence)).drop(sequence)
+    return _survivors(ranked, ["_rank"])
+
+
 def replace_scanned(existing: DataFrame, incoming: DataFrame, scanned: DataFrame) -> DataFrame:
     """Like :func:`merge`, but connections gone from the scanned workspaces are removed.
 
