@@ -107,11 +107,7 @@ def payload_rejects(spark, sf):
 
 def payload_root_normalise(spark, sf):
     """Documents by root shape and the usable payloads they hold."""
-    docs = star.documents(spark, sf, broken=True)
-    per_doc = P.parse_documents(docs).select(
-        "path", "is_list", F.size(F.filter("roots", lambda r: r.isNotNull())).alias("n")
-    )
-    return per_doc.select("path", "is_list", F.greatest(F.coalesce("n", F.lit(0)), F.lit(0)).alias("payloads"))
+    return P.payloads_per_document(star.documents(spark, sf, broken=True))
 
 
 def workspace_source(spark, sf):
@@ -136,7 +132,7 @@ def workspace_list_normalise(spark, sf):
 def modified_since(spark, sf):
     """Workspaces with an item dated at or after T; the test reaches the parquet scan."""
     orders = star.table(spark, sf, "orders").select("o_custkey", "o_orderdate")
-    recent = W.modified_since(orders, F.lit("2001-06-01").cast("timestamp"), "o_orderdate")
+    recent = W.modified_since(orders, star.stamp("2001-06-01"), "o_orderdate")
     return recent.groupBy(F.concat(F.lit("ws-"), F.col("o_custkey").cast("string")).alias("workspace_id")).agg(
         F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("modified")
     )
@@ -210,9 +206,8 @@ def cloud_flag(spark, sf):
 
 
 def build_target(spark, sf):
-    rows = star.connections(spark, sf).select("server", "database", "endpoint")
-    target = X.build_target(F.col("server"), F.col("database"), F.col("endpoint"))
-    return rows.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("n"))
+    rows = star.connections(spark, sf).selectExpr(f"{X.build_target('server', 'database', 'endpoint')} AS target")
+    return rows.groupBy("target").agg(F.expr("count(1) AS n"))
 
 
 def workspace_sidecar(spark, sf):
@@ -221,15 +216,14 @@ def workspace_sidecar(spark, sf):
 
 def workspace_owners_list(spark, sf):
     ws = star.workspaces_with_users(spark, sf)
-    return ws.select(F.col("id").alias("workspace_id"), SC.owners(F.col("users")).alias("workspace_users"))
+    return ws.selectExpr("id AS workspace_id", f"{SC.owners('users')} AS workspace_users")
 
 
 def capacity_metadata(spark, sf):
-    ws = star.workspaces(spark, sf)
-    label = SC.capacity_label(F.col("capacityId"), F.col("capacityName"), F.col("isOnDedicatedCapacity"))
-    return ws.select(
-        F.col("id").alias("workspace_id"), F.col("capacityId").alias("capacity_id"), label.alias("capacity_name"),
-        F.col("isOnDedicatedCapacity").alias("is_dedicated_capacity"),
+    label = SC.capacity_label("capacityId", "capacityName", "isOnDedicatedCapacity")
+    return star.workspaces(spark, sf).selectExpr(
+        "id AS workspace_id", "capacityId AS capacity_id", f"{label} AS capacity_name",
+        "isOnDedicatedCapacity AS is_dedicated_capacity",
     )
 
 

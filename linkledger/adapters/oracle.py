@@ -291,7 +291,7 @@ ORACLE: dict[str, str] = {
         SELECT 'cut-scan-' || doc || '.json' AS path, CAST(NULL AS INTEGER) AS position, 'invalid_json' AS reason,
                CAST(1 AS BIGINT) AS n FROM docs WHERE doc % 7 = 0
         UNION ALL
-        SELECT 'scan-' || doc || '.json', 1, 'element_not_object', 1 FROM docs WHERE doc % 4 = 3
+        SELECT 'scan-' || doc || '.json', 1, 'element_not_object', 1 FROM docs WHERE doc % 8 = 7
         """),
     "payload_root_normalise": _with(_DOCS, select="""
         SELECT 'scan-' || doc || '.json' AS path, doc % 2 = 1 AS is_list, 1 AS payloads FROM docs

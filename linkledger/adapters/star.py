@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
@@ -34,16 +35,26 @@ CONNECTORS = [
 ]
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the test tables; its schema is read from the file once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
-def _text(prefix: str, c: Column, suffix: str = "") -> Column:
-    return F.concat(F.lit(prefix), c.cast("string"), F.lit(suffix))
+def stamp(text: str) -> Column:
+    """A time of the tables' own type, which has no zone; comparing it needs no cast of the
+    column, so it reaches the scan."""
+    return F.lit(text).cast("timestamp_ntz")
 
 
 # --- workspaces -------------------------------------------------------------------------
@@ -51,76 +62,66 @@ def _text(prefix: str, c: Column, suffix: str = "") -> Column:
 def workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workspace list: ``id, name, type, capacityId, capacityName, isOnDedicatedCapacity``
     and ``modified``, with the customer key kept for joins."""
-    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    capacity = F.when(nation % 5 != 0, F.concat(F.lit("cap-"), F.lpad(nation.cast("string"), 8, "0")))
-    suffix = F.when(key % 10 == 3, F.lit(" Test")).when(key % 10 == 7, F.lit(" Dev")).otherwise(F.lit(""))
-    type_ = F.when(key % 17 == 0, F.lit(None)).when(
-        F.col("c_mktsegment") == "HOUSEHOLD", F.lit("PersonalGroup")
-    ).otherwise(F.lit("Workspace"))
-    return c.join(n, nation == F.col("n_nationkey"), "left").select(
-        key.alias("custkey"),
-        _text("ws-", key).alias("id"),
-        F.concat("c_name", suffix).alias("name"),
-        type_.alias("type"),
-        capacity.alias("capacityId"),
-        F.when(key % 2 == 0, F.col("n_name")).alias("capacityName"),
-        ((nation % 5 != 0) & (nation % 7 != 1)).alias("isOnDedicatedCapacity"),
-        (as_of() - F.make_dt_interval(hours=(key % 97).cast("int"))).alias("modified"),
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    return c.join(n, "c_nationkey", "left").selectExpr(
+        "c_custkey AS custkey",
+        "concat('ws-', c_custkey) AS id",
+        "concat(c_name, CASE c_custkey % 10 WHEN 3 THEN ' Test' WHEN 7 THEN ' Dev' ELSE '' END) AS name",
+        "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_mktsegment = 'HOUSEHOLD' THEN 'PersonalGroup' "
+        "ELSE 'Workspace' END AS type",
+        "CASE WHEN c_nationkey % 5 <> 0 THEN concat('cap-', lpad(c_nationkey, 8, '0')) END AS capacityId",
+        "CASE WHEN c_custkey % 2 = 0 THEN n_name END AS capacityName",
+        "(c_nationkey % 5 <> 0 AND c_nationkey % 7 <> 1) AS isOnDedicatedCapacity",
+        f"TIMESTAMP '{AS_OF}' - make_dt_interval(0, CAST(c_custkey % 97 AS int)) AS modified",
     )
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve users per group of 180 workspaces, in key order."""
-    s = F.col("s_suppkey")
-    right = F.when(s % 3 == 0, F.lit("Admin")).when(s % 3 == 1, F.lit("Member")).otherwise(F.lit("Viewer"))
-    user = F.struct(
-        F.when(s % 7 != 0, _text("user", s, "@example.org")).alias("emailAddress"),
-        _text("id-", s).alias("identifier"),
-        F.when(s % 11 != 0, right).alias("workspaceUserAccessRight"),
-        F.when(s % 11 == 0, right).alias("groupUserAccessRight"),
+    right = "CASE s_suppkey % 3 WHEN 0 THEN 'Admin' WHEN 1 THEN 'Member' ELSE 'Viewer' END"
+    user = (
+        "named_struct('emailAddress', CASE WHEN s_suppkey % 7 <> 0 THEN concat('user', s_suppkey, '@example.org') END, "
+        "'identifier', concat('id-', s_suppkey), "
+        f"'workspaceUserAccessRight', CASE WHEN s_suppkey % 11 <> 0 THEN {right} END, "
+        f"'groupUserAccessRight', CASE WHEN s_suppkey % 11 = 0 THEN {right} END)"
     )
     return (
         table(spark, sf_dir, "supplier")
-        .groupBy(F.floor(s / 12).alias("g"))
-        .agg(F.array_sort(F.collect_list(F.struct(s.alias("s"), user.alias("u")))).alias("l"))
-        .select("g", F.transform("l", lambda e: e["u"]).alias("users"))
+        .selectExpr("s_suppkey div 12 AS g", f"struct(s_suppkey AS s, {user} AS u) AS e")
+        .groupBy("g").agg(F.expr("array_sort(collect_list(e)) AS l"))
+        .selectExpr("g", "transform(l, e -> e.u) AS users")
     )
 
 
 def workspaces_with_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = workspaces(spark, sf_dir).withColumn("g", F.floor(F.col("custkey") / 180))
+    ws = workspaces(spark, sf_dir).withColumn("g", F.expr("custkey div 180"))
     return ws.join(_users(spark, sf_dir), "g", "left").drop("g")
 
 
+_LABEL = SC.capacity_label("capacityId", "capacityName", "isOnDedicatedCapacity")
+
+
 def workspace_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workspace columns of the connection row, as a scan's sidecar would give them.
 
     Some workspaces are left out of the sidecar, so their defaults show.
     """
-    ws = workspaces_with_users(spark, sf_dir)
-    present = F.col("custkey") % 13 != 5
-    dedicated = F.col("isOnDedicatedCapacity")
-    return ws.select(
-        "custkey",
-        F.col("id").alias("workspace_id"),
-        F.col("name").alias("workspace_name"),
-        X.kind_of(F.col("type")).alias("workspace_kind"),
-        F.when(present, SC.owners(F.col("users"))).alias("workspace_users"),
-        F.when(present, F.col("capacityId")).alias("capacity_id"),
-        F.when(present, SC.capacity_label(F.col("capacityId"), F.col("capacityName"), dedicated))
-        .otherwise(F.lit(V.SHARED_CAPACITY)).alias("capacity_name"),
-        (present & dedicated).alias("is_dedicated_capacity"),
+    present = "custkey % 13 <> 5"
+    return workspaces_with_users(spark, sf_dir).selectExpr(
+        "custkey", "id AS workspace_id", "name AS workspace_name", f"{X.kind_of('type')} AS workspace_kind",
+        f"CASE WHEN {present} THEN {SC.owners('users')} END AS workspace_users",
+        f"CASE WHEN {present} THEN capacityId END AS capacity_id",
+        f"CASE WHEN {present} THEN {_LABEL} ELSE '{V.SHARED_CAPACITY}' END AS capacity_name",
+        f"({present} AND isOnDedicatedCapacity) AS is_dedicated_capacity",
     )
 
 
 def workspace_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user-kept workspace table with some ids missing."""
-    return workspaces(spark, sf_dir).select(
-        F.when(F.col("custkey") % 23 != 0, F.col("id")).alias("workspace_id"),
-        F.col("name").alias("workspace_name"),
-        F.col("type").alias("workspace_type"),
-        F.col("capacityId").alias("capacity_id"),
+    return workspaces(spark, sf_dir).selectExpr(
+        "CASE WHEN custkey % 23 <> 0 THEN id END AS workspace_id", "name AS workspace_name",
+        "type AS workspace_type", "capacityId AS capacity_id",
     )
 
 
@@ -129,91 +130,68 @@ def workspace_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with raw payload fields; ``kind`` is the lower-case type, ``reads`` tells
     whether the kind has references at all."""
-    k, p = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)
     raw_type = (
-        F.when(p == "1", F.when(k % 4 == 1, F.lit("Dataset")).otherwise(F.lit("SemanticModel")))
-        .when(p == "2", F.lit("Dataflow"))
-        .when(p == "3", F.lit("Pipeline"))
-        .when(p == "4", F.when(F.col("o_orderstatus") == "F", F.lit("Lakehouse")).otherwise(F.lit("Notebook")))
-        .when(k % 6 != 5, F.lit("Report"))
+        "CASE left(o_orderpriority, 1) "
+        "WHEN '1' THEN CASE WHEN o_orderkey % 4 = 1 THEN 'Dataset' ELSE 'SemanticModel' END "
+        "WHEN '2' THEN 'Dataflow' WHEN '3' THEN 'Pipeline' "
+        "WHEN '4' THEN CASE WHEN o_orderstatus = 'F' THEN 'Lakehouse' ELSE 'Notebook' END "
+        "ELSE CASE WHEN o_orderkey % 6 <> 5 THEN 'Report' END END"
     )
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("custkey"),
-        k.alias("orderkey"),
-        F.col("o_orderdate").alias("item_date"),
-        _text("it-", k).alias("id"),
-        _text("item ", k).alias("name"),
-        raw_type.alias("type"),
-        X.lower_or_unknown(raw_type).alias("kind"),
-        (p != "5").alias("reads"),
-        F.when(k % 3 == 2, _text("u", k % 50)).when(k % 3 == 1, F.lit("")).alias("createdBy"),
-        _text("cfg", k % 20).alias("configuredBy"),
-        _text("m", k % 30).alias("modifiedBy"),
-        F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .alias("modifiedDateTime"),
-        F.when(k % 2 == 0, F.lit("2")).alias("generation"),
-        F.struct(F.when(k % 4 == 1, F.lit("1")).alias("generation")).alias("properties"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS custkey", "o_orderkey AS orderkey", "o_orderdate AS item_date",
+        "concat('it-', o_orderkey) AS id", "concat('item ', o_orderkey) AS name",
+        f"{raw_type} AS type", f"{X.lower_or_unknown(raw_type)} AS kind",
+        "left(o_orderpriority, 1) <> '5' AS reads",
+        "CASE o_orderkey % 3 WHEN 2 THEN concat('u', o_orderkey % 50) WHEN 1 THEN '' END AS createdBy",
+        "concat('cfg', o_orderkey % 20) AS configuredBy", "concat('m', o_orderkey % 30) AS modifiedBy",
+        "CASE WHEN o_orderstatus <> 'P' THEN date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END "
+        "AS modifiedDateTime",
+        "CASE WHEN o_orderkey % 2 = 0 THEN '2' END AS generation",
+        "named_struct('generation', CASE WHEN o_orderkey % 4 = 1 THEN '1' END) AS properties",
     )
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reference struct per line item, keyed by order."""
-    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    brand = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
-    connector = F.element_at(F.array(*[F.lit(c).cast("string") for c in CONNECTORS]), brand)
-    s, coarse, small = F.col("l_suppkey"), F.col("l_suppkey") % 10, F.col("p_size") % 5
-    server = (
-        F.when(s % 4 == 0, _text("srv", coarse, ".database.windows.net"))
-        .when(s % 4 == 1, _text("onelake", coarse, ".windows.net"))
-        .when(s % 4 == 2, _text("host", coarse, ".corp.local"))
-        .otherwise(F.lit(""))
-    )
-    host = F.when(s % 4 != 3, F.lit("ignored")).when(s % 8 == 3, _text("gw", coarse, ".snowflakecomputing.com"))
-    gateway = F.when(F.col("l_returnflag") == "A", F.lit("gw-1")).when(F.col("l_returnflag") == "R", F.lit(""))
-    domain = F.when(s % 6 == 5, F.lit(".azure.com/")).otherwise(F.lit(".example/"))
-    path_no = (F.col("l_partkey") % 5).cast("string")
-    url = F.when(F.col("l_linenumber") % 4 != 0, F.concat(_text("https://h", coarse), domain, path_no))
-    other = F.concat(F.lit("/p/"), path_no)
-    n = F.col("l_linenumber")
-    is_cloud = (
-        F.when(n % 3 == 1, F.when(F.col("l_linestatus") == "O", F.lit("true")).otherwise(F.lit("false")))
-        .when(n % 3 == 2, F.when(F.col("l_returnflag") == "R", F.lit("null")).otherwise(F.lit("true")))
+    names = ", ".join("NULL" if c is None else f"'{c}'" for c in CONNECTORS)
+    # The position in the scan tells copies of a row apart when a document is split.
+    line = table(spark, sf_dir, "lineitem").selectExpr("*", "monotonically_increasing_id() AS _at")
+    part = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS l_partkey", "p_size", "CAST(regexp_extract(p_brand, r'([0-9]+)$', 1) AS int) AS brand",
     )
-    gateway_json = F.parse_json(F.to_json(F.array(gateway)))
-    gateway_leaf = F.when(gateway.isNotNull(), F.variant_get(gateway_json, "$[0]", "variant"))
-    ref = F.struct(
-        gateway_leaf.alias("gatewayId"),
-        F.struct(
-            connector.alias("datasourceType"), server.alias("server"), host.alias("host"),
-            F.when(small != 0, _text("db", small)).alias("database"),
-            F.when(F.col("p_size") % 10 == 0, F.lit("legacy")).alias("db"),
-        ).alias("connectionDetails"),
-        connector.alias("type"),
-        _text("Provider", brand % 3).alias("provider"),
-        url.alias("url"), other.alias("path"), other.alias("endpoint"),
-        F.parse_json(is_cloud).alias("isCloud"),
-        F.when(n % 5 != 0, F.struct(
-            connector.alias("type"), url.alias("url"), other.alias("endpoint"), gateway_leaf.alias("gatewayId"),
-        )).alias("linkedService"),
+    fields = line.join(part, "l_partkey").selectExpr(
+        "l_orderkey AS orderkey", "l_shipdate AS ship_date", "l_linenumber AS line", "_at",
+        f"element_at(array({names}), brand) AS con", "concat('Provider', brand % 3) AS provider",
+        "CASE l_suppkey % 4 WHEN 0 THEN concat('srv', l_suppkey % 10, '.database.windows.net') "
+        "WHEN 1 THEN concat('onelake', l_suppkey % 10, '.windows.net') "
+        "WHEN 2 THEN concat('host', l_suppkey % 10, '.corp.local') ELSE '' END AS server",
+        "CASE WHEN l_suppkey % 4 <> 3 THEN 'ignored' "
+        "WHEN l_suppkey % 8 = 3 THEN concat('gw', l_suppkey % 10, '.snowflakecomputing.com') END AS host",
+        "CASE WHEN p_size % 5 <> 0 THEN concat('db', p_size % 5) END AS db1",
+        "CASE WHEN p_size % 10 = 0 THEN 'legacy' END AS db2",
+        "CASE WHEN l_linenumber % 4 <> 0 THEN concat('https://h', l_suppkey % 10, "
+        "CASE WHEN l_suppkey % 6 = 5 THEN '.azure.com/' ELSE '.example/' END, l_partkey % 5) END AS url",
+        "concat('/p/', l_partkey % 5) AS other",
+        "CASE l_returnflag WHEN 'A' THEN parse_json('\"gw-1\"') WHEN 'R' THEN parse_json('\"\"') END AS gateway",
+        "CASE WHEN l_linenumber % 3 = 1 THEN "
+        "CASE WHEN l_linestatus = 'O' THEN parse_json('true') ELSE parse_json('false') END WHEN l_linenumber % 3 = 2 THEN "
+        "CASE WHEN l_returnflag = 'R' THEN parse_json('null') ELSE parse_json('true') END END AS isCloud",
     )
-    # The position in the scan tells copies of a row apart when a document is split.
-    numbered = line.withColumn("_at", F.monotonically_increasing_id())
-    return numbered.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("orderkey"), F.col("l_shipdate").alias("ship_date"),
-        n.alias("line"), "_at", ref.cast(REFERENCE_DDL).alias("ref"),
+    return fields.selectExpr(
+        "orderkey", "ship_date", "line", "_at",
+        "named_struct('gatewayId', gateway, 'connectionDetails', named_struct('datasourceType', con, 'server', server, "
+        "'host', host, 'database', db1, 'db', db2), 'type', con, 'provider', provider, 'url', url, 'path', other, "
+        "'endpoint', other, 'isCloud', isCloud, 'linkedService', CASE WHEN line % 5 <> 0 THEN named_struct('type', con, "
+        "'url', url, 'endpoint', other, 'gatewayId', gateway) END) AS ref",
     )
 
 
-def _item_struct_columns() -> list[Column]:
-    """Item columns of the connection row, from raw item fields."""
-    dataflow = F.col("kind") == "dataflow"
-    return [
-        F.col("id").alias("item_id"), F.col("name").alias("item_name"), F.col("kind"),
-        X.first_filled(F.col("createdBy"), F.col("configuredBy")).alias("item_creator"),
-        F.col("modifiedBy").alias("item_modified_by"),
-        F.col("modifiedDateTime").alias("item_modified_date"),
-        F.when(dataflow, X.first_filled(F.col("generation"), F.col("properties.generation"))).alias("generation"),
-    ]
+# Item columns of the connection row, from raw item fields.
+_ITEM = [
+    "id AS item_id", "name AS item_name", "kind", f"{X.first_filled('createdBy', 'configuredBy')} AS item_creator",
+    "modifiedBy AS item_modified_by", "modifiedDateTime AS item_modified_date",
+    f"CASE WHEN {FL.DATAFLOW} THEN {X.first_filled('generation', 'properties.generation')} END AS generation",
+]
 
 
 def connections(
@@ -226,16 +204,16 @@ def connections(
     """
     def bounded(df: DataFrame, column: str) -> DataFrame:
         if since:
-            df = df.filter(F.col(column) >= F.lit(since).cast("timestamp"))
-        return df.filter(F.col(column) < F.lit(until).cast("timestamp")) if until else df
+            df = df.filter(F.col(column) >= stamp(since))
+        return df.filter(F.col(column) < stamp(until)) if until else df
 
     its = items(spark, sf_dir)
     if name_suffix:
         its = its.withColumn("name", F.concat("name", F.lit(name_suffix)))
     refs = bounded(references(spark, sf_dir), "ship_date").select("orderkey", "ref")
-    with_refs = its.filter("reads").join(refs, "orderkey").select("custkey", *_item_struct_columns(), "ref")
-    placeholders = bounded(its.filter("not reads"), "item_date").select(
-        "custkey", *_item_struct_columns(), FL.empty_reference().cast(REFERENCE_DDL).alias("ref")
+    with_refs = its.filter("reads").join(refs, "orderkey").selectExpr("custkey", *_ITEM, "ref")
+    placeholders = bounded(its.filter("NOT reads"), "item_date").selectExpr(
+        "custkey", *_ITEM, f"{FL.EMPTY_REFERENCE} AS ref"
     )
     rows = with_refs.unionByName(placeholders).join(workspace_meta(spark, sf_dir), "custkey")
     return FL.connection_rows(rows)
@@ -245,120 +223,95 @@ def connections(
 
 def _document_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fragments per document, from the number of rows that would go into it."""
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("orderkey")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    sized = items(spark, sf_dir).select("custkey", "orderkey").join(lines, "orderkey", "left")
-    per_doc = sized.groupBy(F.floor(F.col("custkey") / 100).alias("doc")).agg(
-        F.sum(F.greatest(F.coalesce("n", F.lit(0)), F.lit(1))).alias("rows")
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.expr("count(1) AS n"))
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS orderkey", "o_custkey div 100 AS doc")
+    per_doc = orders.join(lines, "orderkey", "left").groupBy("doc").agg(
+        F.expr("sum(greatest(coalesce(n, 0), 1)) AS rows")
     )
-    return per_doc.select("doc", F.ceil(F.col("rows") / ROWS_PER_DOCUMENT).cast("int").alias("parts"))
-
-
-def _arrays_by_kind(kind: Column, refs: Column) -> list[Column]:
-    """The item's reference arrays as the payload spells them."""
-    is_first = F.col("orderkey") % 3 != 0
-    dataflow, reference = kind == "dataflow", kind.isin(*V.REFERENCE_TYPES)
-    plain = F.transform(refs, lambda r: r["ref"])
-
-    def only(odd: int) -> Column:
-        return F.transform(F.filter(refs, lambda r: r["line"] % 2 == odd), lambda r: r["ref"])
-
-    empty = F.array().cast(f"array<{REFERENCE_DDL}>")
-    return [
-        F.when(kind.isin(*V.SEMANTIC_TYPES), plain).alias("datasources"),
-        F.when(dataflow, F.when(is_first, plain).otherwise(empty)).alias("sources"),
-        F.when(dataflow & ~is_first, plain).alias("entities"),
-        F.when(kind.isin(*V.ACTIVITY_TYPES), plain).alias("activities"),
-        F.when(reference, only(1)).alias("connections"),
-        F.when(reference, only(0)).alias("lineage"),
-    ]
-
-
-def _slim(kind: Column, ref: Column) -> Column:
-    """Keep only the reference fields the kind spells out, so the text stays small."""
-    semantic, dataflow = kind.isin(*V.SEMANTIC_TYPES), kind == "dataflow"
-    activity, reference = kind.isin(*V.ACTIVITY_TYPES), kind.isin(*V.REFERENCE_TYPES)
-    keep = {
-        "gatewayId": semantic, "connectionDetails": semantic, "type": dataflow | activity | reference,
-        "provider": dataflow, "url": dataflow | reference, "path": dataflow, "endpoint": reference,
-        "isCloud": reference, "linkedService": activity,
-    }
-    return F.struct(*[F.when(cond, ref[name]).alias(name) for name, cond in keep.items()])
+    return per_doc.selectExpr("doc", f"CAST(ceil(rows / {ROWS_PER_DOCUMENT}) AS int) AS parts")
+
+
+_NO_REF = f"CAST(NULL AS struct<line:int,ref:{REFERENCE_DDL}>)"
+
+# Only the reference fields a kind spells out, so the text stays small.
+_SLIM = "named_struct(" + ", ".join(
+    f"'{name}', CASE WHEN {rule} THEN ref.{name} END" for name, rule in {
+        "gatewayId": FL.SEMANTIC, "connectionDetails": FL.SEMANTIC,
+        "type": f"({FL.DATAFLOW} OR {FL.ACTIVITY} OR {FL.REFERENCE})", "provider": FL.DATAFLOW,
+        "url": f"({FL.DATAFLOW} OR {FL.REFERENCE})", "path": FL.DATAFLOW, "endpoint": FL.REFERENCE,
+        "isCloud": FL.REFERENCE, "linkedService": FL.ACTIVITY,
+    }.items()
+) + ")"
+
+# The item's reference arrays as the payload spells them, from the sorted-out ``refs``.
+_PLAIN = "transform(refs, r -> r.ref)"
+_ARRAYS = [
+    f"CASE WHEN {FL.SEMANTIC} THEN {_PLAIN} END AS datasources",
+    f"CASE WHEN {FL.DATAFLOW} THEN CASE WHEN orderkey % 3 <> 0 THEN {_PLAIN} "
+    f"ELSE CAST(array() AS array<{REFERENCE_DDL}>) END END AS sources",
+    f"CASE WHEN {FL.DATAFLOW} AND orderkey % 3 = 0 THEN {_PLAIN} END AS entities",
+    f"CASE WHEN {FL.ACTIVITY} THEN {_PLAIN} END AS activities",
+    f"CASE WHEN {FL.REFERENCE} THEN transform(filter(refs, r -> r.line % 2 = 1), r -> r.ref) END AS connections",
+    f"CASE WHEN {FL.REFERENCE} THEN transform(filter(refs, r -> r.line % 2 = 0), r -> r.ref) END AS lineage",
+]
+_ITEM_FIELDS = [
+    "id", "name", "type", "createdBy", "configuredBy", "modifiedBy", "modifiedDateTime", "generation", "properties",
+]
+_SIDE = (
+    "named_struct('key', head.id, 'value', named_struct('name', head.name, "
+    f"'kind', {X.kind_of('head.type')}, 'users', {SC.owners('head.users')}, 'capacity_id', head.capacityId, "
+    f"'capacity_name', {SC.capacity_label('head.capacityId', 'head.capacityName', 'head.isOnDedicatedCapacity')}, "
+    "'is_dedicated_capacity', head.isOnDedicatedCapacity))"
+)
 
 
 def payload_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc, part, payload)``: about a hundred workspaces each, with their sidecar."""
     parts = _document_parts(spark, sf_dir)
-    its = items(spark, sf_dir).withColumn("doc", F.floor(F.col("custkey") / 100)).join(parts, "doc")
-    item = F.struct(*[c for c in (
-        "orderkey", "id", "name", "type", "kind", "createdBy", "configuredBy", "modifiedBy",
-        "modifiedDateTime", "generation", "properties",
-    )])
+    item = f"struct(orderkey, kind, {', '.join(_ITEM_FIELDS)})"
+    its = items(spark, sf_dir).selectExpr(
+        "custkey div 100 AS doc", "custkey", "orderkey", "kind", "reads", f"{item} AS item"
+    ).join(parts, "doc")
     refs = references(spark, sf_dir).drop("ship_date")
-    no_ref = F.lit(None).cast(f"struct<line:int,ref:{REFERENCE_DDL}>")
-    joined = its.filter("reads").join(refs, "orderkey")
-    lines = joined.select(
-        "doc", F.pmod(F.xxhash64("_at"), "parts").cast("int").alias("part"), "custkey", item.alias("item"),
-        F.struct("line", _slim(F.col("kind"), F.col("ref")).alias("ref")).cast(no_ref_type()).alias("r"),
+    lines = its.filter("reads").join(refs, "orderkey").selectExpr(
+        "doc", "CAST(pmod(xxhash64(_at), parts) AS int) AS part", "custkey", "item",
+        f"named_struct('line', line, 'ref', {_SLIM}) AS r",
     )
     # Every item once without a reference, so that items lacking any still appear.
-    bare = its.select(
-        "doc", F.pmod(F.xxhash64("orderkey"), "parts").cast("int").alias("part"), "custkey", item.alias("item"),
-        no_ref.alias("r"),
+    bare = its.selectExpr(
+        "doc", "CAST(pmod(xxhash64(orderkey), parts) AS int) AS part", "custkey", "item", f"{_NO_REF} AS r"
     )
-    ws = workspaces_with_users(spark, sf_dir).withColumn("doc", F.floor(F.col("custkey") / 100)).join(
-        parts, "doc", "left"
-    )
-    head = F.struct("id", "name", "type", "capacityId", "capacityName", "isOnDedicatedCapacity", "users")
-    heads = ws.select(
-        "doc", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"), "custkey",
-        F.lit(None).cast(lines.schema["item"].dataType).alias("item"), no_ref.alias("r"), head.alias("head"),
+    heads = (
+        workspaces_with_users(spark, sf_dir).withColumn("doc", F.expr("custkey div 100")).join(parts, "doc", "left")
+        .selectExpr(
+            "doc", "explode(sequence(0, coalesce(parts, 1) - 1)) AS part", "custkey", f"{_NO_REF} AS r",
+            "struct(id, name, type, capacityId, capacityName, isOnDedicatedCapacity, users) AS head",
+        )
     )
     rows = lines.unionByName(bare).unionByName(heads, allowMissingColumns=True)
-    # One shuffle serves all three levels of nesting.
-    placed = rows.repartition("doc", "part")
-    per_item = placed.groupBy("doc", "part", "custkey", "item").agg(
-        F.collect_list("r").alias("refs"), F.first("head", ignorenulls=True).alias("head")
+    # One shuffle serves all three levels of nesting. The number is given because small
+    # documents would otherwise be packed into few tasks, although writing JSON is the cost.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per_item = rows.repartition(tasks, "doc", "part").groupBy("doc", "part", "custkey", "item").agg(
+        F.expr("collect_list(r) AS refs"), F.expr("first(head, true) AS head")
     )
-    shaped = per_item.select(
-        "doc", "part", "custkey", "head",
-        F.when(F.col("item").isNotNull(), F.struct("item.*", "refs")).alias("i"),
-    ).withColumn("orderkey", F.col("i.orderkey"))
-    built = shaped.select(
+    built = per_item.selectExpr("doc", "part", "custkey", "head", "item", "refs", "item.kind", "item.orderkey").selectExpr(
         "doc", "part", "custkey", "head",
-        F.when(F.col("i").isNotNull(), F.struct(
-            *[F.col(f"i.{c}").alias(c) for c in (
-                "id", "name", "type", "createdBy", "configuredBy", "modifiedBy", "modifiedDateTime",
-                "generation", "properties",
-            )],
-            *_arrays_by_kind(F.col("i.kind"), F.col("i.refs")),
-        )).alias("item"),
+        f"CASE WHEN item IS NOT NULL THEN struct({', '.join(f'item.{c}' for c in _ITEM_FIELDS)}, "
+        f"{', '.join(_ARRAYS)}) END AS item",
     )
     per_ws = built.groupBy("doc", "part", "custkey").agg(
-        F.collect_list("item").alias("items"), F.first("head", ignorenulls=True).alias("head")
+        F.expr("collect_list(item) AS items"), F.expr("first(head, true) AS head")
     )
-    nested = per_ws.select(
+    nested = per_ws.selectExpr(
         "doc", "part",
-        F.struct("head.*", "items").alias("w"),
-        F.when(F.col("custkey") % 13 != 5, F.struct(F.col("head.id").alias("key"), F.struct(
-            F.col("head.name").alias("name"),
-            X.kind_of(F.col("head.type")).alias("kind"),
-            SC.owners(F.col("head.users")).alias("users"),
-            F.col("head.capacityId").alias("capacity_id"),
-            SC.capacity_label(
-                F.col("head.capacityId"), F.col("head.capacityName"), F.col("head.isOnDedicatedCapacity")
-            ).alias("capacity_name"),
-            F.col("head.isOnDedicatedCapacity").alias("is_dedicated_capacity"),
-        ).alias("value"))).alias("side"),
+        "struct(head.id, head.name, head.type, head.capacityId, head.capacityName, head.isOnDedicatedCapacity, "
+        "head.users, items) AS w",
+        f"CASE WHEN custkey % 13 <> 5 THEN {_SIDE} END AS side",
     )
-    return nested.groupBy("doc", "part").agg(
-        F.collect_list("w").alias("workspaces"), F.map_from_entries(F.collect_list("side")).alias("workspace_sidecar")
-    ).select("doc", "part", F.struct("workspaces", "workspace_sidecar").alias("payload"))
-
-
-def no_ref_type() -> str:
-    return f"struct<line:int,ref:{REFERENCE_DDL}>"
+    return nested.groupBy("doc", "part").agg(F.expr(
+        "struct(collect_list(w) AS workspaces, map_from_entries(collect_list(side)) AS workspace_sidecar) AS payload"
+    ))
 
 
 def documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
@@ -366,24 +319,19 @@ def documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFra
 
     ``broken`` adds a cut-off copy of some documents, which must be rejected.
     """
-    text = F.to_json("payload")
-    doc = F.col("doc")
-    rooted = (
-        F.when(doc % 4 == 1, F.concat(F.lit("["), text, F.lit("]")))
-        .when(doc % 4 == 3, F.concat(F.lit("["), text, F.lit(", 7]")))
-        .otherwise(text)
+    docs = payload_structs(spark, sf_dir).selectExpr(
+        "doc", "concat('scan-', doc, CASE WHEN part > 0 THEN concat('-', part) ELSE '' END, '.json') AS path",
+        "to_json(payload) AS text",
+    ).selectExpr(
+        "doc", "path",
+        "CASE WHEN doc % 8 = 7 THEN concat('[', text, ', 7]') WHEN doc % 2 = 1 THEN concat('[', text, ']') ELSE text END "
+        "AS text",
     )
-    name = F.concat(F.lit("scan-"), doc.cast("string"), F.when(F.col("part") > 0, _text("-", F.col("part"))).otherwise(F.lit("")), F.lit(".json"))
-    docs = payload_structs(spark, sf_dir).select("doc", name.alias("path"), rooted.alias("text"))
     if broken:
-        cut = F.array(
-            F.struct("path", "text"),
-            F.when(doc % 7 == 0, F.struct(
-                F.concat(F.lit("cut-"), F.col("path")).alias("path"),
-                F.expr("left(text, length(text) - 3)").alias("text"),
-            )),
+        docs = docs.selectExpr(
+            "inline(filter(array(struct(path, text), CASE WHEN doc % 7 = 0 THEN "
+            "struct(concat('cut-', path) AS path, left(text, length(text) - 3) AS text) END), d -> d IS NOT NULL))"
         )
-        docs = docs.select(F.explode(cut).alias("d")).filter(F.col("d").isNotNull()).select("d.*")
     return docs.select("path", "text")
 
 
@@ -391,53 +339,39 @@ def documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFra
 
 def activity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity events in the shape of the landed log."""
-    e = table(spark, sf_dir, "events")
-    kind = F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
-    activity = (
-        F.when(kind == "view", F.lit("ViewReport")).when(kind == "click", F.lit("GetDataset"))
-        .when(kind == "purchase", F.lit("ExecuteQueries")).when(kind == "error", F.lit("ExportReport"))
-        .otherwise(F.lit("CreateDataset"))
-    )
-    agent = (
-        F.when(k % 4 == 0, F.lit("Mozilla/5.0")).when(k % 4 == 1, F.lit(""))
-        .when(k % 4 == 3, F.lit("python-requests/2.31"))
-    )
-    u = F.col("user_id")
-    return e.select(
-        activity.alias("Activity"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("CreationTime"),
-        F.when(u % 19 != 0, _text("user", u)).alias("UserId"),
-        F.concat(F.lit("10.0."), (u % 7).cast("string"), F.lit("."), (k % 16).cast("string")).alias("ClientIP"),
-        agent.alias("UserAgent"),
-        F.when(u % 5 != 0, _text("ws-", u % 40)).alias("WorkspaceId"),
-        _text("Workspace ", u % 40).alias("WorkspaceName"),
-        F.when(kind.isin("click", "purchase"), _text("ds-", k)).alias("DatasetId"),
-        F.when(kind.isin("click", "purchase"), _text("Dataset ", k)).alias("DatasetName"),
-        F.when(kind.isin("view", "error"), _text("rp-", k)).alias("ReportId"),
-        F.when(kind.isin("view", "error"), _text("Report ", k)).alias("ReportName"),
-        F.when(kind == "error", F.lit(False)).when(kind == "view", F.lit(True)).alias("IsSuccess"),
-        F.col("event_id"),
+    e = table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS int) AS k")
+    return e.selectExpr(
+        "CASE event_type WHEN 'view' THEN 'ViewReport' WHEN 'click' THEN 'GetDataset' WHEN 'purchase' THEN "
+        "'ExecuteQueries' WHEN 'error' THEN 'ExportReport' ELSE 'CreateDataset' END AS Activity",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") AS CreationTime",
+        "CASE WHEN user_id % 19 <> 0 THEN concat('user', user_id) END AS UserId",
+        "concat('10.0.', user_id % 7, '.', k % 16) AS ClientIP",
+        "CASE k % 4 WHEN 0 THEN 'Mozilla/5.0' WHEN 1 THEN '' WHEN 3 THEN 'python-requests/2.31' END AS UserAgent",
+        "CASE WHEN user_id % 5 <> 0 THEN concat('ws-', user_id % 40) END AS WorkspaceId",
+        "concat('Workspace ', user_id % 40) AS WorkspaceName",
+        "CASE WHEN event_type IN ('click', 'purchase') THEN concat('ds-', k) END AS DatasetId",
+        "CASE WHEN event_type IN ('click', 'purchase') THEN concat('Dataset ', k) END AS DatasetName",
+        "CASE WHEN event_type IN ('view', 'error') THEN concat('rp-', k) END AS ReportId",
+        "CASE WHEN event_type IN ('view', 'error') THEN concat('Report ', k) END AS ReportName",
+        "CASE event_type WHEN 'error' THEN false WHEN 'view' THEN true END AS IsSuccess",
     )
 
 
 def activity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as landed pages of up to 500, JSON text per page."""
     e = activity_events(spark, sf_dir)
-    entity = F.struct(*[c for c in e.columns if c != "event_id"])
-    page = F.floor(F.monotonically_increasing_id() / 500)
-    pages = e.groupBy(page.alias("page")).agg(F.collect_list(entity).alias("activityEventEntities"))
-    return pages.select(F.to_json(F.struct(
-        "activityEventEntities", F.when(F.col("page") % 2 == 0, _text("t", F.col("page"))).alias("continuationToken")
-    )).alias("text"))
+    page = e.selectExpr("monotonically_increasing_id() div 500 AS page", f"struct({', '.join(e.columns)}) AS e")
+    return page.groupBy("page").agg(F.expr("collect_list(e) AS activityEventEntities")).selectExpr(
+        "to_json(struct(activityEventEntities, CASE WHEN page % 2 = 0 THEN concat('t', page) END AS continuationToken)) "
+        "AS text"
+    )
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log ``(ts, endpoint, status, day)``: errors stand for throttled calls."""
-    return table(spark, sf_dir, "events").select(
-        "ts", F.col("event_type").alias("endpoint"),
-        F.when(F.col("event_type") == "error", F.lit(429)).otherwise(F.lit(200)).alias("status"),
-        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(ts AS timestamp) AS ts", "event_type AS endpoint",
+        "CASE WHEN event_type = 'error' THEN 429 ELSE 200 END AS status", "date_format(ts, 'yyyy-MM-dd') AS day",
     )
 
 
@@ -446,12 +380,10 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan times stored for the workspaces seen before: spread over two days, some
     unreadable or missing."""
-    k = F.col("c_custkey")
-    at = as_of() - F.make_dt_interval(hours=(k % 48).cast("int"))
-    spelled = F.when(k % 2 == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.0000000'Z'")).otherwise(
-        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    )
-    return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 2500).select(
-        _text("ws-", k).alias("workspace_id"),
-        F.when(k % 29 == 0, F.lit("not-a-time")).when(k % 31 != 0, spelled).alias("last_scan_time"),
+    at = f"(TIMESTAMP '{AS_OF}' - make_dt_interval(0, CAST(c_custkey % 48 AS int)))"
+    return table(spark, sf_dir, "customer").filter("c_acctbal >= 2500").selectExpr(
+        "concat('ws-', c_custkey) AS workspace_id",
+        "CASE WHEN c_custkey % 29 = 0 THEN 'not-a-time' WHEN c_custkey % 31 = 0 THEN NULL "
+        f"WHEN c_custkey % 2 = 0 THEN date_format({at}, \"yyyy-MM-dd'T'HH:mm:ss.0000000'Z'\") "
+        f"ELSE date_format({at}, \"yyyy-MM-dd'T'HH:mm:ss'+00:00'\") END AS last_scan_time",
     )

@@ -1,92 +1,85 @@
-"""Small column expressions shared by the operators. All of them stay in the JVM."""
+"""Small SQL expressions shared by the operators.
 
-from __future__ import annotations
+Each function takes and returns SQL expression text, for ``selectExpr`` and ``F.expr``.
+A whole rule reaches the JVM as one string, which is both shorter to read and much faster
+to submit than the same rule built call by call. Everything is a built-in function.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from linkledger.functions import fixed_values as V
 
 
-def first_filled(*choices: Column) -> Column:
+def quoted(*values: str) -> str:
+    """SQL string literals, comma-separated."""
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+def first_filled(*choices: str) -> str:
     """First value that is neither null nor empty, else the last choice as it is."""
     *heads, last = choices
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in heads], last)
+    return "coalesce(" + ", ".join([f"nullif({c}, '')" for c in heads] + [last]) + ")"
 
 
-def lower_or_unknown(value: Column) -> Column:
+def lower_or_unknown(value: str) -> str:
     """Lower-case; only null becomes ``unknown``, an empty string stays empty."""
-    return F.coalesce(F.lower(value), F.lit(V.UNKNOWN))
+    return f"coalesce(lower({value}), '{V.UNKNOWN}')"
 
 
-def kind_of(type_: Column) -> Column:
+def kind_of(type_: str) -> str:
     """Lower-case workspace type; null and empty become ``unknown``."""
-    return F.coalesce(F.nullif(F.lower(type_), F.lit("")), F.lit(V.UNKNOWN))
+    return f"coalesce(nullif(lower({type_}), ''), '{V.UNKNOWN}')"
 
 
-def upper_first(lowered: Column) -> Column:
+def upper_first(lowered: str) -> str:
     """Upper-case the first letter of an already lower-case string, leave the rest."""
-    return F.concat(F.upper(F.substring(lowered, 1, 1)), F.substring(lowered, 2, 2147483647))
+    return f"concat(upper(left({lowered}, 1)), substring({lowered}, 2))"
 
 
-def is_filled(value: Column) -> Column:
-    return value.isNotNull() & (value != "")
+def is_filled(value: str) -> str:
+    return f"({value} IS NOT NULL AND {value} <> '')"
 
 
-def json_truth(value: Column, when_missing: bool) -> Column:
+def json_truth(value: str, when_missing: bool) -> str:
     """Truth of a JSON leaf: null, false, zero and empty are false, anything else is true."""
-    text = F.to_json(value)
-    empty = text.isin("null", "false", '""', "[]", "{}") | text.rlike(r"^-?0+(\.0*)?([eE][-+]?\d+)?$")
-    return F.when(value.isNull(), F.lit(when_missing)).otherwise(~empty)
+    false = r'^(null|false|""|\[\]|\{\}|-?0+(\.0*)?([eE][-+]?[0-9]+)?)$'
+    return f"CASE WHEN {value} IS NULL THEN {str(when_missing).lower()} ELSE NOT to_json({value}) RLIKE r'{false}' END"
 
 
-def build_target(server: Column, database: Column, endpoint: Column) -> Column:
+def build_target(server: str, database: str, endpoint: str) -> str:
     """``Server: s | Database: d | Endpoint: e`` without the empty parts; null if none is left."""
-    def part(label: str, value: Column) -> Column:
-        return F.when(is_filled(value), F.concat(F.lit(f"{label}: "), value))
-
-    return F.nullif(
-        F.concat_ws(" | ", part("Server", server), part("Database", database), part("Endpoint", endpoint)),
-        F.lit(""),
-    )
+    parts = [
+        f"concat('{label}: ', nullif({value}, ''))"
+        for label, value in (("Server", server), ("Database", database), ("Endpoint", endpoint))
+    ]
+    return f"nullif(concat_ws(' | ', {', '.join(parts)}), '')"
 
 
-def cloud_flag(scope: Column, connector: Column) -> Column:
-    return (scope == V.SCOPE_CLOUD) | connector.isin(*V.CLOUD_CONNECTORS)
+def cloud_flag(scope: str, connector: str) -> str:
+    return f"({scope} = '{V.SCOPE_CLOUD}' OR {connector} IN ({quoted(*V.CLOUD_CONNECTORS)}))"
 
 
-def contains_any(value: Column, parts: tuple[str, ...]) -> Column:
+def contains_any(value: str, parts: tuple[str, ...]) -> str:
     """True if any of the literal parts occurs in the value."""
-    hit = value.contains(parts[0])
-    for p in parts[1:]:
-        hit = hit | value.contains(p)
-    return hit
+    return "(" + " OR ".join(f"contains({value}, {quoted(p)})" for p in parts) + ")"
 
 
-def json_string(value: Column) -> Column:
+def json_string(value: str) -> str:
     """JSON text of a string with every character outside printable ASCII escaped.
 
     Strings of plain characters, nearly all of them, are only quoted. The rest are
     escaped character by character; beyond the basic plane that gives a surrogate pair.
     """
-    def escape(ch: Column) -> Column:
-        units = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
-        unicode_ = F.concat(
-            F.lit("\\u"), F.substring(units, 1, 4),
-            F.when(F.length(units) > 4, F.concat(F.lit("\\u"), F.substring(units, 5, 4))).otherwise(F.lit("")),
-        )
-        return (
-            F.when(ch == '"', F.lit('\\"'))
-            .when(ch == "\\", F.lit("\\\\"))
-            .when(ch == "\n", F.lit("\\n"))
-            .when(ch == "\r", F.lit("\\r"))
-            .when(ch == "\t", F.lit("\\t"))
-            .when(ch == "\f", F.lit("\\f"))
-            .when(ch == "\b", F.lit("\\b"))
-            .when(ch.rlike("^[ -~]$"), ch)
-            .otherwise(unicode_)
-        )
-
-    escaped = F.array_join(F.transform(F.split(value, ""), escape), "")
-    body = F.when(value.rlike(r'[^ -~]|["\\]'), escaped).otherwise(value)
-    return F.coalesce(F.concat(F.lit('"'), body, F.lit('"')), F.lit("null"))
+    units = "lower(hex(encode(ch, 'UTF-16BE')))"
+    escape = (
+        "CASE ch WHEN '\"' THEN r'\\\"' WHEN r'\\' THEN r'\\\\' WHEN '\\n' THEN r'\\n' WHEN '\\r' THEN r'\\r' "
+        "WHEN '\\t' THEN r'\\t' WHEN char(12) THEN r'\\f' WHEN char(8) THEN r'\\b' "
+        "ELSE CASE WHEN ch RLIKE '^[ -~]$' THEN ch ELSE "
+        f"regexp_replace({units}, '(....)', r'\\\\u$1') END END"
+    )
+    return (
+        f"CASE WHEN {value} IS NULL THEN 'null' "
+        f"WHEN {value} RLIKE r'[^ -~]|[\"\\\\]' "
+        f"THEN concat('\"', array_join(transform(split({value}, ''), ch -> {escape}), ''), '\"') "
+        f"ELSE concat('\"', {value}, '\"') END"
+    )

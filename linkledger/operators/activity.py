@@ -60,12 +60,12 @@ def inbound(events: DataFrame) -> DataFrame:
 
     Success defaults to true when the event does not say.
     """
-    agent = F.col("UserAgent")
     kept = events.filter(
-        F.col("Activity").isin(*V.INBOUND_ACTIVITIES) & X.is_filled(agent) & ~agent.startswith(V.BROWSER_PREFIX)
+        f"Activity IN ({X.quoted(*V.INBOUND_ACTIVITIES)}) AND {X.is_filled('UserAgent')} "
+        f"AND NOT startswith(UserAgent, {X.quoted(V.BROWSER_PREFIX)})"
     )
-    return kept.select(*[
-        (F.coalesce(F.col(src), F.lit(True)) if out == "is_success" else F.col(src)).alias(out)
+    return kept.selectExpr(*[
+        f"coalesce({src}, true) AS {out}" if out == "is_success" else f"{src} AS `{out}`"
         for out, src in _INBOUND.items()
     ])
 

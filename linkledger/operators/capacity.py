@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
 
 
-def capacity_key(capacity_id: Column, dedicated: Column) -> Column:
+def capacity_key(capacity_id: str, dedicated: str) -> str:
     """The capacity a workspace is scanned under: its own when dedicated, else ``shared``."""
-    return F.when(X.is_filled(capacity_id) & dedicated, capacity_id).otherwise(F.lit(V.SHARED_KEY))
+    return f"CASE WHEN {X.is_filled(capacity_id)} AND {dedicated} THEN {capacity_id} ELSE '{V.SHARED_KEY}' END"
 
 
 def with_capacity_key(workspaces: DataFrame) -> DataFrame:
     """Add ``capacity_key``. Sources without a dedicated flag count any capacity as dedicated."""
-    known = X.is_filled(F.col("capacityId"))
-    flag = (
-        F.coalesce(F.col("isOnDedicatedCapacity"), F.lit(False))
-        if "isOnDedicatedCapacity" in workspaces.columns else known
-    )
-    return workspaces.withColumn("capacity_key", capacity_key(F.col("capacityId"), flag))
+    flag = "coalesce(isOnDedicatedCapacity, false)" if "isOnDedicatedCapacity" in workspaces.columns else "true"
+    return workspaces.withColumn("capacity_key", F.expr(capacity_key("capacityId", flag)))
 
 
 def distribution(keyed: DataFrame) -> DataFrame:
@@ -42,7 +38,7 @@ def coverage(sidecar: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("workspaces"),
         F.count_if(dedicated).alias("dedicated"),
         F.count_if(~dedicated).alias("shared"),
-        F.count_if(X.is_filled(F.col("capacity_id"))).alias("with_capacity_id"),
+        F.count_if(F.expr(X.is_filled("capacity_id"))).alias("with_capacity_id"),
     )
 
 

@@ -2,33 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
 
 
-def direction(connector: Column, server: Column, endpoint: Column) -> Column:
+def direction(connector: str = "connector", server: str = "server", endpoint: str = "endpoint") -> str:
     """``outbound``, ``internal`` or ``unknown``; the connector decides before the address."""
-    def low(c: Column) -> Column:
-        return F.coalesce(F.lower(c), F.lit(""))
-
-    con, srv, end = low(connector), low(server), low(endpoint)
-    external = X.contains_any(srv, V.EXTERNAL_DOMAINS) | X.contains_any(end, V.EXTERNAL_DOMAINS)
-    own = X.contains_any(srv, V.INTERNAL_SERVER_PARTS)
+    con, srv, end = (f"lower(coalesce({c}, ''))" for c in (connector, server, endpoint))
+    external = f"({X.contains_any(srv, V.EXTERNAL_DOMAINS)} OR {X.contains_any(end, V.EXTERNAL_DOMAINS)})"
     return (
-        F.when(X.contains_any(con, V.OUTBOUND_CONNECTOR_PARTS), F.lit("outbound"))
-        .when(X.contains_any(con, V.INTERNAL_CONNECTOR_PARTS), F.lit("internal"))
-        .when(external & ~own, F.lit("outbound"))
-        .otherwise(F.lit("unknown"))
+        f"CASE WHEN {X.contains_any(con, V.OUTBOUND_CONNECTOR_PARTS)} THEN 'outbound' "
+        f"WHEN {X.contains_any(con, V.INTERNAL_CONNECTOR_PARTS)} THEN 'internal' "
+        f"WHEN {external} AND NOT {X.contains_any(srv, V.INTERNAL_SERVER_PARTS)} THEN 'outbound' "
+        "ELSE 'unknown' END"
     )
 
 
 def classify(rows: DataFrame) -> DataFrame:
     """Add the ``direction`` column."""
-    return rows.withColumn("direction", direction(F.col("connector"), F.col("server"), F.col("endpoint")))
+    return rows.withColumn("direction", F.expr(direction()))
 
 
 def direction_counts(classified: DataFrame) -> DataFrame:
-    return classified.groupBy("direction").agg(F.count(F.lit(1)).alias("connection_count"))
+    return classified.groupBy("direction").agg(F.expr("count(1) AS connection_count"))

@@ -15,19 +15,13 @@ WIDE_ABOVE = 100_000
 _FIELDS = ["connector", "server", "database", "endpoint"]
 
 
-def _canonical(fields: list[str]) -> Column:
+def _canonical(fields: list[str]) -> str:
     """One connection as a JSON object with sorted keys."""
-    parts: list[Column] = []
-    for i, name in enumerate(sorted(fields)):
-        parts += [F.lit(("" if i == 0 else ", ") + f'"{name}": '), X.json_string(F.col(name))]
-    return F.concat(F.lit("{"), *parts, F.lit("}"))
+    parts = [f"'\"{name}\": ', {X.json_string(name)}" for name in sorted(fields)]
+    return "concat('{', " + ", ', ', ".join(parts) + ", '}')"
 
 
-def _sort_key() -> Column:
-    def shown(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit("None"))
-
-    return F.concat(shown("connector"), F.lit("_"), shown("server"), F.lit("_"), shown("database"))
+_SORT_KEY = "concat(" + ", '_', ".join(f"coalesce({c}, 'None')" for c in ("connector", "server", "database")) + ")"
 
 
 def connection_hashes(
@@ -43,38 +37,30 @@ def connection_hashes(
     """
     fields = _FIELDS + (["item_id"] if include_item_id else [])
     counted = (
-        rows.filter(X.is_filled(F.col("workspace_id")))
+        rows.filter(X.is_filled("workspace_id"))
         .groupBy("workspace_id", *fields)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("workspace_id", _sort_key().alias("k"), _canonical(fields).alias("doc"), "n")
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr("workspace_id", f"{_SORT_KEY} AS k", f"{_canonical(fields)} AS doc", "n")
     )
-    wide = counted.groupBy("workspace_id").agg(F.sum("n").alias("total")).filter(F.col("total") > wide_above)
+    wide = counted.groupBy("workspace_id").agg(F.expr("sum(n) AS total")).filter(f"total > {int(wide_above)}")
 
-    ordered = F.array_sort(F.collect_list(F.struct("k", "doc", "n")))
-    docs = F.flatten(F.transform(ordered, lambda x: F.array_repeat(x["doc"], x["n"].cast("int"))))
     listed = (
         counted.join(wide, "workspace_id", "left_anti")
         .groupBy("workspace_id")
-        .agg(F.sha2(F.concat(F.lit("["), F.array_join(docs, ", "), F.lit("]")), 256).alias("connection_hash"))
+        .agg(F.expr("array_sort(collect_list(struct(k, doc, n))) AS docs"))
+        .selectExpr(
+            "workspace_id",
+            "sha2(concat('[', array_join(flatten(transform(docs, x -> array_repeat(x.doc, CAST(x.n AS int)))), ', '), "
+            "']'), 256) AS connection_hash",
+        )
     )
-
-    digest = F.sha2(F.concat(F.col("doc"), F.lit("#"), F.col("n").cast("string")), 256)
-    lanes = [
-        F.conv(F.substring("digest", 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)
-    ]
+    # Four sums of 64-bit lanes; decimals, so they cannot overflow.
+    lanes = [f"sum(CAST(conv(substring(d, {1 + 16 * i}, 16), 16, 10) AS decimal(20, 0)))" for i in range(4)]
     summed = (
         counted.join(wide, "workspace_id", "left_semi")
-        .select("workspace_id", "n", digest.alias("digest"))
+        .selectExpr("workspace_id", "n", "sha2(concat(doc, '#', n), 256) AS d")
         .groupBy("workspace_id")
-        .agg(F.sum("n").alias("total"), *[F.sum(lane).alias(f"lane{i}") for i, lane in enumerate(lanes)])
-        .select(
-            "workspace_id",
-            F.sha2(
-                F.concat_ws(":", F.lit("wide"), F.col("total").cast("string"),
-                            *[F.col(f"lane{i}").cast("string") for i in range(4)]),
-                256,
-            ).alias("connection_hash"),
-        )
+        .agg(F.expr(f"sha2(concat_ws(':', 'wide', sum(n), {', '.join(lanes)}), 256) AS connection_hash"))
     )
     return listed.unionByName(summed)
 
@@ -97,7 +83,7 @@ def fingerprints(
     )
     joined = hashes.join(meta, "workspace_id", "full_outer" if include_empty else "left")
     if include_empty:
-        joined = joined.filter(X.is_filled(F.col("workspace_id")))
+        joined = joined.filter(X.is_filled("workspace_id"))
     when = F.lit(scan_time) if isinstance(scan_time, str) else scan_time
     return joined.select(
         "workspace_id",

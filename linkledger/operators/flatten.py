@@ -7,7 +7,7 @@ and no second look at the payload.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkledger.functions import fixed_values as V
@@ -19,156 +19,142 @@ _META = [
     "capacity_id", "capacity_name", "is_dedicated_capacity",
 ]
 
+# Which reading rule an item kind follows.
+SEMANTIC = f"kind IN ({X.quoted(*V.SEMANTIC_TYPES)})"
+DATAFLOW = f"kind IN ({X.quoted(*V.DATAFLOW_TYPES)})"
+ACTIVITY = f"kind IN ({X.quoted(*V.ACTIVITY_TYPES)})"
+REFERENCE = f"kind IN ({X.quoted(*V.REFERENCE_TYPES)})"
 
-def _sidecar_columns(found: Column, ws: Column) -> list[Column]:
-    """Workspace columns from a payload's own sidecar entry, with the defaults for gaps."""
-    def field(key: str, default: Column, absent: Column) -> Column:
+# A reference with every field missing; not a null, which would be dropped.
+_DETAILS = "named_struct('datasourceType', s, 'server', s, 'host', s, 'database', s, 'db', s)"
+EMPTY_REFERENCE = (
+    "named_struct('gatewayId', v, 'connectionDetails', {details}, 'type', s, 'provider', s, 'url', s, 'path', s, "
+    "'endpoint', s, 'isCloud', v, 'linkedService', named_struct('type', s, 'url', s, 'endpoint', s, 'gatewayId', v))"
+).format(details=_DETAILS).replace(", v", ", CAST(NULL AS variant)").replace(", s", ", CAST(NULL AS string)")
+
+
+def _sidecar_columns() -> list[str]:
+    """Workspace columns from a payload's own sidecar entry ``z.meta``, with defaults for gaps."""
+    def field(key: str, default: str, absent: str) -> str:
         return (
-            F.when(found.isNull(), absent)
-            .when(F.map_contains_key(found, key), F.try_element_at(found, F.lit(key)))
-            .otherwise(default)
+            f"CASE WHEN z.meta IS NULL THEN {absent} "
+            f"WHEN map_contains_key(z.meta, '{key}') THEN try_element_at(z.meta, '{key}') ELSE {default} END"
         )
 
-    null = F.lit(None).cast("string")
-    shared = F.lit(V.SHARED_CAPACITY)
+    shared, unknown, no = (f"'{x}'" for x in (V.SHARED_CAPACITY, V.UNKNOWN, "false"))
     return [
-        ws["id"].alias("workspace_id"),
-        field("name", F.lit(""), F.coalesce(ws["name"], F.lit(""))).alias("workspace_name"),
-        field("kind", F.lit(V.UNKNOWN), X.lower_or_unknown(ws["type"])).alias("workspace_kind"),
-        field("users", null, null).alias("workspace_users"),
-        field("capacity_id", null, null).alias("capacity_id"),
-        field("capacity_name", shared, shared).alias("capacity_name"),
-        field("is_dedicated_capacity", F.lit("false"), F.lit("false")).try_cast("boolean").alias("is_dedicated_capacity"),
+        "z.ws.id AS workspace_id",
+        field("name", "''", "coalesce(z.ws.name, '')") + " AS workspace_name",
+        field("kind", unknown, X.lower_or_unknown("z.ws.type")) + " AS workspace_kind",
+        "try_element_at(z.meta, 'users') AS workspace_users",
+        "try_element_at(z.meta, 'capacity_id') AS capacity_id",
+        field("capacity_name", shared, shared) + " AS capacity_name",
+        f"try_cast({field('is_dedicated_capacity', no, no)} AS boolean) AS is_dedicated_capacity",
     ]
 
 
 def explode_workspaces(payloads: DataFrame) -> DataFrame:
     """``payload`` rows to one row per workspace: metadata columns and the ``items`` array."""
-    ws = F.col("payload.workspaces")
-    side = F.col("payload.workspace_sidecar")
     # The sidecar entry is looked up before the explode, so the map is not copied per row.
-    zipped = F.arrays_zip(
-        ws.alias("ws"), F.transform(ws, lambda w: F.try_element_at(side, w["id"])).alias("meta")
+    rows = payloads.selectExpr(
+        "explode(arrays_zip(payload.workspaces, "
+        "transform(payload.workspaces, w -> try_element_at(payload.workspace_sidecar, w.id)))) AS z"
+    )
+    return (
+        rows.selectExpr("named_struct('ws', z.workspaces, 'meta', z.`1`) AS z")
+        .filter("z.ws IS NOT NULL")
+        .selectExpr(*_sidecar_columns(), "z.ws.items AS items")
     )
-    rows = payloads.select(F.explode(zipped).alias("z")).filter(F.col("z.ws").isNotNull())
-    return rows.select(*_sidecar_columns(F.col("z.meta"), F.col("z.ws")), F.col("z.ws.items").alias("items"))
 
 
 def _with_sidecar(workspaces: DataFrame, sidecar: DataFrame) -> DataFrame:
     """Replace workspace metadata by that of a sidecar table (see ``operators.sidecar``)."""
-    side = sidecar.select(
-        F.col("workspace_id"),
-        F.struct("name", "kind", "users", "capacity_id", "capacity_name", "is_dedicated_capacity").alias("_side"),
+    side = sidecar.selectExpr(
+        "workspace_id", "struct(name, kind, users, capacity_id, capacity_name, is_dedicated_capacity) AS _side"
     )
     pick = {
         "workspace_name": "name", "workspace_kind": "kind", "workspace_users": "users",
         "capacity_id": "capacity_id", "capacity_name": "capacity_name",
         "is_dedicated_capacity": "is_dedicated_capacity",
     }
-    joined = workspaces.join(side, "workspace_id", "left")
-    return joined.select(
+    return workspaces.join(side, "workspace_id", "left").selectExpr(
         "workspace_id",
-        *[F.when(F.col("_side").isNotNull(), F.col(f"_side.{f}")).otherwise(F.col(c)).alias(c) for c, f in pick.items()],
+        *[f"CASE WHEN _side IS NOT NULL THEN _side.{f} ELSE {c} END AS {c}" for c, f in pick.items()],
         "items",
     )
 
 
 def explode_items(workspaces: DataFrame) -> DataFrame:
     """One row per item: common metadata, ``kind`` and the uniform ``refs`` array."""
-    rows = workspaces.select(*_META, F.explode("items").alias("item")).filter(F.col("item").isNotNull())
-    return rows.select(*_META, *item_columns(F.col("item")))
-
-
-def empty_reference() -> Column:
-    """A reference with every field missing; not a null, which would be dropped."""
-    text, variant = F.lit(None).cast("string"), F.lit(None).cast("variant")
-
-    def fields(*names: str, **others: Column) -> Column:
-        return F.struct(*[text.alias(n) for n in names], *[c.alias(n) for n, c in others.items()])
-
-    return F.struct(
-        variant.alias("gatewayId"),
-        fields("datasourceType", "server", "host", "database", "db").alias("connectionDetails"),
-        *[text.alias(n) for n in ("type", "provider", "url", "path", "endpoint")],
-        variant.alias("isCloud"),
-        fields("type", "url", "endpoint", gatewayId=variant).alias("linkedService"),
+    return (
+        workspaces.selectExpr(*_META, "explode(items) AS item")
+        .filter("item IS NOT NULL")
+        .selectExpr(*_META, "item", f"{X.lower_or_unknown('item.type')} AS kind")
+        .selectExpr(*_META, *_item_columns())
     )
 
 
-def item_columns(item: Column) -> list[Column]:
-    kind = X.lower_or_unknown(item["type"])
-    is_dataflow = kind.isin(*V.DATAFLOW_TYPES)
-    empty = F.array().cast(f"array<{REFERENCE_DDL}>")
-    sources = F.when(F.size(item["sources"]) > 0, item["sources"]).otherwise(item["entities"])
-    refs = (
-        F.when(kind.isin(*V.SEMANTIC_TYPES), item["datasources"])
-        .when(is_dataflow, sources)
-        .when(kind.isin(*V.ACTIVITY_TYPES), item["activities"])
-        .when(
-            kind.isin(*V.REFERENCE_TYPES),
-            F.concat(F.coalesce(item["connections"], empty), F.coalesce(item["lineage"], empty)),
-        )
-        # Any other kind yields exactly one placeholder row.
-        .otherwise(F.array(empty_reference()))
-    )
+def _item_columns() -> list[str]:
+    empty = f"CAST(array() AS array<{REFERENCE_DDL}>)"
+    generation = X.first_filled("item.generation", "item.properties.generation")
     return [
-        item["id"].alias("item_id"),
-        item["name"].alias("item_name"),
-        kind.alias("kind"),
-        X.first_filled(item["createdBy"], item["configuredBy"]).alias("item_creator"),
-        item["modifiedBy"].alias("item_modified_by"),
-        item["modifiedDateTime"].alias("item_modified_date"),
-        F.when(is_dataflow, X.first_filled(item["generation"], item["properties"]["generation"])).alias("generation"),
-        refs.alias("refs"),
+        "item.id AS item_id", "item.name AS item_name", "kind",
+        f"{X.first_filled('item.createdBy', 'item.configuredBy')} AS item_creator",
+        "item.modifiedBy AS item_modified_by", "item.modifiedDateTime AS item_modified_date",
+        f"CASE WHEN {DATAFLOW} THEN {generation} END AS generation",
+        # Kinds without a reading rule yield exactly one placeholder row.
+        f"CASE WHEN {SEMANTIC} THEN item.datasources "
+        f"WHEN {DATAFLOW} THEN CASE WHEN size(item.sources) > 0 THEN item.sources ELSE item.entities END "
+        f"WHEN {ACTIVITY} THEN item.activities "
+        f"WHEN {REFERENCE} THEN concat(coalesce(item.connections, {empty}), coalesce(item.lineage, {empty})) "
+        f"ELSE array({EMPTY_REFERENCE}) END AS refs",
     ]
 
 
+def explode_refs(items: DataFrame) -> DataFrame:
+    """One row per reference. Items without references give no row."""
+    keep = [c for c in items.columns if c != "refs"]
+    # coalesce() keeps Spark from inferring a filter that would assemble the array twice.
+    return items.selectExpr(*keep, "explode(coalesce(refs, array())) AS ref").filter("ref IS NOT NULL")
+
+
 def connection_rows(refs: DataFrame) -> DataFrame:
     """Rows with workspace and item columns, ``kind`` and one ``ref`` to connection rows."""
-    ref, kind = F.col("ref"), F.col("kind")
-    link, details = ref["linkedService"], ref["connectionDetails"]
-    semantic = kind.isin(*V.SEMANTIC_TYPES)
-    dataflow = kind.isin(*V.DATAFLOW_TYPES)
-    activity = kind.isin(*V.ACTIVITY_TYPES)
-    reference = kind.isin(*V.REFERENCE_TYPES)
-
-    connector = X.lower_or_unknown(
-        F.when(semantic, details["datasourceType"])
-        .when(dataflow, X.first_filled(ref["type"], ref["provider"]))
-        .when(activity, X.first_filled(link["type"], ref["type"]))
-        .when(reference, ref["type"])
+    named = (
+        f"CASE WHEN {SEMANTIC} THEN ref.connectionDetails.datasourceType "
+        f"WHEN {DATAFLOW} THEN {X.first_filled('ref.type', 'ref.provider')} "
+        f"WHEN {ACTIVITY} THEN {X.first_filled('ref.linkedService.type', 'ref.type')} "
+        f"WHEN {REFERENCE} THEN ref.type END"
     )
-    server = F.when(semantic, X.first_filled(details["server"], details["host"]))
-    database = F.when(semantic, X.first_filled(details["database"], details["db"]))
+    details = "ref.connectionDetails"
     endpoint = (
-        F.when(dataflow, X.first_filled(ref["url"], ref["path"]))
-        .when(activity, X.first_filled(link["url"], link["endpoint"]))
-        .when(reference, X.first_filled(ref["url"], ref["endpoint"]))
+        f"CASE WHEN {DATAFLOW} THEN {X.first_filled('ref.url', 'ref.path')} "
+        f"WHEN {ACTIVITY} THEN {X.first_filled('ref.linkedService.url', 'ref.linkedService.endpoint')} "
+        f"WHEN {REFERENCE} THEN {X.first_filled('ref.url', 'ref.endpoint')} END"
     )
     in_cloud = (
-        F.when(semantic, ~X.json_truth(ref["gatewayId"], False))
-        .when(activity, ~X.json_truth(link["gatewayId"], False))
-        .when(reference, X.json_truth(ref["isCloud"], True))
-        .otherwise(F.lit(True))
+        f"CASE WHEN {SEMANTIC} THEN NOT {X.json_truth('ref.gatewayId', False)} "
+        f"WHEN {ACTIVITY} THEN NOT {X.json_truth('ref.linkedService.gatewayId', False)} "
+        f"WHEN {REFERENCE} THEN {X.json_truth('ref.isCloud', True)} ELSE true END"
     )
-    scope = F.when(in_cloud, F.lit(V.SCOPE_CLOUD)).otherwise(F.lit(V.SCOPE_GATEWAY))
     item_type = (
-        F.when(semantic, F.lit("SemanticModel"))
-        .when(dataflow, F.lit("Dataflow"))
-        .when(activity, F.lit("Pipeline"))
-        .otherwise(X.upper_first(kind))
+        f"CASE WHEN {SEMANTIC} THEN 'SemanticModel' WHEN {DATAFLOW} THEN 'Dataflow' "
+        f"WHEN {ACTIVITY} THEN 'Pipeline' ELSE {X.upper_first('kind')} END"
     )
-    shaped = refs.select(
-        *_META,
-        "item_id", "item_name", item_type.alias("item_type"),
+    shaped = refs.selectExpr(
+        *_META, "item_id", "item_name", f"{item_type} AS item_type",
         "item_creator", "item_modified_by", "item_modified_date", "generation",
-        connector.alias("connector"), server.alias("server"), database.alias("database"),
-        endpoint.alias("endpoint"), scope.alias("connection_scope"),
+        f"{X.lower_or_unknown(named)} AS connector",
+        f"CASE WHEN {SEMANTIC} THEN {X.first_filled(f'{details}.server', f'{details}.host')} END AS server",
+        f"CASE WHEN {SEMANTIC} THEN {X.first_filled(f'{details}.database', f'{details}.db')} END AS database",
+        f"{endpoint} AS endpoint",
+        f"CASE WHEN {in_cloud} THEN '{V.SCOPE_CLOUD}' ELSE '{V.SCOPE_GATEWAY}' END AS connection_scope",
     )
-    return shaped.withColumns({
-        "target": X.build_target(F.col("server"), F.col("database"), F.col("endpoint")),
-        "cloud": X.cloud_flag(F.col("connection_scope"), F.col("connector")),
-    }).select(*CONNECTION_COLUMNS)
+    derived = {
+        "target": X.build_target("server", "database", "endpoint"),
+        "cloud": X.cloud_flag("connection_scope", "connector"),
+    }
+    return shaped.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in CONNECTION_COLUMNS])
 
 
 def flatten_payloads(
@@ -190,20 +176,13 @@ def flatten_payloads(
         workspaces = _with_sidecar(workspaces, sidecar)
     items = explode_items(workspaces)
     if kinds is not None:
-        items = items.filter(F.col("kind").isin(*kinds))
+        items = items.filter(f"kind IN ({X.quoted(*kinds)})")
     return connection_rows(explode_refs(items))
 
 
-def explode_refs(items: DataFrame) -> DataFrame:
-    """One row per reference. Items without references give no row."""
-    keep = [c for c in items.columns if c != "refs"]
-    return items.select(*keep, F.explode("refs").alias("ref")).filter(F.col("ref").isNotNull())
-
-
 def other_kinds(items: DataFrame) -> DataFrame:
     """Items that none of the reading rules covers."""
-    known = (*V.SEMANTIC_TYPES, *V.DATAFLOW_TYPES, *V.ACTIVITY_TYPES, *V.REFERENCE_TYPES)
-    return items.filter(~F.col("kind").isin(*known))
+    return items.filter(f"NOT ({SEMANTIC} OR {DATAFLOW} OR {ACTIVITY} OR {REFERENCE})")
 
 
 def flatten_stats(payloads: DataFrame) -> DataFrame:
@@ -213,11 +192,8 @@ def flatten_stats(payloads: DataFrame) -> DataFrame:
     references are exploded, so the largest arrays are never expanded.
     """
     items = explode_items(explode_workspaces(payloads))
-    per_item = items.groupBy("kind", "workspace_id", "item_id").agg(
-        F.sum(F.greatest(F.size("refs"), F.lit(0))).alias("refs")
-    )
-    return per_item.groupBy("kind").agg(
-        F.countDistinct("workspace_id").alias("workspaces"),
-        F.count(F.lit(1)).alias("items"),
-        F.sum("refs").alias("rows"),
+    per_item = items.groupBy("kind", "workspace_id", "item_id").agg(F.expr("sum(greatest(size(refs), 0)) AS refs"))
+    per_workspace = per_item.groupBy("kind", "workspace_id").agg(F.expr("count(1) AS items"), F.expr("sum(refs) AS refs"))
+    return per_workspace.groupBy("kind").agg(
+        F.expr("count(1) AS workspaces"), F.expr("sum(items) AS items"), F.expr("sum(refs) AS rows")
     )

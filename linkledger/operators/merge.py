@@ -7,7 +7,7 @@ at most one row per task, and nulls in the key compare equal as grouping defines
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkledger.functions import scalars as X
@@ -16,14 +16,14 @@ from linkledger.schemas import CONNECTION_KEY
 
 def normalise(rows: DataFrame) -> DataFrame:
     """Lower-case the connector; null becomes ``unknown``."""
-    return rows.withColumn("connector", X.lower_or_unknown(F.col("connector")))
+    return rows.withColumn("connector", F.expr(X.lower_or_unknown("connector")))
 
 
 def _survivors(rows: DataFrame, order: list[str]) -> DataFrame:
-    rest = [c for c in rows.columns if c not in CONNECTION_KEY and c not in order]
-    kept = rows.groupBy(*CONNECTION_KEY).agg(F.min(F.struct(*order, *rest)).alias("_kept"))
-    columns = [c for c in rows.columns if c != "_rank"]
-    return kept.select(*[F.col(c) if c in CONNECTION_KEY else F.col(f"_kept.{c}").alias(c) for c in columns])
+    columns = rows.columns
+    rest = [c for c in columns if c not in CONNECTION_KEY and c not in order]
+    kept = rows.groupBy(*CONNECTION_KEY).agg(F.expr(f"min(struct({', '.join(order + rest)})) AS _kept"))
+    return kept.selectExpr(*[c if c in CONNECTION_KEY else f"_kept.{c} AS {c}" for c in columns if c != "_rank"])
 
 
 def dedup(rows: DataFrame) -> DataFrame:
@@ -74,19 +74,11 @@ def replace_scanned(existing: DataFrame, incoming: DataFrame, scanned: DataFrame
 
 def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Keys present on one side only, with ``change`` = ``added`` or ``removed``."""
-    def keys(df: DataFrame, side: str) -> DataFrame:
-        flag: Column = F.lit(1)
-        zero: Column = F.lit(0)
-        return normalise(df).select(
-            *CONNECTION_KEY,
-            (flag if side == "before" else zero).alias("_before"),
-            (flag if side == "after" else zero).alias("_after"),
-        )
-
-    both = keys(before, "before").unionByName(keys(after, "after"))
-    seen = both.groupBy(*CONNECTION_KEY).agg(F.max("_before").alias("_before"), F.max("_after").alias("_after"))
-    return seen.filter(F.col("_before") != F.col("_after")).select(
-        *CONNECTION_KEY, F.when(F.col("_after") == 1, F.lit("added")).otherwise(F.lit("removed")).alias("change")
+    old = normalise(before).selectExpr(*CONNECTION_KEY, "1 AS _before", "0 AS _after")
+    new = normalise(after).selectExpr(*CONNECTION_KEY, "0 AS _before", "1 AS _after")
+    seen = old.unionByName(new).groupBy(*CONNECTION_KEY).agg(F.max("_before").alias("_before"), F.max("_after").alias("_after"))
+    return seen.filter("_before <> _after").selectExpr(
+        *CONNECTION_KEY, "CASE WHEN _after = 1 THEN 'added' ELSE 'removed' END AS change"
     )
 
 

@@ -17,7 +17,7 @@ def number_workspaces(workspaces: DataFrame, within: str | None = None) -> DataF
     total, at most 4,096 rows per group, is computed in one window.
     """
     group = [within] if within else []
-    bucketed = workspaces.filter(X.is_filled(F.col("id"))).withColumn("_b", F.substring(F.md5("id"), 1, 3))
+    bucketed = workspaces.filter(X.is_filled("id")).withColumn("_b", F.substring(F.md5("id"), 1, 3))
     counts = bucketed.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -73,7 +73,7 @@ def estimate(
     workspaces: DataFrame, max_batches_per_hour: int, batch_size: int = V.WORKSPACES_PER_BATCH
 ) -> DataFrame:
     """Batches, calls and hours a scan of these workspaces would take."""
-    n = workspaces.filter(X.is_filled(F.col("id"))).agg(F.count(F.lit(1)).alias("workspaces"))
+    n = workspaces.filter(X.is_filled("id")).agg(F.count(F.lit(1)).alias("workspaces"))
     batches = F.ceil(F.col("workspaces") / batch_size)
     return n.select(
         "workspaces",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkledger.functions import fixed_values as V
@@ -13,33 +13,32 @@ SIDECAR_COLUMNS = [
 ]
 
 
-def owners(users: Column, limit: int = V.OWNER_LIMIT) -> Column:
+def owners(users: str, limit: int = V.OWNER_LIMIT) -> str:
     """First owners of a workspace, comma-separated; null when there are none.
 
     Either access-right field is accepted. Owners without any address are dropped before
     the limit is taken.
     """
-    rights = F.lit(list(V.OWNER_RIGHTS))
-    entitled = F.filter(
-        users,
-        lambda u: F.coalesce(F.array_contains(rights, u["workspaceUserAccessRight"]), F.lit(False))
-        | F.coalesce(F.array_contains(rights, u["groupUserAccessRight"]), F.lit(False)),
-    )
-    names = F.filter(
-        F.transform(entitled, lambda u: X.first_filled(u["emailAddress"], u["identifier"])),
-        lambda n: n.isNotNull(),
-    )
-    return F.when(F.size(names) > 0, F.array_join(F.slice(names, 1, limit), ", "))
+    rights = X.quoted(*V.OWNER_RIGHTS)
+    entitled = f"filter({users}, u -> u.workspaceUserAccessRight IN ({rights}) OR u.groupUserAccessRight IN ({rights}))"
+    address = X.first_filled("u.emailAddress", "u.identifier")
+    names = f"filter(transform({entitled}, u -> {address}), n -> n IS NOT NULL)"
+    return f"CASE WHEN size({names}) > 0 THEN array_join(slice({names}, 1, {limit}), ', ') END"
 
 
-def capacity_label(capacity_id: Column, capacity_name: Column, dedicated: Column) -> Column:
+def capacity_label(capacity_id: str, capacity_name: str, dedicated: str) -> str:
     """Display name of a workspace's capacity."""
-    shared = ~F.coalesce(dedicated, F.lit(False)) | ~F.coalesce(X.is_filled(capacity_id), F.lit(False))
-    return F.when(shared, F.lit(V.SHARED_CAPACITY)).otherwise(
-        X.first_filled(capacity_name, F.concat(F.lit("Capacity_"), F.substring(capacity_id, 1, 8)))
+    short = f"concat('Capacity_', left({capacity_id}, 8))"
+    return (
+        f"CASE WHEN {dedicated} AND {X.is_filled(capacity_id)} THEN {X.first_filled(capacity_name, short)} "
+        f"ELSE '{V.SHARED_CAPACITY}' END"
     )
 
 
+_DEDICATED = "coalesce(isOnDedicatedCapacity, false)"
+_NONE = "CAST(NULL AS string)"
+
+
 def build_sidecar(workspaces: DataFrame, profile: str = "full") -> DataFrame:
     """Sidecar rows from workspace rows shaped like the payload's workspace object.
 
@@ -47,35 +46,26 @@ def build_sidecar(workspaces: DataFrame, profile: str = "full") -> DataFrame:
     carry no capacity; ``listing`` comes from a workspace list without users.
     A workspace seen several times gives one row.
     """
-    name = F.coalesce(F.col("name"), F.lit(""))
-    none = F.lit(None).cast("string")
-    dedicated = F.coalesce(F.col("isOnDedicatedCapacity"), F.lit(False))
     if profile == "full":
-        rest = [
-            X.kind_of(F.col("type")), owners(F.col("users")), F.col("capacityId"),
-            capacity_label(F.col("capacityId"), F.col("capacityName"), dedicated), dedicated,
-        ]
+        label = capacity_label("capacityId", "capacityName", _DEDICATED)
+        rest = [X.kind_of("type"), owners("users"), "capacityId", label, _DEDICATED]
     elif profile in ("incremental", "by_id"):
-        rest = [X.kind_of(F.col("type")), owners(F.col("users")), none, F.lit(V.SHARED_CAPACITY), F.lit(False)]
+        rest = [X.kind_of("type"), owners("users"), _NONE, f"'{V.SHARED_CAPACITY}'", "false"]
     elif profile == "listing":
-        rest = [
-            F.lit("workspace"), none, F.col("capacityId"),
-            X.first_filled(F.col("capacityName"), F.lit(V.SHARED_CAPACITY)), dedicated,
-        ]
+        label = X.first_filled("capacityName", f"'{V.SHARED_CAPACITY}'")
+        rest = ["'workspace'", _NONE, "capacityId", label, _DEDICATED]
     else:
         raise ValueError(f"unknown sidecar profile {profile!r}")
-    columns = [F.col("id"), name, *rest]
-    rows = workspaces.filter(X.is_filled(F.col("id"))).select(
-        *[c.alias(n) for c, n in zip(columns, SIDECAR_COLUMNS)]
-    )
+    columns = zip(["id", "coalesce(name, '')", *rest], SIDECAR_COLUMNS)
+    rows = workspaces.filter(X.is_filled("id")).selectExpr(*[f"{c} AS {n}" for c, n in columns])
     # max() of a struct combines before the shuffle, however often a workspace repeats.
-    best = rows.groupBy("workspace_id").agg(F.max(F.struct(*SIDECAR_COLUMNS[1:])).alias("m"))
+    best = rows.groupBy("workspace_id").agg(F.expr(f"max(struct({', '.join(SIDECAR_COLUMNS[1:])})) AS m"))
     return best.select("workspace_id", "m.*")
 
 
 def payload_workspaces(payloads: DataFrame) -> DataFrame:
     """The payload's workspace objects as rows, without their items."""
-    rows = payloads.select(F.explode("payload.workspaces").alias("w")).filter(F.col("w").isNotNull())
+    rows = payloads.selectExpr("explode(payload.workspaces) AS w").filter("w IS NOT NULL")
     return rows.select(
         "w.id", "w.name", "w.type", "w.capacityId", "w.capacityName", "w.isOnDedicatedCapacity", "w.users"
     )
@@ -84,16 +74,11 @@ def payload_workspaces(payloads: DataFrame) -> DataFrame:
 def backfill(sidecar: DataFrame, requested: DataFrame) -> DataFrame:
     """Add defaults for requested workspaces (``id, name, type``) the scan did not return."""
     missing = (
-        requested.filter(X.is_filled(F.col("id")))
-        .join(sidecar.select(F.col("workspace_id").alias("id")), "id", "left_anti")
-        .select(
-            F.col("id").alias("workspace_id"),
-            F.coalesce(F.col("name"), F.lit("")).alias("name"),
-            X.kind_of(F.col("type")).alias("kind"),
-            F.lit(None).cast("string").alias("users"),
-            F.lit(None).cast("string").alias("capacity_id"),
-            F.lit(V.SHARED_CAPACITY).alias("capacity_name"),
-            F.lit(False).alias("is_dedicated_capacity"),
+        requested.filter(X.is_filled("id"))
+        .join(sidecar.selectExpr("workspace_id AS id"), "id", "left_anti")
+        .selectExpr(
+            "id AS workspace_id", "coalesce(name, '') AS name", f"{X.kind_of('type')} AS kind", f"{_NONE} AS users",
+            f"{_NONE} AS capacity_id", f"'{V.SHARED_CAPACITY}' AS capacity_name", "false AS is_dedicated_capacity",
         )
     )
     return sidecar.select(*SIDECAR_COLUMNS).unionByName(missing)
@@ -101,17 +86,11 @@ def backfill(sidecar: DataFrame, requested: DataFrame) -> DataFrame:
 
 def lookup(workspaces: DataFrame, sidecar: DataFrame) -> DataFrame:
     """Workspace rows (``id, name, type``) with their sidecar values, defaults where absent."""
-    side = sidecar.select(F.col("workspace_id").alias("id"), F.struct(*SIDECAR_COLUMNS[1:]).alias("s"))
+    side = sidecar.selectExpr("workspace_id AS id", f"struct({', '.join(SIDECAR_COLUMNS[1:])}) AS s")
     defaults = {
-        "name": F.coalesce(F.col("name"), F.lit("")),
-        "kind": X.lower_or_unknown(F.col("type")),
-        "users": F.lit(None).cast("string"),
-        "capacity_id": F.lit(None).cast("string"),
-        "capacity_name": F.lit(V.SHARED_CAPACITY),
-        "is_dedicated_capacity": F.lit(False),
+        "name": "coalesce(name, '')", "kind": X.lower_or_unknown("type"), "users": "NULL", "capacity_id": "NULL",
+        "capacity_name": f"'{V.SHARED_CAPACITY}'", "is_dedicated_capacity": "false",
     }
-    joined = workspaces.join(side, "id", "left")
-    return joined.select(
-        F.col("id").alias("workspace_id"),
-        *[F.when(F.col("s").isNotNull(), F.col(f"s.{c}")).otherwise(d).alias(c) for c, d in defaults.items()],
+    return workspaces.join(side, "id", "left").selectExpr(
+        "id AS workspace_id", *[f"CASE WHEN s IS NOT NULL THEN s.{c} ELSE {d} END AS {c}" for c, d in defaults.items()]
     )

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkledger.functions import fixed_values as V
-from linkledger.schemas import PAYLOAD_DDL
+from linkledger.functions.scalars import quoted
+from linkledger.schemas import PAYLOAD_DDL, WORKSPACE_DDL
 
 _PARSE_OPTIONS = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
 _ROOTS_DDL = f"roots array<{PAYLOAD_DDL}>, _bad string"
@@ -60,7 +61,7 @@ def _first_character(text: Column) -> Column:
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:
-    """``(path, text)`` to ``(path, is_list, roots, parsed)``; ``roots`` is null when unusable."""
+    """``(path, text)`` to ``(path, is_list, _bytes, _roots)``, parsed once per document."""
     is_list = _first_character(F.col("text")) == "["
     # An object root is wrapped into a one-element list, so both kinds share a schema,
     # and text after the document's end becomes a syntax error.
@@ -77,19 +78,26 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     )
     tolerant = F.from_json(salvaged, _ROOTS_DDL, _PARSE_OPTIONS)["roots"]
     roots = F.when(F.col("_strict._bad").isNull(), F.col("_strict.roots")).otherwise(tolerant)
-    chosen = parsed.select(
-        "path", "is_list", F.octet_length("_listed").alias("_bytes"), roots.alias("_roots")
-    )
-    whole = F.col("is_list") | (F.size("_roots") == 1)
-    return chosen.select("path", "is_list", "_bytes", F.when(whole, F.col("_roots")).alias("roots"))
+    return parsed.select("path", "is_list", F.octet_length("_listed").alias("_bytes"), roots.alias("_roots"))
+
+
+# Text that is no list must hold exactly one object; two in a row are not JSON. Exploding
+# this expression, and not a column of it, keeps Spark from inferring a filter on the
+# parsed value and pushing that down to where it would parse everything again.
+_WHOLE_ROOTS = "CASE WHEN is_list OR size(_roots) = 1 THEN _roots END"
 
 
 def payload_roots(docs: DataFrame) -> DataFrame:
     """One row ``(path, position, payload)`` per payload object; other roots are skipped."""
-    exploded = parse_documents(docs).select(
-        "path", F.posexplode("roots").alias("position", "payload")
-    )
-    return exploded.filter(F.col("payload").isNotNull())
+    exploded = parse_documents(docs).selectExpr("path", f"posexplode({_WHOLE_ROOTS}) AS (position, payload)")
+    return exploded.filter("payload IS NOT NULL")
+
+
+def payloads_per_document(docs: DataFrame) -> DataFrame:
+    """``(path, is_list, payloads)``: how many usable payload objects each document holds."""
+    return parse_documents(docs).selectExpr(
+        "path", "is_list", f"coalesce(size(filter({_WHOLE_ROOTS}, r -> r IS NOT NULL)), 0) AS payloads"
+    ).withColumn("payloads", F.expr("greatest(payloads, 0)"))
 
 
 def payload_rejects(docs: DataFrame) -> DataFrame:
@@ -101,44 +109,25 @@ def payload_rejects(docs: DataFrame) -> DataFrame:
     """
     # Tolerant parsing is limited by the size of one VARIANT value.
     variant_limit = 16 * 1024 * 1024
-    none = F.lit(None).cast("int")
-    one = F.lit(1).cast("long")
-
-    def reject(position: Column, reason: Column, n: Column) -> Column:
-        return F.struct(position.alias("position"), reason.alias("reason"), n.cast("long").alias("n"))
-
-    whole_doc = F.when(
-        F.col("roots").isNull(),
-        F.array(reject(
-            none,
-            F.when(F.col("_bytes") > variant_limit, F.lit("malformed_too_large")).otherwise(F.lit("invalid_json")),
-            one,
-        )),
+    def reject(position: str, reason: str, n: str) -> str:
+        return f"struct(CAST({position} AS int) AS position, {reason} AS reason, CAST({n} AS bigint) AS n)"
+
+    large = f"CASE WHEN _bytes > {variant_limit} THEN 'malformed_too_large' ELSE 'invalid_json' END"
+    shape = "CASE WHEN is_list THEN 'element_not_object' ELSE 'root_not_object' END"
+    bad_ws = "size(filter(r.workspaces, w -> w IS NULL))"
+    bad_items = (
+        "aggregate(r.workspaces, 0, (acc, w) -> acc + greatest(size(filter(w.items, it -> it IS NULL)), 0))"
     )
-
-    def per_root(root: Column, i: Column) -> Column:
-        bad_ws = F.size(F.filter(root["workspaces"], lambda w: w.isNull()))
-        bad_items = F.aggregate(
-            root["workspaces"], F.lit(0),
-            lambda acc, w: acc + F.greatest(F.size(F.filter(w["items"], lambda it: it.isNull())), F.lit(0)),
-        )
-        return F.array(
-            F.when(root.isNull(), reject(
-                i,
-                F.when(F.col("is_list"), F.lit("element_not_object")).otherwise(F.lit("root_not_object")),
-                one,
-            )),
-            F.when(bad_ws > 0, reject(i, F.lit("workspace_not_object"), bad_ws)),
-            F.when(bad_items > 0, reject(i, F.lit("item_not_object"), bad_items)),
-        )
-
-    inner = F.flatten(F.transform("roots", per_root))
-    return (
-        parse_documents(docs)
-        .select("path", F.explode(F.coalesce(whole_doc, inner)).alias("r"))
-        .filter(F.col("r").isNotNull())
-        .select("path", "r.position", "r.reason", "r.n")
+    per_root = (
+        f"array(CASE WHEN r IS NULL THEN {reject('i', shape, '1')} END, "
+        f"CASE WHEN {bad_ws} > 0 THEN {reject('i', quoted('workspace_not_object'), bad_ws)} END, "
+        f"CASE WHEN {bad_items} > 0 THEN {reject('i', quoted('item_not_object'), bad_items)} END)"
     )
+    found = (
+        f"CASE WHEN ({_WHOLE_ROOTS}) IS NULL THEN array({reject('NULL', large, '1')}) "
+        f"ELSE flatten(transform(_roots, (r, i) -> {per_root})) END"
+    )
+    return parse_documents(docs).selectExpr("path", f"explode({found}) AS r").filter("r IS NOT NULL").select("path", "r.*")
 
 
 def workspace_list(docs: DataFrame) -> DataFrame:
@@ -147,8 +136,6 @@ def workspace_list(docs: DataFrame) -> DataFrame:
     A response is a bare list of workspaces or an object with a ``workspaces`` list;
     entries that are not objects are dropped.
     """
-    from linkledger.schemas import WORKSPACE_DDL
-
     is_list = _first_character(F.col("text")) == "["
     wrapped = F.when(is_list, F.concat(F.lit('{"workspaces":'), F.col("text"), F.lit("}"))).otherwise(F.col("text"))
     ddl = f"workspaces array<{WORKSPACE_DDL}>, _bad string"
