@@ -317,19 +317,20 @@ def payload_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """Payload documents as ``(path, text)``: object roots, list roots, some with junk in the list.
 
-    ``broken`` adds a cut-off copy of some documents, which must be rejected.
+    ``broken`` adds a cut-off copy of some documents, which must be rejected. Fragments of
+    a split document carry its file name under a folder of their own.
     """
     docs = payload_structs(spark, sf_dir).selectExpr(
-        "doc", "concat('scan-', doc, CASE WHEN part > 0 THEN concat('-', part) ELSE '' END, '.json') AS path",
-        "to_json(payload) AS text",
+        "doc", "part", "concat(CASE WHEN part > 0 THEN concat('part-', part, '/') ELSE '' END, 'scan-', doc, '.json') "
+        "AS path", "to_json(payload) AS text",
     ).selectExpr(
-        "doc", "path",
-        "CASE WHEN doc % 8 = 7 THEN concat('[', text, ', 7]') WHEN doc % 2 = 1 THEN concat('[', text, ']') ELSE text END "
-        "AS text",
+        "doc", "part", "path",
+        "CASE WHEN doc % 8 = 7 AND part = 0 THEN concat('[', text, ', 7]') WHEN doc % 2 = 1 THEN concat('[', text, ']') "
+        "ELSE text END AS text",
     )
     if broken:
         docs = docs.selectExpr(
-            "inline(filter(array(struct(path, text), CASE WHEN doc % 7 = 0 THEN "
+            "inline(filter(array(struct(path, text), CASE WHEN doc % 7 = 0 AND part = 0 THEN "
             "struct(concat('cut-', path) AS path, left(text, length(text) - 3) AS text) END), d -> d IS NOT NULL))"
         )
     return docs.select("path", "text")

@@ -10,7 +10,7 @@ from linkledger.functions import scalars as X
 from linkledger.schemas import FINGERPRINT_COLUMNS
 
 #: Workspaces with more connections than this get the wide form of the fingerprint.
-WIDE_ABOVE = 100_000
+WIDE_ABOVE = 500_000
 
 _FIELDS = ["connector", "server", "database", "endpoint"]
 
@@ -36,33 +36,40 @@ def connection_hashes(
     only on the set of rows, and a workspace that crosses the limit has changed anyway.
     """
     fields = _FIELDS + (["item_id"] if include_item_id else [])
-    counted = (
-        rows.filter(X.is_filled("workspace_id"))
-        .groupBy("workspace_id", *fields)
-        .agg(F.expr("count(1) AS n"))
-        .selectExpr("workspace_id", f"{_SORT_KEY} AS k", f"{_canonical(fields)} AS doc", "n")
-    )
-    wide = counted.groupBy("workspace_id").agg(F.expr("sum(n) AS total")).filter(f"total > {int(wide_above)}")
-
-    listed = (
-        counted.join(wide, "workspace_id", "left_anti")
-        .groupBy("workspace_id")
-        .agg(F.expr("array_sort(collect_list(struct(k, doc, n))) AS docs"))
-        .selectExpr(
-            "workspace_id",
-            "sha2(concat('[', array_join(flatten(transform(docs, x -> array_repeat(x.doc, CAST(x.n AS int)))), ', '), "
-            "']'), 256) AS connection_hash",
-        )
+    kept = rows.filter(X.is_filled("workspace_id"))
+    sizes = kept.groupBy("workspace_id").agg(F.expr("count(1) AS total"))
+    wide = sizes.filter(f"total > {int(wide_above)}").select("workspace_id")
+    # One narrow look at the workspace column decides the plan. Usually nothing is wide,
+    # and the rows are then read and shuffled once, without any join.
+    if wide.isEmpty():
+        return _listed(_counted(kept, fields))
+    listed = _listed(_counted(kept.join(wide, "workspace_id", "left_anti"), fields))
+    return listed.unionByName(_summed(_counted(kept.join(wide, "workspace_id", "left_semi"), fields)))
+
+
+def _counted(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """Distinct connections with their sort key, JSON text and number of occurrences."""
+    counts = rows.groupBy("workspace_id", *fields).agg(F.expr("count(1) AS n"))
+    return counts.selectExpr("workspace_id", f"{_SORT_KEY} AS k", f"{_canonical(fields)} AS doc", "n")
+
+
+def _listed(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("workspace_id").agg(
+        F.expr("array_sort(collect_list(struct(k, doc, n))) AS docs")
+    ).selectExpr(
+        "workspace_id",
+        "sha2(concat('[', array_join(flatten(transform(docs, x -> array_repeat(x.doc, CAST(x.n AS int)))), ', '), "
+        "']'), 256) AS connection_hash",
     )
-    # Four sums of 64-bit lanes; decimals, so they cannot overflow.
+
+
+def _summed(counted: DataFrame) -> DataFrame:
+    """Hash from four sums of 64-bit lanes; decimals, so they cannot overflow."""
     lanes = [f"sum(CAST(conv(substring(d, {1 + 16 * i}, 16), 16, 10) AS decimal(20, 0)))" for i in range(4)]
-    summed = (
-        counted.join(wide, "workspace_id", "left_semi")
-        .selectExpr("workspace_id", "n", "sha2(concat(doc, '#', n), 256) AS d")
-        .groupBy("workspace_id")
-        .agg(F.expr(f"sha2(concat_ws(':', 'wide', sum(n), {', '.join(lanes)}), 256) AS connection_hash"))
+    digests = counted.selectExpr("workspace_id", "n", "sha2(concat(doc, '#', n), 256) AS d")
+    return digests.groupBy("workspace_id").agg(
+        F.expr(f"sha2(concat_ws(':', 'wide', sum(n), {', '.join(lanes)}), 256) AS connection_hash")
     )
-    return listed.unionByName(summed)
 
 
 def fingerprints(

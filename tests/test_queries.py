@@ -53,6 +53,7 @@ def test_documents_split_when_large(spark, con, monkeypatch):
     """With a tiny limit every document is split, and flattening still gives the same rows."""
     monkeypatch.setattr(star, "ROWS_PER_DOCUMENT", 50)
     docs = star.documents(spark, SF)
-    assert docs.filter("path LIKE 'scan-%-%'").count() > 0
-    for name in ("flatten_all", "flatten_stats", "workspace_sidecar"):
+    assert docs.filter("path LIKE 'part-%/scan-%'").count() > 0
+    for name in ("flatten_all", "flatten_stats", "workspace_sidecar", "payload_rejects", "payload_root_normalise", "scan_by_id",
+                 "scan_payload_dir", "stream_fingerprints"):
         assert compare(spark, con, catalog.QUERIES[name], oracle.ORACLE[name], SF) is None
