@@ -77,6 +77,7 @@ def vacuum(spark: SparkSession, base: str, keep: int = 2) -> None:
     """Delete complete versions beyond the newest ``keep``.
 
     Incomplete directories stay: one of them may be another writer's work in progress.
+    Not for bucketed tables, whose older versions still hold current buckets.
     """
     if keep < 1:
         raise ValueError("keep must be at least 1")
@@ -84,3 +85,58 @@ def vacuum(spark: SparkSession, base: str, keep: int = 2) -> None:
     for n in complete[:-keep]:
         p, fs, _ = _fs(spark, f"{base}/v{n:08d}")
         fs.delete(p, True)
+
+
+# --- bucketed tables ----------------------------------------------------------------------
+#
+# A version of a bucketed table holds only the buckets its write touched; a bucket's current
+# rows are in the newest complete version that has it.
+
+BUCKET = "_bucket"
+
+
+def bucket_of(key: str, buckets: int) -> str:
+    """SQL expression of a row's bucket: its number and the table's number of buckets."""
+    return f"concat(CAST(pmod(xxhash64({key}), {int(buckets)}) AS string), 'of{int(buckets)}')"
+
+
+def bucket_paths(spark: SparkSession, base: str) -> dict[str, list[str]]:
+    """Directories of each bucket over all complete versions, newest first."""
+    found: dict[str, list[str]] = {}
+    for n in sorted((n for n, done in _versions(spark, base) if done), reverse=True):
+        p, fs, _ = _fs(spark, f"{base}/v{n:08d}")
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if name.startswith(f"{BUCKET}="):
+                found.setdefault(name.split("=", 1)[1], []).append(f"{base}/v{n:08d}/{name}")
+    return found
+
+
+def bucket_count(paths: dict[str, list[str]]) -> int | None:
+    """Number of buckets an existing table was written with."""
+    return int(next(iter(paths)).split("of")[1]) if paths else None
+
+
+def read_buckets(
+    spark: SparkSession, paths: dict[str, list[str]], schema: T.StructType, only: set[str] | None = None
+) -> DataFrame:
+    """Current rows of all buckets, or of some."""
+    chosen = [versions[0] for bucket, versions in sorted(paths.items()) if only is None or bucket in only]
+    return spark.read.schema(schema).parquet(*chosen) if chosen else spark.createDataFrame([], schema)
+
+
+def write_buckets(df: DataFrame, base: str, key: str, buckets: int, keep: int = 2) -> None:
+    """Write the complete new content of the buckets in ``df`` as the next version.
+
+    Rows are rebalanced by bucket before the write: few files per bucket, and a bucket
+    made large by one key is split over several tasks.
+    """
+    spark = df.sparkSession
+    versions = _versions(spark, base)
+    path = f"{base}/v{(versions[-1][0] + 1 if versions else 1):08d}"
+    placed = df.withColumn(BUCKET, F.expr(bucket_of(key, buckets))).hint("rebalance", BUCKET)
+    placed.write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
+    for superseded in bucket_paths(spark, base).values():
+        for old in superseded[keep:]:
+            p, fs, _ = _fs(spark, old)
+            fs.delete(p, True)

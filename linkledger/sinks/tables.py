@@ -37,15 +37,22 @@ def save_inventory(
     table: str | None = None,
     mode: str = "overwrite",
     keep: str = "incoming",
+    buckets: int | None = None,
 ) -> int:
     """Normalise, de-duplicate and save connection rows; returns the number of rows saved.
 
     ``overwrite`` replaces the inventory, ``merge`` (also called ``append``) combines it
-    with what is there.
+    with what is there. ``buckets`` keeps a large inventory in that many parts by
+    workspace, of which a merge rewrites only those it touches; such an inventory is read
+    by its path, since a table has a single location.
     """
     spark = rows.sparkSession
     if table:
         check_identifier(table, "table name")
+    if buckets:
+        if table or mode not in ("merge", "append"):
+            raise ValueError("a bucketed inventory is merged, and read by path only")
+        return _merge_buckets(rows, base, keep, buckets)
     if mode == "overwrite":
         result = M.dedup(rows)
     elif mode in ("merge", "append"):
@@ -58,6 +65,18 @@ def save_inventory(
     return n
 
 
+def _merge_buckets(rows: DataFrame, base: str, keep: str, buckets: int) -> int:
+    spark = rows.sparkSession
+    paths = S.bucket_paths(spark, base)
+    buckets = S.bucket_count(paths) or buckets
+    # At most one value per bucket comes back here.
+    touched = {r[0] for r in rows.selectExpr(S.bucket_of("workspace_id", buckets)).distinct().collect()}
+    if touched:
+        existing = S.read_buckets(spark, paths, CONNECTION_SCHEMA, only=touched)
+        S.write_buckets(M.merge(existing, rows, keep), base, "workspace_id", buckets)
+    return S.read_buckets(spark, S.bucket_paths(spark, base), CONNECTION_SCHEMA).count()
+
+
 def save_csv(rows: DataFrame, path: str) -> None:
     """CSV copy with a header line."""
     rows.write.mode("overwrite").option("header", True).csv(path)

@@ -99,7 +99,10 @@ def test_incremental_job(spark, tmp_path):
     # All seven were scanned an hour ago, so a second run has nothing to do.
     assert J.incremental_update(scan("two", ids), scan_time="2024-01-31T00:00:00+00:00", **args) == 0
     assert J.incremental_update(scan("three", ids), scan_time="x", skip_recent=False, **args) == 7
+    args["curated"] = f"{tmp_path}/bucketed"
+    assert J.incremental_update(scan("four", ids), scan_time="y", skip_recent=False, buckets=4, **args) == 7
     assert {r.item_name for r in I.read_inventory(spark, f"{tmp_path}/c").collect()} == {"three"}
+    assert {r.item_name for r in I.read_inventory(spark, f"{tmp_path}/bucketed").collect()} == {"four"}
 
 
 def test_direction_analysis_is_saved(spark, tmp_path):
@@ -145,3 +148,22 @@ def test_stream_takes_only_new_files_and_latest_wins(spark, tmp_path):
     assert batches == ["batch=0", "batch=1", "batch=2"]
     assert names(I.read_inventory(spark, cur)) == [("w", "unknown", "other"), ("w", "unknown", "second")]
     assert I.read_fingerprints(spark, h).first().connection_hash != hash1
+
+
+def test_bucketed_merge_rewrites_only_what_it_touches(spark, tmp_path):
+    base = f"{tmp_path}/b"
+    first = frame(spark, *[row(ws=f"w{i}", item_name="old") for i in range(40)])
+    assert TB.save_inventory(first, base, mode="merge", buckets=8) == 40
+    assert len(S.bucket_paths(spark, base)) == 8
+    # The table keeps its number of buckets, whatever a later call says.
+    assert TB.save_inventory(frame(spark, row(ws="w3", item_name="new"), row(ws="w3", con="x")), base, mode="merge", buckets=5) == 41
+    assert os.listdir(f"{base}/v00000002") and len([d for d in os.listdir(f"{base}/v00000002") if d.startswith("_bucket=")]) == 1
+    inv = I.read_inventory(spark, base)
+    assert {r.item_name for r in inv.filter("workspace_id = 'w3' AND connector = 'sql'").collect()} == {"new"}
+    assert inv.filter("item_name = 'old'").count() == 39
+    for _ in range(3):
+        TB.save_inventory(frame(spark, row(ws="w3", item_name="again")), base, mode="merge", buckets=8)
+    assert max(len(v) for v in S.bucket_paths(spark, base).values()) == 2
+    assert TB.save_inventory(frame(spark), base, mode="merge", buckets=8) == 41
+    with pytest.raises(ValueError):
+        TB.save_inventory(first, base, table="t", mode="merge", buckets=8)
