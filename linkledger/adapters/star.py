@@ -155,7 +155,13 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reference struct per line item, keyed by order."""
     names = ", ".join("NULL" if c is None else f"'{c}'" for c in CONNECTORS)
     # The position in the scan tells copies of a row apart when a document is split.
-    line = table(spark, sf_dir, "lineitem").selectExpr("*", "monotonically_increasing_id() AS _at")
+    scan = table(spark, sf_dir, "lineitem")
+    line = scan.selectExpr("*", "monotonically_increasing_id() AS _at")
+    # A small file of a single row group is read by one task. Its rows are then spread over
+    # the cores; a scan that already has a task for every core is left as it is.
+    cores = spark.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < cores:
+        line = line.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS l_partkey", "p_size", "CAST(regexp_extract(p_brand, r'([0-9]+)$', 1) AS int) AS brand",
     )
