@@ -50,8 +50,8 @@ def compare(spark, con, query, sql: str, sf_dir: str) -> str | None:
         return f"columns {sorted(got_cols)} != {sorted(want_cols)}"
     if got == want:
         return None
-    extra = [r for r in got if r not in set(want)][:2] if len(got) < 5000 or True else []
-    lack = [r for r in want if r not in set(got)][:2]
+    ours, theirs = set(got), set(want)
+    extra, lack = sorted(ours - theirs, key=repr)[:2], sorted(theirs - ours, key=repr)[:2]
     return f"rows {len(got)} vs {len(want)}; only ours {extra}; only sql {lack}"
 
 
