@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkledger.llm import exactdedup, mixing, sharding
+from linkledger.llm import exactdedup, mixing, sharding, simhash
 from linkledger.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the group of near-duplicates it is in."""
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -29,6 +34,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op6_simhash": op6_simhash,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
