@@ -6,10 +6,10 @@ which a greedy pass needs no more than the given shards is found by binary searc
 are then placed within that capacity, each as near to the even division as the capacity
 allows.
 
-The driver never holds the groups. It knows the ends of coarse blocks of groups (at first one
-of ``BINS`` hash ranges each) and runs the greedy pass on these with a lower and an upper
-bound for each cut. Only where the two disagree, the blocks concerned are divided by one more
-aggregation, until the answer is exact.
+The driver never holds the groups. It knows the ends of blocks of groups (at first one of
+``BLOCKS`` hash ranges each) and runs the greedy pass on these with a lower and an upper bound for
+each cut. Where the two disagree, the blocks between them are divided by one more aggregation
+of at most about ``ROWS`` rows, until the answer is exact.
 
 Defined cases: null text counts as empty, so null and '' are one group; null doc_ids sort first
 within their group; repeated rows keep a slot each; an empty table gives no rows; with fewer
@@ -26,23 +26,24 @@ from pyspark.sql import Window as W
 
 from linkledger.llm.common import landed
 
-#: Hash ranges of the order; a power of 16. Each is numbered by one window.
+#: Hash ranges of the order; a power of 16. Each is numbered by windows of its own.
 BINS = 4096
 #: Cells into which the rows of one group are spread for numbering.
 CELLS = 1024
-#: Parts into which a block is divided when its inside matters.
-PARTS = 64
+#: Hash ranges that the driver knows at first; a power of 16 above BINS.
+BLOCKS = 65536
+#: Most parts into which a block is divided when its inside matters, and most rows of one such step.
+PARTS, ROWS = 64, 1 << 17
 HEADER_BYTES = 16
 
 
 class Ends:
-    """Known group ends in ascending order, and between neighbours how many ends each block holds (its last one included)."""
+    """Known group ends in ascending order, and how many group ends each block between two of them holds (its last one included)."""
 
     def __init__(self, blocks: list[tuple[int, int]]):
         """blocks: (end, groups) in ascending order of end."""
         self.ends = [0] + [e for e, _ in blocks]
         self.groups = [0] + [n for _, n in blocks]
-        self.unknown: set[tuple[int, int]] = set()
 
     @property
     def total(self) -> int:
@@ -53,7 +54,6 @@ class Ends:
         i = bisect_right(self.ends, t) - 1
         if i + 1 >= len(self.ends) or self.ends[i] == t or self.groups[i + 1] == 1:
             return self.ends[i], self.ends[i]
-        self.unknown.add((self.ends[i], self.ends[i + 1]))
         return self.ends[i], t
 
     def at_least(self, t: int) -> tuple[int, int]:
@@ -61,9 +61,18 @@ class Ends:
         i = bisect_left(self.ends, t)
         if i == 0 or self.ends[i] == t or self.groups[i] == 1:
             return self.ends[i], self.ends[i]
-        self.unknown.add((self.ends[i - 1], self.ends[i]))
         return t, self.ends[i]
 
+    def coarse(self, windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The blocks of more than one group that lie in or around the windows."""
+        out = set()
+        for low, high in windows:
+            first = max(1, bisect_left(self.ends, low))
+            for i in range(first, min(bisect_left(self.ends, high), len(self.ends) - 1) + 1):
+                if self.groups[i] > 1:
+                    out.add((self.ends[i - 1], self.ends[i]))
+        return sorted(out)
+
     def divide(self, finer: dict[tuple[int, int], list[tuple[int, int]]]) -> None:
         """Replace blocks by their parts, each (end, groups)."""
         ends, groups = [0], [0]
@@ -71,51 +80,57 @@ class Ends:
             for e, n in finer.get((self.ends[i - 1], self.ends[i]), [(self.ends[i], self.groups[i])]):
                 ends.append(e)
                 groups.append(n)
-        self.ends, self.groups, self.unknown = ends, groups, set()
+        self.ends, self.groups = ends, groups
 
 
-def fits(ends: Ends, capacity: int, shards: int) -> bool | None:
-    """Whether a greedy pass with this capacity ends within ``shards``; None if the blocks are too coarse to tell."""
-    low = high = 0
+def greedy(ends: Ends, capacity: int, shards: int, bound: int) -> list[int]:
+    """The cuts of a greedy pass; a lower (0) or upper (1) bound of each."""
+    cuts = [0]
     for _ in range(shards):
-        low = ends.at_most(low + capacity)[0]
-        high = ends.at_most(high + capacity)[1]
-    if low >= ends.total:
-        return True
-    return None if high >= ends.total else False
+        cuts.append(ends.at_most(cuts[-1] + capacity)[bound])
+    return cuts[1:]
 
 
 def smallest_capacity(ends: Ends, shards: int, largest: int, refine) -> int:
-    """The least capacity that fits; ``refine(ends)`` divides the blocks in ``ends.unknown``."""
-    low = max(largest, -(-ends.total // shards))
-    high = low + largest  # a shard closes with more than total/shards in it, so this always fits
-    while low < high:
-        middle = (low + high) // 2
-        ends.unknown.clear()
-        while (answer := fits(ends, middle, shards)) is None:
-            refine(ends)
-        low, high = (low, middle) if answer else (middle + 1, high)
-    return low
+    """The least capacity for which the greedy pass ends within ``shards``; ``refine(blocks)`` divides blocks of ``ends``."""
+    while True:
+        found = []
+        for bound in (1, 0):  # least capacity that may fit, then the least that surely fits
+            low, high = found[0] if found else max(largest, -(-ends.total // shards)), ends.total
+            while low < high:
+                middle = (low + high) // 2
+                if greedy(ends, middle, shards, bound)[-1] >= ends.total:
+                    high = middle
+                else:
+                    low = middle + 1
+            found.append(low)
+        if found[0] == found[1]:
+            return found[0]
+        refine(ends.coarse(list(zip(greedy(ends, found[0], shards, 0), greedy(ends, found[1], shards, 1), strict=True))))
 
 
 def cuts_within(ends: Ends, capacity: int, shards: int, refine) -> list[int]:
     """``shards - 1`` cuts at group ends: no shard above the capacity, each cut nearest to the even division."""
     while True:
-        ends.unknown.clear()
-        least = [ends.total]
+        low = high = ends.total
+        least, windows = [low], []
         for _ in range(shards - 1):
-            least.append(ends.at_least(max(0, least[-1] - capacity))[0])
+            low, high = ends.at_least(max(0, low - capacity))[0], ends.at_least(max(0, high - capacity))[1]
+            least.append(low)
+            if low != high:
+                windows.append((low, high))
         least.reverse()  # least[j]: what the first j + 1 shards have to hold at least
         cuts, last = [], 0
         for j in range(shards - 1):
             even = ends.total * (j + 1) // shards
-            below, above = ends.at_most(even)[0], ends.at_least(even)[0]
-            cut = below if even - below <= above - even else above
-            last = min(max(cut, least[j], last), ends.at_most(last + capacity)[0])
+            below, above, most = ends.at_most(even), ends.at_least(even), ends.at_most(last + capacity)
+            windows += [w for w in (below, above, most) if w[0] != w[1]]
+            cut = below[0] if even - below[0] <= above[1] - even else above[1]
+            last = min(max(cut, least[j], last), most[0])
             cuts.append(last)
-        if not ends.unknown:
+        if not windows:
             return cuts
-        refine(ends)
+        refine(ends.coarse(windows))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,14 +159,16 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
         ),
         "cells",
     )
-    bins = sorted(
-        cells.groupBy("bin").agg(
+    more = len(f"{BLOCKS - 1:x}") - digits
+    fine = sorted(
+        cells.groupBy("bin", F.substring("digest", digits + 1, more).alias("fine")).agg(
             F.sum("bytes"), F.sum("n"), F.sum(F.col("head").cast("int")), F.max("group_bytes")
         ).collect()
-    )  # at most BINS rows
+    )  # at most BLOCKS rows
     blocks, offsets, done_bytes, done_rows = [], [], 0, 0
-    for b, size, n, groups, _ in bins:
-        offsets.append((b, done_bytes, done_rows))
+    for b, _, size, n, groups, _ in fine:
+        if not offsets or offsets[-1][0] != b:
+            offsets.append((b, done_bytes, done_rows))
         done_bytes, done_rows = done_bytes + size, done_rows + n
         blocks.append((done_bytes, groups))
     offsets_df = spark.createDataFrame(offsets, "bin int, bytes_before long, rows_before long")
@@ -159,29 +176,25 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
         "bin", "digest", "cell", "head", (F.col("end") + F.col("bytes_before")).alias("end"),
         (F.col("first") + F.col("rows_before")).alias("first"),
     )
-    starts = [x[1] for x in offsets]
+    starts, ends = [x[1] for x in offsets], Ends(blocks)
 
-    def refine(ends: Ends) -> None:
-        wanted = sorted(ends.unknown)
-        asked = spark.createDataFrame(
-            [(offsets[bisect_right(starts, a) - 1][0], a, b) for a, b in wanted], "bin int, a long, b long"
-        )
-        some = cells.where(F.col("bin").isin(sorted({offsets[bisect_right(starts, a) - 1][0] for a, _ in wanted})))
-        end = F.col("end") + F.col("bytes_before")
-        part = F.expr(f"(end_at - a - 1) * {PARTS} div (b - a)")
+    def refine(wanted: list[tuple[int, int]]) -> None:
+        asked = spark.createDataFrame([(offsets[bisect_right(starts, a) - 1][0], a, b) for a, b in wanted], "bin int, a long, b long")
+        part = F.expr(f"(end - a - 1) * {max(2, min(PARTS, ROWS // len(wanted)))} div (b - a)")
+        heads = placed.where("head").select("bin", "end").alias("p")
         found = (
-            some.where("head").join(F.broadcast(offsets_df), "bin").withColumn("end_at", end)
-            .join(F.broadcast(asked), "bin").where("end_at > a AND end_at <= b")
-            .groupBy("a", "b", part.alias("part")).agg(F.max("end_at").alias("end"), F.count("*").alias("n")).collect()
-        )  # at most PARTS rows a block
+            heads.join(F.broadcast(asked), (heads["bin"] == asked["bin"]) & (heads["end"] > asked["a"]) & (heads["end"] <= asked["b"]))
+            .groupBy("a", "b", part.alias("part")).agg(F.min("end"), F.max("end"), F.count("*")).collect()
+        )
         finer: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for a, b, _, e, n in sorted(found):
-            finer.setdefault((a, b), []).append((e, n))
+        for a, b, _, first_end, last_end, n in sorted(found):
+            finer.setdefault((a, b), []).append((first_end, 1))  # alone, so that every step gets on
+            if n > 1:
+                finer[(a, b)].append((last_end, n - 1))
         ends.divide(finer)
 
-    ends = Ends(blocks)
-    largest = max((x[4] for x in bins), default=0)
-    cuts = cuts_within(ends, smallest_capacity(ends, shards, largest, refine), shards, refine) if bins else []
+    largest = max((x[5] for x in fine), default=0)
+    cuts = cuts_within(ends, smallest_capacity(ends, shards, largest, refine), shards, refine) if fine else []
     shard = F.lit(0)
     for cut in cuts:
         shard = shard + (F.col("end") > F.lit(cut)).cast("int")
