@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkledger.llm import exactdedup, mixing, sharding, simhash
+from linkledger.llm import exactdedup, mixing, sharding, simhash, tokencount, tokenfile
 from linkledger.llm.common import table
 
 
@@ -17,11 +17,22 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    rows = tokencount.count_tokens(table(spark, sf_dir, "documents"))
+    return rows.withColumn("over_limit", F.col("n_tokens") > tokencount.OVER)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the group of near-duplicates it is in."""
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, from the file of ids."""
+    return tokenfile.written_and_read(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -34,7 +45,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_token_counts": op4_token_counts,
     "op6_simhash": op6_simhash,
+    "op8_token_file": op8_token_file,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
