@@ -1,6 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of 0-9, a-z (A-Z counts as a-z) and characters beyond ASCII. A first pass counts how often each
+Words are runs of letters, digits and characters beyond ASCII, in lower case. A first pass counts how often each
 n-gram of the test items occurs in all documents. Of every ``WINDOW`` consecutive n-grams of an
 item the rarest becomes a seed, so each run of ``SEED + WINDOW - 1`` shared words holds one
 wherever it lies, and words that are everywhere seed nothing if something rarer is near. A second
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkledger.llm.licenses import words_of
+from linkledger.llm import licenses
 
 SEED = 3
 WINDOW = 4
@@ -37,6 +37,10 @@ SLICE_WORDS = 500_000
 HITS = "array<struct<item_id: bigint, score: double, first_word: bigint, n_words: bigint>>"
 
 
+def words_of(text: str | None) -> list[bytes]:
+    return licenses.words_of((text or "").lower())
+
+
 class Items:
     """Test items as word numbers, with the n-grams that are looked for: sorted keys, and of each its (item, place)."""
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkledger.llm.common import landed
+from linkledger.llm.common import landed, unused
 from linkledger.llm.components import connected_components
 
 SHINGLE = 3
@@ -262,12 +262,27 @@ def links(prints: DataFrame, codes=CODES) -> DataFrame:
     return found.where("a <> b").unionByName(points.mapInArrow(_hubs, "a long, b long"))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", codes=CODES) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every document."""
-    rows = landed(docs.select(F.col(id_col).alias("doc_id"), _fingerprints(F.col(text_col)).alias("print")), "prints")
-    prints = landed(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-prints")
-    roots = connected_components(links(prints, codes))
+def near_rows(rows: DataFrame) -> DataFrame:
+    """rid, doc_id, print and best of rows with a unique rid, a doc_id and a text; best: the row of the group that stays (known, doc_id, rid)."""
+    rows = landed(rows.select("rid", "doc_id", _fingerprints("text").alias("print")), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "rid")).alias("least")
+    prints = landed(rows.groupBy("print").agg(first), "distinct-prints")
+    roots = connected_components(links(prints))
     nodes = prints.join(roots, prints["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
-    least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = nodes.join(least, "root").select("print", "component_id")
-    return rows.join(groups, "print").select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    groups = nodes.groupBy("root").agg(F.min("least").alias("best"))
+    return rows.join(nodes.join(groups, "root").select("print", "best"), "print")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every document."""
+    rows = near_rows(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), F.col("best.doc_id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """One document of each group, the one with the least doc_id (of repeated rows just one)."""
+    rid = unused(docs, "rid")
+    numbered = landed(docs.withColumn(rid, F.monotonically_increasing_id()), "numbered")
+    rows = near_rows(numbered.select(F.col(rid).alias("rid"), "doc_id", "text"))
+    stay = rows.where(F.col("best.rid") == F.col("rid")).select(F.col("rid").alias(rid))
+    return numbered.join(stay, rid, "left_semi").drop(rid)
