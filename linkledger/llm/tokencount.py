@@ -88,7 +88,8 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text") -> dict
 
     parts = max(1, docs.count() // SAMPLE)
     some = docs.select(text_col).where(F.pmod(F.xxhash64(text_col), F.lit(parts)) == 0)
-    top = some.mapInArrow(pieces, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(TABLE)
+    top = some.mapInArrow(pieces, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1")
+    top = top.orderBy(F.desc("n"), "piece").limit(TABLE)
     encoder = Encoder(path, lower=False)
     return {r.piece: len(encoder.ids(r.piece)) for r in top.collect()}  # at most TABLE rows
 
