@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from linkledger.llm import licenses
 
 SEED = 3
-WINDOW = 4
+WINDOW = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5
 MIN_WORDS = 8
@@ -93,10 +93,10 @@ class Items:
         often = counts[np.searchsorted(self.distinct, self.key)]
         keep = np.zeros(len(self.key), dtype=bool)
         order = np.lexsort((self.place, self.item))
-        bounds = np.flatnonzero(np.r_[True, np.diff(self.item[order]) != 0]) if len(order) else []
-        for a, b in zip(bounds, [*bounds[1:], len(order)], strict=True):
+        cuts = np.flatnonzero(np.diff(self.item[order])) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(order)], strict=True):
             rows = order[a:b]
-            for i in range(max(1, len(rows) - WINDOW + 1)):
+            for i in range(max(1, len(rows) - WINDOW + 1) if len(rows) else 0):
                 some = rows[i : i + WINDOW]
                 keep[some[often[some].argmin()]] = True
         self.key, self.item, self.place = self.key[keep], self.item[keep], self.place[keep]

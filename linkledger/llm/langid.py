@@ -1,8 +1,8 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Every text is read whole, in lower case, as its characters, pairs and triples of characters, hashed
-into ``BUCKETS``. Counts by language are summed over the training rows by a grouped aggregation;
-the matrix of log-probabilities (buckets by languages, its size checked) is broadcast, and
+into ``BUCKETS``. Counts by language, each damped to log(1 + n) within a text so that no text that repeats itself
+rules its language, are summed over the training rows by a grouped aggregation; the matrix of log-probabilities (buckets by languages, its size checked) is broadcast, and
 batches of texts are scored in numpy as sparse count rows times that matrix.
 
 Training takes about ``PER_LANGUAGE`` rows of each language at most, chosen by a hash of their
@@ -27,6 +27,8 @@ GRAMS = 3
 PER_LANGUAGE = 10_000
 #: Most bytes of the matrix that is broadcast.
 MATRIX_BYTES = 256 << 20
+#: Added to every count.
+SMOOTHING = 0.1
 UNKNOWN = "und"
 #: Characters that are scored at once, for four languages; fewer with more.
 AT_ONCE = 1 << 18
@@ -68,7 +70,9 @@ def _count(names: list[str]):
             langs = np.array([place[x] for x in batch.column(0).to_pylist()], dtype=np.int64)
             for chars, text, room in _windows(batch.column(1).to_pylist(), AT_ONCE):
                 for at, bucket in _buckets(chars, room):
-                    sums += np.bincount(langs[text[at]] * BUCKETS + bucket, minlength=sums.size).reshape(sums.shape)
+                    row, times = np.unique(text[at] * BUCKETS + bucket, return_counts=True)
+                    weight = np.rint(1000 * np.log1p(times))  # whole numbers: sums don't depend on their order
+                    sums += np.bincount(langs[row // BUCKETS] * BUCKETS + row % BUCKETS, weight, sums.size).astype(np.int64).reshape(sums.shape)
         lang, bucket = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(sums[lang, bucket])], ["lang", "bucket", "n"]
@@ -78,12 +82,14 @@ def _count(names: list[str]):
 
 
 class Model:
-    """Languages in order, log-probabilities (buckets by languages, a last row of zeros) and log-priors."""
+    """Languages in order, log-probabilities (buckets by languages) and log-priors."""
 
     def __init__(self, names: list[str], sums: np.ndarray, rows: np.ndarray):
         self.names = names
-        smooth = sums + 0.5
-        self.matrix = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32)
+        seen = sums.sum(axis=0) > 0
+        smooth = np.where(seen, sums + SMOOTHING, 0.0)
+        share = smooth / smooth.sum(axis=1, keepdims=True)
+        self.matrix = np.log(np.where(seen, share, 1.0)).T.astype(np.float32)  # n-grams that no language has say nothing
         self.prior = np.log(rows / rows.sum())
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +119,7 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "te
     some = labelled.where(F.pmod(F.xxhash64(text_col), parts[F.col(lang_col)]) == 0).select(lang_col, text_col)
     found = some.mapInArrow(_count(names), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     sums = np.zeros((len(names), BUCKETS))
-    sums[found["lang"].to_numpy(dtype=int), found["bucket"].to_numpy(dtype=int)] = found["n"].to_numpy(dtype=float)
+    sums[found["lang"].to_numpy(dtype=int), found["bucket"].to_numpy(dtype=int)] = found["n"].to_numpy(dtype=float) / 1000
     return Model(names, sums, np.array(list(counts.values()), dtype=float))
 
 

@@ -1,0 +1,312 @@
+"""Languages, quality, tokens, licences, test items, mix and pipeline."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from linkledger.llm import decontaminate, langid, licenses, mixing, pretokens, quality, queries, tokencount, tokenfile
+from llm_data import ITEM, documents
+
+ODD = ["a", "B", "é", "É", "'", "'s", "'LL", " ", "  ", "\n", "\t", "1", "23", ".", ",", "!", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "ñ",
+       "ß", "İ", "Σ", "́", "中", "😀", "µ", "ª", "\xa0", "\x85", "\x1c", " ", "don't", "the", "\x00", "ﬁ", "K"]
+
+
+def test_languages(docs, rows, empty):
+    got = {(r.doc_id, r.held_out): r for r in langid.identified(docs).collect()}
+    assert langid.identified(docs).count() == len(rows) and langid.identified(empty).collect() == []
+    right = total = 0
+    for r in rows:
+        held = zlib.crc32(str(r[0]).encode() if r[0] is not None else b"") % 4 == 2
+        g = got[(r[0], held)]
+        assert 0 <= g.score <= 1
+        if not any(c.isalpha() for c in r[1] or ""):
+            assert (g.lang_pred, g.score) == ("und", 0.0)
+        elif r[2] and held and r[1] and not r[1].startswith("one group"):  # those copies have no one language
+            total, right = total + 1, right + (g.lang_pred == r[2])
+    assert total > 20 and right / total > 0.85
+
+
+def test_language_scores_equal_brute_force():
+    rng = np.random.default_rng(0)
+    model = langid.Model(["a", "b", "c"], rng.integers(0, 9, (3, langid.BUCKETS)).astype(float), np.array([1.0, 2.0, 3.0]))
+    texts = ["Ab", "x", "É中 ß" * 40, "", "abc" * 9]
+
+    def sums(text):
+        total = model.prior.copy()
+        for n in range(1, 4):
+            for i in range(len(text) - n + 1):
+                (_, b) = list(langid._buckets(np.array([ord(c) for c in text[i : i + n]], dtype=np.uint64), np.array([n] * n)))[n - 1]
+                total = total + model.matrix[b[0]]
+        return total
+
+    want = np.array([sums(t.lower()) for t in texts])
+    for step in (langid.AT_ONCE, 7):
+        langid_step, langid.AT_ONCE = langid.AT_ONCE, step
+        try:
+            best, score = model.score(texts)
+        finally:
+            langid.AT_ONCE = langid_step
+        assert best.tolist() == want.argmax(axis=1).tolist()
+        p = np.exp(want - want.max(axis=1, keepdims=True))
+        assert np.allclose(score, (p / p.sum(axis=1, keepdims=True)).max(axis=1), atol=1e-6)
+
+
+def test_no_labelled_rows_is_unknown(docs):
+    got = langid.identified(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r.lang_pred for r in got.collect()} == {"und"}
+
+
+def test_quality(spark, docs, rows, empty):
+    labels = [(r[0], int(len((r[1] or "").split()) > 30), 0) for r in rows if r[0] is not None and r[0] % 3] + [(None, 1, 0), (4, None, 0), (1, 0, 1), (1, 1, 1)]
+    label = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = quality.score_documents(docs, label, F.col("source"), F.col("lang")).collect()
+    assert len(got) == len(rows)
+    assert all(0 <= x <= 1 for g in got for x in (g.score, g.doc_quality, g.host_quality, g.path_quality))
+    by = {g.doc_id: g.score for g in got}
+    plain = [r for r in rows if r[0] is not None and 20 <= r[0] < 60 and r[0] % 3 == 0]
+    assert np.mean([(by[r[0]] > 0.5) == (len(r[1].split()) > 30) for r in plain]) > 0.8
+    assert quality.score_documents(empty, label, F.col("source"), F.col("lang")).collect() == []
+    none = quality.score_documents(docs, label.limit(0), F.col("source"), F.col("lang")).collect()
+    assert len(none) == len(rows) and {g.score for g in none} == {0.5}
+
+
+def test_sparse_sites_are_shrunk_more(spark):
+    rows = [(i, "good words here. " * 5, "big" if i < 200 else "small", "p") for i in range(203)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0 and i < 200)) for i in range(203)], "doc_id long, quality int")
+    got = quality.score_documents(docs, labels, F.col("source"), F.col("lang"))
+    mean = {r.source: r.m for r in got.join(docs, "doc_id").groupBy("source").agg(F.avg("path_quality").alias("m")).collect()}
+    assert abs(mean["big"] - 0.25) < 0.03 and 0 < mean["small"] < 0.25
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    return {n: Tokenizer.from_file(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")}
+
+
+def test_pieces_encode_as_the_whole_text(libraries):
+    lengths = tokencount._Lengths({" the": 1}, public_tokenizers.path("byte_bpe_50k.json"))
+    ids = tokenfile._Ids(public_tokenizers.path("word_bpe_49k.json"))
+    assert lengths.encoder.direct and ids.encoder.direct
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(ODD) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    texts += [f"a{chr(c)}b {chr(c)} foo{chr(c)}  {chr(c)}\n{chr(c)}bar " for c in [*range(0x3100), *range(0xFE00, 0x10000)] if not 0xD800 <= c < 0xE000]
+    for t in texts:
+        assert lengths.count(t) == len(libraries["byte_bpe_50k.json"].encode(t, add_special_tokens=False).ids), t
+        got = np.frombuffer(b"".join(map(ids.__getitem__, pretokens.WITHOUT_SPACE.findall(t))), dtype="<u4").tolist()
+        assert got == libraries["word_bpe_49k.json"].encode(t, add_special_tokens=False).ids, t
+
+
+def test_token_counts(docs, rows, empty, libraries):
+    got = Counter(tuple(r) for r in tokencount.count_tokens(docs).collect())
+    library = libraries["byte_bpe_50k.json"]
+    assert got == Counter((r[0], len((r[1] or "").encode()), len(library.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows)
+    assert tokencount.count_tokens(empty).collect() == []
+
+
+def test_cache_bounds_dont_change_counts(monkeypatch, libraries):
+    monkeypatch.setattr(tokencount, "CACHE", 3)
+    lengths = tokencount._Lengths({}, public_tokenizers.path("byte_bpe_50k.json"))
+    for r in documents()[:40]:
+        assert lengths.count(r[1] or "") == len(libraries["byte_bpe_50k.json"].encode(r[1] or "", add_special_tokens=False).ids)
+        assert len(lengths.cache) <= 3
+
+
+@pytest.mark.parametrize("n, most", [(1, 5), (1, 2**32), (511, 300), (512, 70000), (513, 2**32), (5000, 49408), (2000, 200)])
+def test_addressable_codes(n, most):
+    rng = np.random.default_rng(n)
+    ids = rng.integers(0, most, n, dtype=np.uint64).astype(np.uint32)
+    levels = tokenfile.encode(ids)
+    assert tokenfile.decode(levels).tolist() == ids.tolist()
+    assert [tokenfile.token_at(levels, i) for i in range(n)] == ids.tolist()
+
+
+def test_token_file(spark, docs, rows, empty, libraries, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenfile, "SEGMENT_TOKENS", 2000)
+    library, start, want, every = libraries["word_bpe_49k.json"], 0, [], []
+    to = f"{tmp_path}/tokens"
+    tokenfile.write_tokens(docs, to)
+    got = sorted(tokenfile.read_documents(spark, to).collect(), key=lambda g: g.start)
+    assert [g.doc_id for g in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    encoded = Counter()
+    for r in rows:
+        ids = [*library.encode(r[1] or "", add_special_tokens=False).ids, 2]
+        encoded[(r[0], len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))] += 1
+        every.append((r[0], ids))
+    assert Counter((g.doc_id, g.n_tokens, g.ids_crc32) for g in got) == encoded
+    assert [g.start for g in got] == np.cumsum([0, *(g.n_tokens for g in got)])[:-1].tolist()
+    one = next(g for g in got if g.doc_id == 14)
+    ids = next(x for i, x in every if i == 14)
+    places = spark.createDataFrame([(one.start + k,) for k in range(len(ids))], "place long")
+    assert [r.token for r in tokenfile.tokens_at(spark, to, places).orderBy("place").collect()] == ids
+    assert tokenfile.written_and_read(empty).collect() == []
+
+
+def test_licence_scan_against_brute_force():
+    scanner, rng = licenses.Scanner(), random.Random(2)
+    vocabulary = " ".join(licenses.PHRASES).split() + ["the", "of", "é", "x", *"Redistribution and use in source and binary forms".split()]
+    for _ in range(3000):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 30)))
+        if rng.random() < 0.3:
+            text += " " + rng.choice(licenses.TEMPLATES)[1] + rng.choice([" ", "! mit-LICENSE", " cc  by"])
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        places = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        starts = [i for i, _ in places]
+        got = scanner.scan(text)
+        assert got[:5] == (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})))
+        assert set(got[4].split(",")) - {""} <= set(got[5].split(","))
+
+
+def test_licence_templates_with_gaps_and_edits():
+    scanner = licenses.Scanner()
+    for label, text in licenses.TEMPLATES:
+        assert label in scanner.scan(f"x {text} y")[5].split(",")
+    mit = licenses.TEMPLATES[0][1].split()
+    edited = " ".join([*mit[:18], "SOME", "ADDED", "words", *mit[19:]])
+    assert "mit" in scanner.scan(edited)[5] and 0.6 < scanner.scan(edited)[6] < 1
+    assert scanner.scan(" ".join(mit[:6]))[5] == "" and scanner.scan(None) == (0, 0, None, None, "", "", 0.0)
+
+
+def test_licence_query_rows(docs, rows, empty):
+    got = docs.select("doc_id", licenses.scanned(docs).alias("s")).select("doc_id", "s.*")
+    assert got.count() == len(rows)
+    assert [r.base_labels for r in got.where("doc_id = 14").collect()] == ["mit"]
+    assert empty.select(licenses.scanned(empty)).collect() == []
+
+
+def test_contaminated_documents(spark, docs, rows, empty, benchmark):
+    got = decontaminate.contaminated(docs, benchmark).collect()
+    assert Counter((g.doc_id, g.item_id) for g in got) == Counter([(15, 1), (15, 5), (17, 1), (17, 5)])
+    assert all(g.score == 1.0 and g.n_words == len(ITEM.split()) for g in got if g.doc_id == 15)
+    assert all(0.7 < g.score < 1.0 and g.first_word == 1 for g in got if g.doc_id == 17)
+    assert decontaminate.contaminated(empty, benchmark).collect() == []
+    assert decontaminate.contaminated(docs, benchmark.limit(0)).collect() == []
+
+
+def test_benchmark_in_slices_gives_the_same(docs, benchmark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE_WORDS", 8)
+    got = decontaminate.contaminated(docs, benchmark).collect()
+    assert Counter((g.doc_id, g.item_id) for g in got) == Counter([(15, 1), (15, 5), (17, 1), (17, 5)])
+
+
+def test_seeds_are_in_every_shared_run():
+    words = [f"w{i}" for i in range(40)]
+    items = decontaminate.Items([(1, " ".join(words))])
+    rng = np.random.default_rng(0)
+    items.keep_rare(rng.integers(0, 5, len(items.distinct)))
+    run = decontaminate.SEED + decontaminate.WINDOW - 1
+    for i in range(40 - run + 1):
+        assert len(items.found(items.numbers(" ".join(words[i : i + run])))[0])
+    assert len(items.key) < 38
+
+
+def test_alignment_against_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = rng.integers(1, 5, rng.integers(1, 12)), rng.integers(0, 5, rng.integers(1, 20))
+        h = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                s = decontaminate.MATCH if a[i] == b[j] else decontaminate.MISMATCH
+                h[i + 1, j + 1] = max(0, h[i, j] + s, h[i, j + 1] + decontaminate.GAP, h[i + 1, j] + decontaminate.GAP)
+        score, start, stop = decontaminate.align(a, b)
+        assert score == h.max() and 0 <= start <= stop <= len(b)
+
+
+def test_targets():
+    assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0, 0]
+    assert mixing.targets([100]) == [150]
+    got = mixing.targets([10, 1000, 1000, 50])
+    assert got[0] == 20 and got[3] == 100 and abs(sum(got) - 1.5 * 2060) < 1e-6
+    assert abs(got[1] / got[2] - 2) < 1e-9 or got[1] == 2000
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 64, 65, 1000])
+def test_permutations(n):
+    for key in (0, 1, 2**63):
+        got = mixing.permuted(np.arange(n), np.full(n, n), np.full(n, key, dtype=np.uint64))
+        assert sorted(got.tolist()) == list(range(n))
+
+
+def test_shard_counts_keep_totals():
+    slots = np.array([0, 5, 1000, 37], dtype=np.int64)
+    got = mixing.shard_counts(slots, 7, 1)
+    assert got.sum(axis=0).tolist() == slots.tolist() and (got >= 0).all()
+    assert got.sum(axis=1).max() - got.sum(axis=1).min() <= 1
+
+
+def test_mix(docs, rows, empty):
+    got = mixing.mix(docs, block_words=8).collect()
+    words = {}
+    for r in rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+        words.setdefault(r[3], []).append(n)
+    assert Counter(g["size"] for g in got) == Counter(n for v in words.values() for n in v)
+    assert all(0 <= g.taken <= 2 * g["size"] for g in got)
+    by = {}
+    for g in got:
+        by.setdefault((g.source_size, g.target), []).append(g.taken)
+    order = sorted(words, key=lambda s: (s is None, s or ""))
+    want = mixing.targets([sum(words[s]) for s in order])
+    for s, t in zip(order, want, strict=True):
+        assert abs(sum(by[(sum(words[s]), t)]) - t) <= 12
+    again = mixing.mix(docs.repartition(3), block_words=8)
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, got))
+    assert mixing.mix(empty).collect() == []
+
+
+def test_mixed_blocks_and_documents(docs, rows, empty):
+    blocks = mixing.mixed_blocks(docs, block_words=16, shards=4)
+    size = blocks.groupBy("shard", "place").agg(F.sum("words").alias("n"), F.countDistinct("rank", "block").alias("k")).collect()
+    assert all(r.k == 1 and 0 < r.n <= 16 for r in size) and {r.shard for r in size} <= set(range(4))
+    out = mixing.mixed_documents(docs, block_words=16)
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    taken = mixing.mix(docs, block_words=16).groupBy("doc_id").agg(F.sum("taken").alias("t"))
+    pieces = out.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("p"))
+    both = taken.join(pieces, taken.doc_id.eqNullSafe(pieces.doc_id), "left").where("t <> coalesce(p, 0)").count()
+    assert both == 0
+    texts = {r[1] for r in rows if r[1]}
+    assert all(any(r.text in t for t in texts) and r.n_chars == len(r.text) for r in out.limit(50).collect())
+    assert mixing.mixed_documents(empty).collect() == []
+
+
+def test_pipeline_stages(spark, tmp_path, docs, empty, benchmark):
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    benchmark.write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    for start, folder in ((docs, tmp_path), (empty, tmp_path / "none")):
+        now = start
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, now, str(folder)).write.parquet(f"{folder}/{name}")
+            after = spark.read.parquet(f"{folder}/{name}")
+            if i < len(corpus_pipeline.STAGES) - 1:
+                assert after.columns == docs.columns
+            now = after
+    ids = lambda name: Counter(r.doc_id for r in spark.read.parquet(f"{tmp_path}/{name}").select("doc_id").collect())
+    assert not {5, 6, 7, 8} & set(ids("language_id")) and ids("language_id")[20] == 3
+    deduped = ids("near_dedup")
+    assert deduped[20] == 1 and deduped[60] == 1 and not set(range(61, 110)) & set(deduped) and deduped[3] + deduped[40] + deduped[41] == 1
+    assert set(deduped) - set(ids("decontamination")) == {15, 17}
+    assert set(ids("source_mix")) <= set(ids("decontamination"))
+    assert ids("token_output") == ids("source_mix") and now.count() == 0
+    folder = f"{tmp_path}/whole"
+    docs.write.parquet(f"{folder}/documents.parquet")
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    whole = Counter(map(tuple, corpus_pipeline.run(spark, folder).collect()))
+    assert whole == Counter(map(tuple, spark.read.parquet(f"{tmp_path}/token_output").collect()))
+
+
+def test_registered_queries_run_over_empty_tables(spark, tmp_path, empty, benchmark):
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, query in queries.QUERIES.items():
+        assert query(spark, str(tmp_path)).collect() == [], name
+
