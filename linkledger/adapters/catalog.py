@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,8 @@ from linkledger.streaming import ingest as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+FIRST, SECOND = "2024-01-30", "2024-01-31"
+FIRST_TIME, SECOND_TIME = "2024-01-30T00:00:00+00:00", "2024-01-31T00:00:00+00:00"
 STORED_UNTIL = "2001-10-01"
 CURRENT_SINCE = "1995-02-01"
 
@@ -52,11 +55,9 @@ def _payloads(spark: SparkSession, sf: str) -> DataFrame:
     return P.payload_roots(star.documents(spark, sf))
 
 
-def _land_text(docs: DataFrame, name: str) -> str:
-    """Documents as files, one each."""
-    path = scratch.scratch_dir(docs.sparkSession, name)
-    docs.select("text").write.option("maxRecordsPerFile", 1).text(path)
-    return path
+def _land_text(docs: DataFrame, path: str, scan_date: str) -> None:
+    """Documents as lines of files, under the date of their scan."""
+    docs.select("text").write.text(f"{path}/scan_date={scan_date}")
 
 
 def _existing(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,8 +97,9 @@ def _current_prints(spark: SparkSession, sf: str) -> DataFrame:
 # --- sources ------------------------------------------------------------------------------
 
 def scan_payload_dir(spark, sf):
-    path = _land_text(star.documents(spark, sf, broken=True), "payloads")
-    docs = P.read_payload_text(spark, path, glob="*.txt")
+    path = scratch.scratch_dir(spark, "payloads")
+    _land_text(star.documents(spark, sf, broken=True), path, FIRST)
+    docs = P.read_payload_text(spark, path, glob="*.txt", per_line=True)
     return M.dedup(FL.flatten_payloads(P.payload_roots(docs)))
 
 
@@ -117,6 +119,13 @@ def workspace_source(spark, sf):
     return W.shape_workspace_source(star.workspace_source(spark, sf), include_personal=False)
 
 
+def workspace_source_path(spark, sf):
+    """The same source found by its name under the curated folder."""
+    base = scratch.scratch_dir(spark, "curated")
+    star.workspace_source(spark, sf).write.parquet(f"{base}/my_workspaces.parquet")
+    return W.read_workspace_source(spark, "my_workspaces", base, include_personal=False)
+
+
 def workspace_source_quality(spark, sf):
     return W.source_quality(star.workspace_source(spark, sf))
 
@@ -163,6 +172,13 @@ def activity_events(spark, sf):
     return A.in_window(A.unnest_pages(star.activity_pages(spark, sf)), star.as_of(), days=20)
 
 
+def activity_filtered(spark, sf):
+    """One activity of the last 20 days, from events landed by date."""
+    path = scratch.scratch_dir(spark, "events")
+    A.land_events(A.unnest_pages(star.activity_pages(spark, sf)), path)
+    return A.read_events(spark, path, star.as_of(), days=20, activity="ViewReport")
+
+
 def activity_by_day_tile(spark, sf):
     tiles = A.day_tiles(star.activity_events(spark, sf), star.as_of(), days=30)
     fmt = "yyyy-MM-dd HH:mm:ss"
@@ -230,6 +246,10 @@ def capacity_metadata(spark, sf):
     )
 
 
+def _sidecar_profile(profile: str) -> Query:
+    return lambda spark, sf: SC.build_sidecar(star.workspaces_with_users(spark, sf), profile)
+
+
 def sidecar_lookup(spark, sf):
     return SC.lookup(star.workspaces(spark, sf).select("id", "name", "type"), _returned(spark, sf))
 
@@ -283,23 +303,59 @@ def save_inventory(spark, sf):
     return I.read_inventory(spark, base)
 
 
+_ODD_NAME = (
+    "CASE CAST(substr(item_id, 4) AS bigint) % 6 WHEN 0 THEN concat(item_name, chr(10), '\"x\", y') WHEN 1 THEN '' "
+    "WHEN 2 THEN NULL WHEN 3 THEN concat(' ', item_name, ',') WHEN 4 THEN concat(chr(92), item_name, '\"') ELSE item_name END AS item_name"
+)
+
+
 def save_inventory_csv(spark, sf):
-    """Round trip through the CSV copy. CSV has one spelling for null and empty, so both
-    come back as null."""
+    """Round trip through the CSV copy, with line breaks, quotes, commas, empty text and nulls in names."""
     path = scratch.scratch_dir(spark, "csv")
-    rows = inventory(spark, sf)
+    inv = inventory(spark, sf)
+    rows = inv.selectExpr(*[_ODD_NAME if c == "item_name" else c for c in inv.columns])
     TB.save_csv(rows, path)
-    return spark.read.schema(rows.schema).option("header", True).csv(path)
+    return TB.read_csv(spark, path, rows.schema)
+
+
+def save_registered_table(spark, sf):
+    """A registered table, merged into twice and read by its name."""
+    base, name = scratch.scratch_dir(spark, "registered"), f"inventory_{uuid.uuid4().hex}"
+    TB.save_inventory(_existing(spark, sf), base, table=name)
+    TB.save_inventory(_incoming(spark, sf), base, table=name, mode="merge")
+    TB.save_inventory(_incoming(spark, sf), base, table=name, mode="merge")
+    return I.read_inventory(spark, name)
+
+
+def save_partitioned(spark, sf):
+    """An inventory in hash partitions, merged into."""
+    base = scratch.scratch_dir(spark, "partitioned")
+    TB.merge_partitioned(_existing(spark, sf), base, parts=8)
+    TB.merge_partitioned(_incoming(spark, sf), base)
+    return I.read_inventory(spark, base)
+
+
+def create_table_as(spark, sf):
+    name = f"workspaces_{uuid.uuid4().hex}"
+    TB.create_table_as(R.workspace_inventory(inventory(spark, sf)), name)
+    return spark.table(name)
+
+
+def analysis_saved(spark, sf):
+    """Inbound access as the direction analysis saves it, read from its CSV."""
+    path = scratch.scratch_dir(spark, "analysis")
+    _, inbound = J.analyse_direction(inventory(spark, sf), star.activity_events(spark, sf), star.as_of(), 30, path)
+    return TB.read_csv(spark, f"{path}/inbound_api_activity/csv", inbound.schema)
 
 
 def payload_roundtrip(spark, sf):
     base = scratch.scratch_dir(spark, "raw")
     landed = _payloads(spark, sf).select(
         F.when(F.pmod(F.xxhash64("path"), F.lit(2)) == 0, F.lit("full")).otherwise(F.lit("incremental")).alias("scan_kind"),
-        "payload",
+        F.lit(FIRST).alias("scan_date"), "payload",
     )
     TB.land_payloads(landed, base)
-    docs = P.read_payload_text(spark, f"{base}/*")
+    docs = P.read_payload_text(spark, base, per_line=True, since=FIRST)
     return M.dedup(FL.flatten_payloads(P.payload_roots(docs)))
 
 
@@ -307,41 +363,97 @@ def connections_with_direction(spark, sf):
     return J.analyse_direction(inventory(spark, sf))[0].select(*CONNECTION_KEY, "direction")
 
 
+def _run_stream(spark, work: str) -> None:
+    stream = ST.read_payload_stream(spark, f"{work}/raw", glob="*.txt", per_line=True)
+    ST.stage_increments(stream, f"{work}/increments", f"{work}/checkpoint")
+
+
 def stream_ingest_merge(spark, sf):
     """Land documents, stream them in micro-batches, merge the increments once."""
-    path = _land_text(star.documents(spark, sf, broken=True), "stream-in")
     work = scratch.scratch_dir(spark, "stream")
-    stream = ST.read_payload_stream(spark, path, glob="*.txt")
-    ST.stage_increments(stream, f"{work}/increments", f"{work}/checkpoint")
+    _land_text(star.documents(spark, sf, broken=True), f"{work}/raw", FIRST)
+    _run_stream(spark, work)
     ST.merge_increments(spark, f"{work}/increments", f"{work}/curated")
     return I.read_inventory(spark, f"{work}/curated")
 
 
+def stream_two_runs(spark, sf):
+    """The same workspaces landed twice, the second time with fewer connections; a third run finds nothing new."""
+    work = scratch.scratch_dir(spark, "stream")
+    for scan, rescan in ((FIRST, False), (SECOND, True), (None, False)):
+        if scan:
+            _land_text(star.documents(spark, sf, rescan=rescan), f"{work}/raw", scan)
+        _run_stream(spark, work)
+        ST.merge_increments(spark, f"{work}/increments", f"{work}/curated")
+    return I.read_inventory(spark, f"{work}/curated")
+
+
 def stream_fingerprints(spark, sf):
     """Repeated updates: fingerprints refreshed from streamed increments over stored ones."""
-    path = _land_text(star.documents(spark, sf), "stream-in")
     work = scratch.scratch_dir(spark, "stream")
+    _land_text(star.documents(spark, sf), f"{work}/raw", FIRST)
     S.write_snapshot(_stored_prints(spark, sf), f"{work}/hashes")
-    stream = ST.read_payload_stream(spark, path, glob="*.txt")
-    ST.stage_increments(stream, f"{work}/increments", f"{work}/checkpoint")
-    ST.update_fingerprints(
-        spark, f"{work}/increments", _workspaces(spark, sf), "2024-01-31T00:00:00+00:00", f"{work}/hashes"
-    )
+    _run_stream(spark, work)
+    ST.update_fingerprints(spark, f"{work}/increments", _workspaces(spark, sf), SECOND_TIME, f"{work}/hashes")
     return I.read_fingerprints(spark, f"{work}/hashes")
 
 
+def stream_fingerprints_rescan(spark, sf):
+    """The same content scanned twice: hashes stay as they were."""
+    work = scratch.scratch_dir(spark, "stream")
+    for scan, time in ((FIRST, FIRST_TIME), (SECOND, SECOND_TIME)):
+        _land_text(star.documents(spark, sf), f"{work}/raw", scan)
+        _run_stream(spark, work)
+        ST.update_fingerprints(spark, f"{work}/increments", _workspaces(spark, sf), time, f"{work}/hashes")
+    return I.read_fingerprints(spark, f"{work}/hashes")
+
+
+def scan_dir_rejects(spark, sf):
+    """What a job over landed files could not use, by reason."""
+    work = scratch.scratch_dir(spark, "rejects")
+    _land_text(star.documents(spark, sf, broken=True), f"{work}/raw", FIRST)
+    J.scan_directory(spark, f"{work}/raw", f"{work}/curated", glob="*.txt", per_line=True, rejects=f"{work}/rejects")
+    return spark.read.parquet(f"{work}/rejects").groupBy("reason", "position").agg(F.sum("n").alias("n"))
+
+
+def scan_dir_partitioned(spark, sf):
+    """Landed files into an inventory kept in hash partitions."""
+    work = scratch.scratch_dir(spark, "partitions")
+    _land_text(star.documents(spark, sf), f"{work}/raw", FIRST)
+    J.scan_directory(spark, f"{work}/raw", f"{work}/curated", glob="*.txt", per_line=True, partitions=8)
+    return I.read_inventory(spark, f"{work}/curated")
+
+
+def _stored_times(spark, sf, path: str) -> None:
+    S.write_snapshot(star.stored_times(spark, sf).select(
+        "workspace_id", F.lit("").alias("workspace_name"), F.lit("").alias("workspace_type"),
+        F.lit("").alias("connection_hash"), "last_scan_time",
+    ), path)
+
+
 def incremental_update(spark, sf):
-    """Modified workspaces that were not scanned lately, merged into the earlier inventory."""
+    """Modified workspaces that were not scanned lately, refreshed in the earlier inventory."""
     work = scratch.scratch_dir(spark, "incremental")
     TB.save_inventory(_existing(spark, sf), f"{work}/curated")
-    stored = star.stored_times(spark, sf)
-    S.write_snapshot(stored.select(
-        "workspace_id", F.lit("").alias("workspace_name"), F.lit("").alias("workspace_type"),
-        F.lit("").alias("connection_hash"), "last_scan_time",
-    ), f"{work}/hashes")
+    _stored_times(spark, sf, f"{work}/hashes")
     J.incremental_update(
         star.documents(spark, sf), _workspaces(spark, sf), W.lookback_start(star.as_of(), days=2), star.as_of(),
-        "2024-01-31T00:00:00+00:00", f"{work}/curated", f"{work}/hashes", include_personal=False,
+        SECOND_TIME, f"{work}/curated", f"{work}/hashes", include_personal=False,
+    )
+    return I.read_inventory(spark, f"{work}/curated")
+
+
+def incremental_replace(spark, sf):
+    """Two landed scans; the newer one replaces what the workspaces had, and empties some."""
+    work = scratch.scratch_dir(spark, "incremental")
+    TB.save_inventory(star.connections(spark, sf, name_suffix=" v1"), f"{work}/curated")
+    _stored_times(spark, sf, f"{work}/hashes")
+    _land_text(star.documents(spark, sf), f"{work}/raw", FIRST)
+    _land_text(star.documents(spark, sf, rescan=True), f"{work}/raw", SECOND)
+    docs = P.read_payload_text(spark, f"{work}/raw", glob="*.txt", per_line=True, since=FIRST)
+    J.incremental_update(
+        docs, _workspaces(spark, sf), W.lookback_start(star.as_of(), days=2), star.as_of(), SECOND_TIME,
+        f"{work}/curated", f"{work}/hashes", include_personal=False,
     )
     return I.read_inventory(spark, f"{work}/curated")
 
@@ -349,7 +461,8 @@ def incremental_update(spark, sf):
 # --- fingerprints -----------------------------------------------------------------------------
 
 def fingerprint_build(spark, sf):
-    return _current_prints(spark, sf)
+    """Of all connections of every workspace."""
+    return FP.fingerprints(star.connections(spark, sf), _workspaces(spark, sf), "2024-01-31T00:00:00+00:00")
 
 
 def fingerprint_upsert(spark, sf):
@@ -442,6 +555,14 @@ def scan_plan(spark, sf):
     return _plan(spark, sf).select("id", "seq", "batch_no", "chunk_no")
 
 
+def scan_plan_full(spark, sf):
+    """Personal filter, capacity filter, priority and batches of a full scan."""
+    return J.plan_full_scan(
+        _workspaces(spark, sf), 4, exclude=["cap-00000003"], priority=["cap-00000012", "shared"], include_personal=False,
+        batch_size=10,
+    )
+
+
 def scan_plan_by_capacity(spark, sf):
     plan = N.plan_batches(_keyed(spark, sf), 4, batch_size=10, within="capacity_key")
     return plan.select("id", "capacity_key", "seq", "batch_no", "chunk_no")
@@ -461,11 +582,6 @@ def scan_estimate(spark, sf):
     return N.estimate(_workspaces(spark, sf), 4)
 
 
-def quota_coverage(spark, sf):
-    plan = N.plan_batches(_keyed(spark, sf), 4, batch_size=10, within="capacity_key")
-    return N.quota_coverage(plan, max_calls=7, workers=2)
-
-
 # --- filters and reports -------------------------------------------------------------------------
 
 def _report(fn: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -510,12 +626,14 @@ QUERIES: dict[str, Query] = {
     "payload_rejects": payload_rejects,
     "payload_root_normalise": payload_root_normalise,
     "workspace_source": workspace_source,
+    "workspace_source_path": workspace_source_path,
     "workspace_source_quality": workspace_source_quality,
     "workspace_list_normalise": workspace_list_normalise,
     "modified_since": modified_since,
     "lookback_window": lookback_window,
     "scan_by_id": scan_by_id,
     "activity_events": activity_events,
+    "activity_filtered": activity_filtered,
     "activity_by_day_tile": activity_by_day_tile,
     "flatten_all": flatten_all,
     "flatten_semantic_models": _flatten_kinds(*V.SEMANTIC_TYPES),
@@ -528,6 +646,8 @@ QUERIES: dict[str, Query] = {
     "cloud_flag": cloud_flag,
     "build_target": build_target,
     "workspace_sidecar": workspace_sidecar,
+    "sidecar_incremental": _sidecar_profile("incremental"),
+    "sidecar_listing": _sidecar_profile("listing"),
     "workspace_owners_list": workspace_owners_list,
     "capacity_metadata": capacity_metadata,
     "sidecar_lookup": sidecar_lookup,
@@ -541,11 +661,20 @@ QUERIES: dict[str, Query] = {
     "duplicate_check": duplicate_check,
     "save_inventory": save_inventory,
     "save_inventory_csv": save_inventory_csv,
+    "save_registered_table": save_registered_table,
+    "save_partitioned": save_partitioned,
+    "create_table_as": create_table_as,
+    "analysis_saved": analysis_saved,
+    "scan_dir_rejects": scan_dir_rejects,
+    "scan_dir_partitioned": scan_dir_partitioned,
     "payload_roundtrip": payload_roundtrip,
     "connections_with_direction": connections_with_direction,
     "stream_ingest_merge": stream_ingest_merge,
+    "stream_two_runs": stream_two_runs,
     "stream_fingerprints": stream_fingerprints,
+    "stream_fingerprints_rescan": stream_fingerprints_rescan,
     "incremental_update": incremental_update,
+    "incremental_replace": incremental_replace,
     "fingerprint_build": fingerprint_build,
     "fingerprint_upsert": fingerprint_upsert,
     "fingerprint_diff": fingerprint_diff,
@@ -562,11 +691,11 @@ QUERIES: dict[str, Query] = {
     "capacity_unknown": capacity_unknown,
     "capacity_order": capacity_order,
     "scan_plan": scan_plan,
+    "scan_plan_full": scan_plan_full,
     "scan_plan_by_capacity": scan_plan_by_capacity,
     "remaining_batches": remaining_batches,
     "scan_progress": scan_progress,
     "scan_estimate": scan_estimate,
-    "quota_coverage": quota_coverage,
     "exclude_personal": exclude_personal,
     "workspace_subset": workspace_subset,
     "workspace_rename": workspace_rename,

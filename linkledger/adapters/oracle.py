@@ -31,8 +31,7 @@ usr AS (
          CASE WHEN s_suppkey % 7 <> 0 THEN 'user' || s_suppkey || '@example.org' ELSE 'id-' || s_suppkey END AS addr
   FROM supplier WHERE s_suppkey % 3 IN (0, 1)),
 own AS (
-  SELECT g, string_agg(addr, ', ' ORDER BY s) AS users
-  FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY s) AS rn FROM usr) WHERE rn <= 5 GROUP BY g),
+  SELECT g, string_agg(addr, ', ' ORDER BY s) AS users FROM usr GROUP BY g),
 ws AS (
   SELECT c_custkey AS custkey, 'ws-' || c_custkey AS id,
          c_name || CASE c_custkey % 10 WHEN 3 THEN ' Test' WHEN 7 THEN ' Dev' ELSE '' END AS name,
@@ -158,11 +157,12 @@ def _hashes(name: str, condition: str) -> str:
         "'{\"connector\": ' || " + text("connector") + " || ', \"database\": ' || " + text("database")
         + " || ', \"endpoint\": ' || " + text("endpoint") + " || ', \"server\": ' || " + text("server") + " || '}'"
     )
+    lanes = ", ':', ".join(
+        f"CAST(sum(CAST(('0x' || substr(d, {1 + 16 * i}, 16)) AS UBIGINT)) AS VARCHAR)" for i in range(4)
+    )
     return (
-        f"{name} AS (SELECT workspace_id, sha256('[' || string_agg(doc, ', ' ORDER BY sk, doc) || ']') "
-        f"AS connection_hash FROM (SELECT workspace_id, {doc} AS doc, "
-        "coalesce(connector, 'None') || '_' || coalesce(server, 'None') || '_' || coalesce(database, 'None') AS sk "
-        f"FROM conn WHERE {condition}) GROUP BY workspace_id)"
+        f"{name} AS (SELECT workspace_id, sha256(concat(count(*), ':', {lanes})) AS connection_hash "
+        f"FROM (SELECT workspace_id, sha256({doc}) AS d FROM conn WHERE {condition}) GROUP BY workspace_id)"
     )
 
 
@@ -197,6 +197,13 @@ recent AS (
 _CAND = """
 cand AS (SELECT id AS workspace_id FROM ws WHERE modified >= TIMESTAMP '2024-01-28 00:00:00')"""
 
+_TODO = """
+todo AS (
+  SELECT id AS workspace_id FROM ws WHERE modified >= TIMESTAMP '2024-01-29 00:00:00'
+  AND coalesce(type, '') <> 'PersonalGroup' AND id NOT IN (SELECT workspace_id FROM recent))"""
+# Connections that the second scan no longer has.
+_GONE = "CAST(substr(workspace_id, 4) AS BIGINT) % 2 = 0 AND (CAST(substr(workspace_id, 4) AS BIGINT) % 10 = 0 OR k % 3 = 0)"
+
 _EVENTS = """
 ev AS (
   SELECT CASE event_type WHEN 'view' THEN 'ViewReport' WHEN 'click' THEN 'GetDataset' WHEN 'purchase' THEN
@@ -300,6 +307,8 @@ ORACLE: dict[str, str] = {
         """),
     "workspace_source": _with(_WS, _SRC, select=(
         "SELECT * FROM src WHERE workspace_id IS NOT NULL AND " + _NOT_PERSONAL.format(c="workspace_type"))),
+    "workspace_source_path": _with(_WS, _SRC, select=(
+        "SELECT * FROM src WHERE workspace_id IS NOT NULL AND " + _NOT_PERSONAL.format(c="workspace_type"))),
     "workspace_source_quality": _with(_WS, _SRC, select=(
         "SELECT count(*) AS rows, count(*) FILTER (workspace_id IS NULL) AS null_ids, "
         "count(*) FILTER (workspace_id IS NOT NULL AND " + _NOT_PERSONAL.format(c="workspace_type")
@@ -322,6 +331,9 @@ ORACLE: dict[str, str] = {
     "activity_events": _with(_EVENTS, select=(
         "SELECT * EXCLUDE (ts) FROM ev WHERE ts >= TIMESTAMP '2024-01-11 00:00:00' "
         "AND ts < TIMESTAMP '2024-01-31 00:00:00'")),
+    "activity_filtered": _with(_EVENTS, select=(
+        "SELECT * EXCLUDE (ts) FROM ev WHERE ts >= TIMESTAMP '2024-01-11 00:00:00' "
+        "AND ts < TIMESTAMP '2024-01-31 00:00:00' AND \"Activity\" = 'ViewReport'")),
     "activity_by_day_tile": """
         WITH d AS (SELECT CAST(range AS INTEGER) AS tile, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(range AS INTEGER)) AS dated
                    FROM range(30))
@@ -344,6 +356,12 @@ ORACLE: dict[str, str] = {
         "count(*) FILTER (NOT cloud) AS other_rows FROM conn GROUP BY ALL"),
     "build_target": _conn("SELECT target, count(*) AS n FROM conn GROUP BY target"),
     "workspace_sidecar": _with(_WS, select=f"SELECT {_SIDE_COLUMNS} FROM side"),
+    "sidecar_incremental": _with(_WS, select="""
+        SELECT workspace_id, name, kind, users, CAST(NULL AS VARCHAR) AS capacity_id, 'Shared' AS capacity_name,
+               false AS is_dedicated_capacity FROM side"""),
+    "sidecar_listing": _with(_WS, select="""
+        SELECT id AS workspace_id, name, 'workspace' AS kind, CAST(NULL AS VARCHAR) AS users, cap_id AS capacity_id,
+               coalesce(cap_name, 'Shared') AS capacity_name, dedicated AS is_dedicated_capacity FROM ws"""),
     "workspace_owners_list": _with(_WS, select="SELECT id AS workspace_id, users AS workspace_users FROM ws"),
     "capacity_metadata": _with(_WS, select=(
         "SELECT workspace_id, capacity_id, capacity_name, is_dedicated_capacity FROM side")),
@@ -371,17 +389,39 @@ ORACLE: dict[str, str] = {
     "snapshot_removed": _conn(f"SELECT {_KEY} FROM existing EXCEPT SELECT {_KEY} FROM incoming", _EXISTING, _INCOMING),
     "duplicate_check": _conn(f"SELECT {_KEY}, count(*) AS count FROM conn GROUP BY {_KEY} HAVING count(*) > 1"),
     "save_inventory": _conn(_best("both_sides", "side DESC"), _EXISTING, _INCOMING, _BOTH),
-    "save_inventory_csv": _inv("SELECT * REPLACE (nullif(connector, '') AS connector) FROM inv"),
+    "save_registered_table": _conn(_best("both_sides", "side DESC"), _EXISTING, _INCOMING, _BOTH),
+    "save_partitioned": _conn(_best("both_sides", "side DESC"), _EXISTING, _INCOMING, _BOTH),
+    "create_table_as": _inv("SELECT * FROM iw WHERE workspace_type <> 'personalgroup'", _INV_WS),
+    "analysis_saved": _with(_EVENTS, select="SELECT * FROM inb"),
+    "scan_dir_rejects": _with(_DOCS, select="""
+        SELECT reason, position, CAST(sum(n) AS BIGINT) AS n FROM (
+          SELECT 'invalid_json' AS reason, CAST(NULL AS INTEGER) AS position, 1 AS n FROM docs WHERE doc % 7 = 0
+          UNION ALL SELECT 'element_not_object', 1, 1 FROM docs WHERE doc % 8 = 7) GROUP BY ALL"""),
+    "scan_dir_partitioned": _conn(_best("conn")),
+    "save_inventory_csv": _inv("""
+        SELECT * REPLACE (CASE CAST(substr(item_id, 4) AS BIGINT) % 6 WHEN 0 THEN item_name || chr(10) || '"x", y'
+          WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN ' ' || item_name || ',' WHEN 4 THEN chr(92) || item_name || '"'
+          ELSE item_name END AS item_name) FROM inv"""),
     "payload_roundtrip": _conn(_best("conn")),
     "connections_with_direction": _inv(f"SELECT {_KEY}, {_DIRECTION} AS direction FROM inv"),
     "stream_ingest_merge": _conn(_best("conn")),
+    "stream_two_runs": _conn(_best("kept"), f"kept AS (SELECT * FROM conn WHERE NOT ({_GONE}))"),
+    "stream_fingerprints_rescan": _conn(_prints("new_hash", "2024-01-31T00:00:00+00:00") + """
+        UNION ALL SELECT id, name, coalesce(lower(type), ''), sha256(''), '2024-01-31T00:00:00+00:00' FROM ws
+        WHERE id NOT IN (SELECT workspace_id FROM new_hash)""", _FULL_HASH),
     "stream_fingerprints": _conn(_upserted(), _STORED_HASH, _FULL_HASH),
     "incremental_update": _conn(
-        _best("both_sides", "side DESC"), _EXISTING, _RECENT,
-        """todo AS (SELECT id AS workspace_id FROM ws WHERE modified >= TIMESTAMP '2024-01-29 00:00:00'
-           AND coalesce(type, '') <> 'PersonalGroup' AND id NOT IN (SELECT workspace_id FROM recent))""",
-        "incoming AS (SELECT * FROM conn WHERE workspace_id IN (SELECT workspace_id FROM todo))", _BOTH),
-    "fingerprint_build": _conn(_prints("new_hash", "2024-01-31T00:00:00+00:00"), _CURRENT_HASH),
+        _best("both_sides"), _EXISTING, _RECENT, _TODO,
+        f"""both_sides AS (
+          SELECT {_COLUMNS} FROM existing WHERE workspace_id NOT IN (SELECT workspace_id FROM todo) UNION ALL
+          SELECT {_COLUMNS} FROM conn WHERE workspace_id IN (SELECT workspace_id FROM todo))"""),
+    "incremental_replace": _conn(
+        _best("both_sides"), _RECENT, _TODO,
+        f"""both_sides AS (
+          SELECT {_COLUMNS} FROM (SELECT * REPLACE (item_name || ' v1' AS item_name) FROM conn)
+          WHERE workspace_id NOT IN (SELECT workspace_id FROM todo) UNION ALL
+          SELECT {_COLUMNS} FROM conn WHERE workspace_id IN (SELECT workspace_id FROM todo) AND NOT ({_GONE}))"""),
+    "fingerprint_build": _conn(_prints("new_hash", "2024-01-31T00:00:00+00:00"), _FULL_HASH),
     "fingerprint_upsert": _conn(_upserted(), _STORED_HASH, _CURRENT_HASH),
     "fingerprint_diff": _conn("""
         SELECT workspace_id, o.connection_hash AS stored_hash, n.connection_hash AS current_hash,
@@ -423,6 +463,16 @@ ORACLE: dict[str, str] = {
                      CASE capacity_key WHEN 'cap-00000012' THEN 1 WHEN 'shared' THEN 2 WHEN 'cap-none' THEN 3 END AS priority
               FROM keyed GROUP BY capacity_key)"""),
     "scan_plan": _plan("SELECT * FROM plan"),
+    "scan_plan_full": _with(_WS, _KEYED, f"""
+        kept AS (SELECT * FROM keyed WHERE {_NOT_PERSONAL.format(c="type")} AND capacity_key <> 'cap-00000003'),
+        caps AS (
+          SELECT capacity_key, row_number() OVER (ORDER BY CASE capacity_key WHEN 'cap-00000012' THEN 1 WHEN 'shared' THEN 2 END
+            NULLS LAST, count(*) DESC, capacity_key) AS position FROM kept GROUP BY capacity_key),
+        numbered AS (
+          SELECT id, capacity_key, position, row_number() OVER (ORDER BY position, substr(md5(id), 1, 3), id) - 1 AS seq
+          FROM kept JOIN caps USING (capacity_key))""", select="""
+        SELECT id, capacity_key, CAST(position AS INTEGER) AS position, seq, CAST(seq // 10 AS INTEGER) AS batch_no,
+               CAST(seq // 40 AS INTEGER) AS chunk_no FROM numbered"""),
     "scan_plan_by_capacity": _with(_WS, _KEYED, _CAP_PLAN, select="SELECT * FROM plan"),
     "remaining_batches": _plan("SELECT id, batch_no FROM plan WHERE batch_no NOT IN (SELECT batch_no FROM completed)"),
     "scan_progress": _plan("""
@@ -435,11 +485,6 @@ ORACLE: dict[str, str] = {
                round(count(*) * 8.0::DOUBLE / 100, 4) AS calls,
                round(ceil(count(*) / 100.0) / 4.0::DOUBLE, 4) AS hours,
                CAST(ceil(ceil(count(*) / 100.0) / 4.0) AS BIGINT) AS whole_hours FROM ws"""),
-    "quota_coverage": _with(_WS, _KEYED, _CAP_PLAN, select="""
-        SELECT capacity_key, count(*) AS workspaces, max(batch_no) + 1 AS batches,
-               least(max(batch_no) + 1, 3) AS covered_batches, greatest(max(batch_no) + 1 - 3, 0) AS uncovered_batches,
-               count(*) FILTER (batch_no >= 3) AS uncovered_workspaces
-        FROM plan GROUP BY capacity_key"""),
     "exclude_personal": _with(_WS, select="SELECT id, type FROM ws WHERE " + _NOT_PERSONAL.format(c="type")),
     "workspace_subset": _inv(
         f"SELECT {_KEY} FROM inv WHERE workspace_id IN (SELECT workspace_id FROM cand) "

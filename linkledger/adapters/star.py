@@ -4,9 +4,9 @@ Customers stand for workspaces, orders for items, line items for references and
 for the activity and request logs. Everything is plain expressions over whole tables, so
 that the same data can be written as SQL.
 
-Payload documents hold about a hundred workspaces. A document that would grow beyond
-``ROWS_PER_DOCUMENT`` references is split into fragments by row, so no single workspace
-or item, however large, is gathered in one place.
+Payload documents hold about a hundred workspaces. Every document comes in ``FRAGMENTS``
+fragments, to which its references are dealt by row, so that neither a workspace nor an
+item is in one place.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from linkledger.schemas import REFERENCE_DDL
 AS_OF = "2024-01-31 00:00:00"
 CUTOFF = "1999-01-01"
 OVERLAP = "1998-01-01"
-ROWS_PER_DOCUMENT = 50_000
+FRAGMENTS = 4
 
 # Raw connector names by brand number, chosen to reach every rule.
 CONNECTORS = [
@@ -155,13 +155,7 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reference struct per line item, keyed by order."""
     names = ", ".join("NULL" if c is None else f"'{c}'" for c in CONNECTORS)
     # The position in the scan tells copies of a row apart when a document is split.
-    scan = table(spark, sf_dir, "lineitem")
-    line = scan.selectExpr("*", "monotonically_increasing_id() AS _at")
-    # A small file of a single row group is read by one task. Its rows are then spread over
-    # the cores; a scan that already has a task for every core is left as it is.
-    cores = spark.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < cores:
-        line = line.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
+    line = table(spark, sf_dir, "lineitem").selectExpr("*", "monotonically_increasing_id() AS _at")
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS l_partkey", "p_size", "CAST(regexp_extract(p_brand, r'([0-9]+)$', 1) AS int) AS brand",
     )
@@ -227,22 +221,14 @@ def connections(
 
 # --- payload documents ---------------------------------------------------------------------
 
-def _document_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fragments per document, from the number of rows that would go into it."""
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.expr("count(1) AS n"))
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS orderkey", "o_custkey div 100 AS doc")
-    per_doc = orders.join(lines, "orderkey", "left").groupBy("doc").agg(
-        F.expr("sum(greatest(coalesce(n, 0), 1)) AS rows")
-    )
-    return per_doc.selectExpr("doc", f"CAST(ceil(rows / {ROWS_PER_DOCUMENT}) AS int) AS parts")
-
-
 _NO_REF = f"CAST(NULL AS struct<line:int,ref:{REFERENCE_DDL}>)"
 
+_OTHER = f"NOT ({FL.SEMANTIC} OR {FL.DATAFLOW} OR {FL.ACTIVITY} OR {FL.REFERENCE})"
+
 # Only the reference fields a kind spells out, so the text stays small.
 _SLIM = "named_struct(" + ", ".join(
     f"'{name}', CASE WHEN {rule} THEN ref.{name} END" for name, rule in {
-        "gatewayId": FL.SEMANTIC, "connectionDetails": FL.SEMANTIC,
+        "gatewayId": f"({FL.SEMANTIC} OR {_OTHER})", "connectionDetails": f"({FL.SEMANTIC} OR {_OTHER})",
         "type": f"({FL.DATAFLOW} OR {FL.ACTIVITY} OR {FL.REFERENCE})", "provider": FL.DATAFLOW,
         "url": f"({FL.DATAFLOW} OR {FL.REFERENCE})", "path": FL.DATAFLOW, "endpoint": FL.REFERENCE,
         "isCloud": FL.REFERENCE, "linkedService": FL.ACTIVITY,
@@ -252,7 +238,8 @@ _SLIM = "named_struct(" + ", ".join(
 # The item's reference arrays as the payload spells them, from the sorted-out ``refs``.
 _PLAIN = "transform(refs, r -> r.ref)"
 _ARRAYS = [
-    f"CASE WHEN {FL.SEMANTIC} THEN {_PLAIN} END AS datasources",
+    # Items of other kinds carry references too, which flattening has to leave alone.
+    f"CASE WHEN {FL.SEMANTIC} OR {_OTHER} THEN {_PLAIN} END AS datasources",
     f"CASE WHEN {FL.DATAFLOW} THEN CASE WHEN orderkey % 3 <> 0 THEN {_PLAIN} "
     f"ELSE CAST(array() AS array<{REFERENCE_DDL}>) END END AS sources",
     f"CASE WHEN {FL.DATAFLOW} AND orderkey % 3 = 0 THEN {_PLAIN} END AS entities",
@@ -273,24 +260,23 @@ _SIDE = (
 
 def payload_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc, part, payload)``: about a hundred workspaces each, with their sidecar."""
-    parts = _document_parts(spark, sf_dir)
     item = f"struct(orderkey, kind, {', '.join(_ITEM_FIELDS)})"
     its = items(spark, sf_dir).selectExpr(
-        "custkey div 100 AS doc", "custkey", "orderkey", "kind", "reads", f"{item} AS item"
-    ).join(parts, "doc")
+        "custkey div 100 AS doc", "custkey", "orderkey", "kind", f"{item} AS item"
+    )
     refs = references(spark, sf_dir).drop("ship_date")
-    lines = its.filter("reads").join(refs, "orderkey").selectExpr(
-        "doc", "CAST(pmod(xxhash64(_at), parts) AS int) AS part", "custkey", "item",
+    lines = its.join(refs, "orderkey").selectExpr(
+        "doc", f"CAST(pmod(CASE WHEN {_OTHER} THEN xxhash64(orderkey) ELSE xxhash64(_at) END, {FRAGMENTS}) AS int) AS part", "custkey", "item",
         f"named_struct('line', line, 'ref', {_SLIM}) AS r",
     )
-    # Every item once without a reference, so that items lacking any still appear.
+    # Every item once without a reference, so that items lacking any still appear. Items of other
+    # kinds give one row each, so theirs stay together.
     bare = its.selectExpr(
-        "doc", "CAST(pmod(xxhash64(orderkey), parts) AS int) AS part", "custkey", "item", f"{_NO_REF} AS r"
+        "doc", f"CAST(pmod(xxhash64(orderkey), {FRAGMENTS}) AS int) AS part", "custkey", "item", f"{_NO_REF} AS r"
     )
     heads = (
-        workspaces_with_users(spark, sf_dir).withColumn("doc", F.expr("custkey div 100")).join(parts, "doc", "left")
-        .selectExpr(
-            "doc", "explode(sequence(0, coalesce(parts, 1) - 1)) AS part", "custkey", f"{_NO_REF} AS r",
+        workspaces_with_users(spark, sf_dir).selectExpr(
+            "custkey div 100 AS doc", f"explode(sequence(0, {FRAGMENTS - 1})) AS part", "custkey", f"{_NO_REF} AS r",
             "struct(id, name, type, capacityId, capacityName, isOnDedicatedCapacity, users) AS head",
         )
     )
@@ -320,15 +306,26 @@ def payload_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+# What a second scan returns: every other workspace, without some of its items, of some without any.
+_RESCANNED = (
+    "named_struct('workspaces', transform(filter(payload.workspaces, w -> CAST(substr(w.id, 4) AS bigint) % 2 = 0), "
+    "w -> struct(w.id, w.name, w.type, w.capacityId, w.capacityName, w.isOnDedicatedCapacity, w.users, filter(w.items, "
+    "i -> CAST(substr(w.id, 4) AS bigint) % 10 <> 0 AND CAST(substr(i.id, 4) AS bigint) % 3 <> 0) AS items)), "
+    "'workspace_sidecar', payload.workspace_sidecar)"
+)
+
+
+def documents(spark: SparkSession, sf_dir: str, broken: bool = False, rescan: bool = False) -> DataFrame:
     """Payload documents as ``(path, text)``: object roots, list roots, some with junk in the list.
 
+    ``rescan`` gives a second scan, in which half of the workspaces have lost connections.
+
     ``broken`` adds a cut-off copy of some documents, which must be rejected. Fragments of
     a split document carry its file name under a folder of their own.
     """
     docs = payload_structs(spark, sf_dir).selectExpr(
         "doc", "part", "concat(CASE WHEN part > 0 THEN concat('part-', part, '/') ELSE '' END, 'scan-', doc, '.json') "
-        "AS path", "to_json(payload) AS text",
+        "AS path", f"to_json({_RESCANNED if rescan else 'payload'}) AS text",
     ).selectExpr(
         "doc", "part", "path",
         "CASE WHEN doc % 8 = 7 AND part = 0 THEN concat('[', text, ', 7]') WHEN doc % 2 = 1 THEN concat('[', text, ']') "

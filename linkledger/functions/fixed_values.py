@@ -35,7 +35,6 @@ BROWSER_PREFIX = "Mozilla"
 
 # Workspace owners, kinds and capacity labels.
 OWNER_RIGHTS = ("Admin", "Member")
-OWNER_LIMIT = 5
 PERSONAL_TYPE = "PersonalGroup"
 UNKNOWN = "unknown"
 SHARED_CAPACITY = "Shared"
@@ -53,8 +52,7 @@ REFERENCE_TYPES = ("lakehouse", "notebook")
 WORKSPACES_PER_BATCH = 100
 CALLS_PER_BATCH = 8
 RECENT_HOURS = 24
-RECENT_MIN_CANDIDATES = 5
 HOURLY_LIMIT = 500
 RATE_WARNING = 450
 RATE_MODERATE = 350
-MAX_PAYLOAD_BYTES = 2 * 1024 * 1024 * 1024
+MAX_WHOLE_FILE = 2_000_000_000

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
@@ -27,6 +28,35 @@ def unnest_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def land_events(events: DataFrame, path: str) -> None:
+    """Append events as parquet by ``event_date``, with their time as a timestamp in ``created_at``.
+
+    The date is the first ten characters of the time as written, in UTC, so it doesn't depend on
+    the session; events without a readable time go to the folder of no date.
+    """
+    at = F.try_to_timestamp("CreationTime")
+    dated = events.withColumn("created_at", at).withColumn("event_date", F.when(at.isNotNull(), F.substring("CreationTime", 1, 10)))
+    dated.write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def read_events(
+    spark: SparkSession, path: str, end: Column, days: float = 30, activity: str | None = None
+) -> DataFrame:
+    """Landed events of ``[end - days, end)``; folders outside the window are not read.
+
+    Folders are compared with a day to spare on both sides, for times written with an offset.
+    """
+    start, day = window_start(end, days), "yyyy-MM-dd"
+    schema = T.StructType.fromDDL(f"{ACTIVITY_DDL.removeprefix('struct<').removesuffix('>').replace(':', ' ')}, created_at timestamp, event_date string")
+    rows = spark.read.schema(schema).parquet(path).filter(
+        (F.col("event_date") >= F.date_format(start - F.make_dt_interval(days=F.lit(1)), day))
+        & (F.col("event_date") <= F.date_format(end + F.make_dt_interval(days=F.lit(1)), day))
+        & (F.col("created_at") >= start) & (F.col("created_at") < end)
+    )
+    kept = rows if activity is None else rows.filter(F.col("Activity") == activity)
+    return kept.drop("created_at", "event_date")
+
+
 def window_start(end: Column, days: float) -> Column:
     return end - F.make_dt_interval(secs=F.lit(float(days) * 86400))
 

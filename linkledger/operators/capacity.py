@@ -69,3 +69,11 @@ def ordered(counts: DataFrame, priority: list[str] | None = None) -> DataFrame:
     # One row per capacity by now, so the unpartitioned window sorts a short list.
     w = Window.orderBy(F.asc_nulls_last("priority"), F.desc("workspaces"), "capacity_key")
     return ranked.select("capacity_key", "workspaces", "priority", F.row_number().over(w).alias("position"))
+
+
+def before_each(order: DataFrame) -> DataFrame:
+    """``(capacity_key, position, before)``: how many workspaces the capacities ahead hold. One row per capacity."""
+    from pyspark.sql import Window
+
+    ahead = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    return order.select("capacity_key", "position", F.coalesce(F.sum("workspaces").over(ahead), F.lit(0)).alias("before"))

@@ -9,9 +9,6 @@ from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
 from linkledger.schemas import FINGERPRINT_COLUMNS
 
-#: Workspaces with more connections than this get the wide form of the fingerprint.
-WIDE_ABOVE = 500_000
-
 _FIELDS = ["connector", "server", "database", "endpoint"]
 
 
@@ -24,37 +21,26 @@ def _canonical(fields: list[str]) -> str:
 _SORT_KEY = "concat(" + ", '_', ".join(f"coalesce({c}, 'None')" for c in ("connector", "server", "database")) + ")"
 
 
-def connection_hashes(
-    rows: DataFrame, include_item_id: bool = False, wide_above: int = WIDE_ABOVE
-) -> DataFrame:
+def connection_hashes(rows: DataFrame, include_item_id: bool = False, as_list: bool = False) -> DataFrame:
     """``(workspace_id, connection_hash)`` for every workspace that has rows.
 
-    The hash is SHA-256 of the workspace's connections as a JSON list in sorted order.
-    Equal connections are counted first, so a repeated one costs a single row. A
-    workspace above ``wide_above`` rows is never gathered: its hash comes from sums of
-    per-connection digests, which combine in any order across tasks. Both forms depend
-    only on the set of rows, and a workspace that crosses the limit has changed anyway.
+    Every connection is a JSON object; the hash is SHA-256 of the number of connections and
+    the sums of the four 64-bit lanes of their digests. Sums combine in any order and before
+    the shuffle, so a workspace is never gathered, whatever its size, and repeated
+    connections count as often as they occur.
+
+    ``as_list`` gives SHA-256 of the connections as one sorted JSON list instead, byte for
+    byte as other tools store it; that gathers each workspace in one row.
     """
     fields = _FIELDS + (["item_id"] if include_item_id else [])
     kept = rows.filter(X.is_filled("workspace_id"))
-    sizes = kept.groupBy("workspace_id").agg(F.expr("count(1) AS total"))
-    wide = sizes.filter(f"total > {int(wide_above)}").select("workspace_id")
-    # One narrow look at the workspace column decides the plan. Usually nothing is wide,
-    # and the rows are then read and shuffled once, without any join.
-    if wide.isEmpty():
-        return _listed(_counted(kept, fields))
-    listed = _listed(_counted(kept.join(wide, "workspace_id", "left_anti"), fields))
-    return listed.unionByName(_summed(_counted(kept.join(wide, "workspace_id", "left_semi"), fields)))
+    return _listed(kept, fields) if as_list else _summed(kept, fields)
 
 
-def _counted(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """Distinct connections with their sort key, JSON text and number of occurrences."""
-    counts = rows.groupBy("workspace_id", *fields).agg(F.expr("count(1) AS n"))
-    return counts.selectExpr("workspace_id", f"{_SORT_KEY} AS k", f"{_canonical(fields)} AS doc", "n")
-
-
-def _listed(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("workspace_id").agg(
+def _listed(rows: DataFrame, fields: list[str]) -> DataFrame:
+    counted = rows.groupBy("workspace_id", *fields).agg(F.expr("count(1) AS n"))
+    docs = counted.selectExpr("workspace_id", f"{_SORT_KEY} AS k", f"{_canonical(fields)} AS doc", "n")
+    return docs.groupBy("workspace_id").agg(
         F.expr("array_sort(collect_list(struct(k, doc, n))) AS docs")
     ).selectExpr(
         "workspace_id",
@@ -63,12 +49,12 @@ def _listed(counted: DataFrame) -> DataFrame:
     )
 
 
-def _summed(counted: DataFrame) -> DataFrame:
-    """Hash from four sums of 64-bit lanes; decimals, so they cannot overflow."""
+def _summed(rows: DataFrame, fields: list[str]) -> DataFrame:
+    # Lanes are unsigned; decimals hold them and their sums without overflow.
     lanes = [f"sum(CAST(conv(substring(d, {1 + 16 * i}, 16), 16, 10) AS decimal(20, 0)))" for i in range(4)]
-    digests = counted.selectExpr("workspace_id", "n", "sha2(concat(doc, '#', n), 256) AS d")
+    digests = rows.selectExpr("workspace_id", f"sha2({_canonical(fields)}, 256) AS d")
     return digests.groupBy("workspace_id").agg(
-        F.expr(f"sha2(concat_ws(':', 'wide', sum(n), {', '.join(lanes)}), 256) AS connection_hash")
+        F.expr(f"sha2(concat_ws(':', count(1), {', '.join(lanes)}), 256) AS connection_hash")
     )
 
 
@@ -135,24 +121,26 @@ def skip_recent(
     stored: DataFrame,
     as_of: Column,
     hours: float = V.RECENT_HOURS,
-    min_candidates: int = V.RECENT_MIN_CANDIDATES,
+    min_candidates: int = 0,
 ) -> DataFrame:
     """Candidates (``workspace_id``) not scanned within the last ``hours``.
 
-    Missing or unreadable times keep the workspace. With ``min_candidates`` or fewer
-    candidates nothing is skipped; the count stops as soon as that is decided.
+    Missing or unreadable times keep the workspace. ``min_candidates`` re-scans everything
+    while there are that many candidates or fewer.
     """
-    enough = (
-        candidates.select("workspace_id").limit(min_candidates + 1)
-        .agg((F.count(F.lit(1)) > min_candidates).alias("enough")).scalar()
-    )
-    recent = _recently_scanned(stored, as_of, hours).filter(enough)
+    recent = _recently_scanned(stored, as_of, hours)
+    if min_candidates:
+        enough = (
+            candidates.select("workspace_id").limit(min_candidates + 1)
+            .agg((F.count(F.lit(1)) > min_candidates).alias("enough")).scalar()
+        )
+        recent = recent.filter(enough)
     return candidates.join(recent, "workspace_id", "left_anti")
 
 
 def skip_reduction(
     candidates: DataFrame, stored: DataFrame, as_of: Column, hours: float = V.RECENT_HOURS,
-    min_candidates: int = V.RECENT_MIN_CANDIDATES,
+    min_candidates: int = 0,
 ) -> DataFrame:
     """How many candidates the recency test skips, and the share in percent."""
     recent = _recently_scanned(stored, as_of, hours).withColumn("_recent", F.lit(True))

@@ -26,11 +26,18 @@ ACTIVITY = f"kind IN ({X.quoted(*V.ACTIVITY_TYPES)})"
 REFERENCE = f"kind IN ({X.quoted(*V.REFERENCE_TYPES)})"
 
 # A reference with every field missing; not a null, which would be dropped.
-_DETAILS = "named_struct('datasourceType', s, 'server', s, 'host', s, 'database', s, 'db', s)"
-EMPTY_REFERENCE = (
-    "named_struct('gatewayId', v, 'connectionDetails', {details}, 'type', s, 'provider', s, 'url', s, 'path', s, "
-    "'endpoint', s, 'isCloud', v, 'linkedService', named_struct('type', s, 'url', s, 'endpoint', s, 'gatewayId', v))"
-).format(details=_DETAILS).replace(", v", ", CAST(NULL AS variant)").replace(", s", ", CAST(NULL AS string)")
+def _missing(**fields: str) -> str:
+    """A struct of the fields, each null of its type or the struct given for it."""
+    values = (v if v.startswith("named_struct") else f"CAST(NULL AS {v})" for v in fields.values())
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(fields, values, strict=True)) + ")"
+
+
+_DETAILS = _missing(datasourceType="string", server="string", host="string", database="string", db="string")
+_SERVICE = _missing(type="string", url="string", endpoint="string", gatewayId="variant")
+EMPTY_REFERENCE = _missing(
+    gatewayId="variant", connectionDetails=_DETAILS, type="string", provider="string", url="string", path="string",
+    endpoint="string", isCloud="variant", linkedService=_SERVICE,
+)
 
 
 def _sidecar_columns() -> list[str]:
@@ -53,22 +60,25 @@ def _sidecar_columns() -> list[str]:
     ]
 
 
-def explode_workspaces(payloads: DataFrame) -> DataFrame:
-    """``payload`` rows to one row per workspace: metadata columns and the ``items`` array."""
+def explode_workspaces(payloads: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``payload`` rows to one row per workspace: metadata columns and the ``items`` array.
+
+    ``carry`` names columns of the payload rows to keep.
+    """
     # The sidecar entry is looked up before the explode, so the map is not copied per row.
     rows = payloads.selectExpr(
-        "explode(arrays_zip(payload.workspaces, "
+        *carry, "explode(arrays_zip(payload.workspaces, "
         "transform(payload.workspaces, w -> try_element_at(payload.workspace_sidecar, w.id)))) AS z"
     )
     return (
-        rows.selectExpr("named_struct('ws', z.workspaces, 'meta', z.`1`) AS z")
+        rows.selectExpr(*carry, "named_struct('ws', z.workspaces, 'meta', z.`1`) AS z")
         .filter("z.ws IS NOT NULL")
-        .selectExpr(*_sidecar_columns(), "z.ws.items AS items")
+        .selectExpr(*_sidecar_columns(), "z.ws.items AS items", *carry)
     )
 
 
-def _with_sidecar(workspaces: DataFrame, sidecar: DataFrame) -> DataFrame:
-    """Replace workspace metadata by that of a sidecar table (see ``operators.sidecar``)."""
+def _with_sidecar(rows: DataFrame, sidecar: DataFrame) -> DataFrame:
+    """Replace the workspace metadata of rows by that of a sidecar table (see ``operators.sidecar``)."""
     side = sidecar.selectExpr(
         "workspace_id", "struct(name, kind, users, capacity_id, capacity_name, is_dedicated_capacity) AS _side"
     )
@@ -77,20 +87,21 @@ def _with_sidecar(workspaces: DataFrame, sidecar: DataFrame) -> DataFrame:
         "capacity_id": "capacity_id", "capacity_name": "capacity_name",
         "is_dedicated_capacity": "is_dedicated_capacity",
     }
-    return workspaces.join(side, "workspace_id", "left").selectExpr(
+    rest = [c for c in rows.columns if c != "workspace_id" and c not in pick]
+    return rows.join(side, "workspace_id", "left").selectExpr(
         "workspace_id",
         *[f"CASE WHEN _side IS NOT NULL THEN _side.{f} ELSE {c} END AS {c}" for c, f in pick.items()],
-        "items",
+        *rest,
     )
 
 
-def explode_items(workspaces: DataFrame) -> DataFrame:
+def explode_items(workspaces: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per item: common metadata, ``kind`` and the uniform ``refs`` array."""
     return (
-        workspaces.selectExpr(*_META, "explode(items) AS item")
+        workspaces.selectExpr(*_META, *carry, "explode(items) AS item")
         .filter("item IS NOT NULL")
-        .selectExpr(*_META, "item", f"{X.lower_or_unknown('item.type')} AS kind")
-        .selectExpr(*_META, *_item_columns())
+        .selectExpr(*_META, *carry, "item", f"{X.lower_or_unknown('item.type')} AS kind")
+        .selectExpr(*_META, *carry, *_item_columns())
     )
 
 
@@ -118,7 +129,7 @@ def explode_refs(items: DataFrame) -> DataFrame:
     return items.selectExpr(*keep, "explode(coalesce(refs, array())) AS ref").filter("ref IS NOT NULL")
 
 
-def connection_rows(refs: DataFrame) -> DataFrame:
+def connection_rows(refs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows with workspace and item columns, ``kind`` and one ``ref`` to connection rows."""
     named = (
         f"CASE WHEN {SEMANTIC} THEN ref.connectionDetails.datasourceType "
@@ -142,7 +153,7 @@ def connection_rows(refs: DataFrame) -> DataFrame:
         f"WHEN {ACTIVITY} THEN 'Pipeline' ELSE {X.upper_first('kind')} END"
     )
     shaped = refs.selectExpr(
-        *_META, "item_id", "item_name", f"{item_type} AS item_type",
+        *carry, *_META, "item_id", "item_name", f"{item_type} AS item_type",
         "item_creator", "item_modified_by", "item_modified_date", "generation",
         f"{X.lower_or_unknown(named)} AS connector",
         f"CASE WHEN {SEMANTIC} THEN {X.first_filled(f'{details}.server', f'{details}.host')} END AS server",
@@ -154,7 +165,7 @@ def connection_rows(refs: DataFrame) -> DataFrame:
         "target": X.build_target("server", "database", "endpoint"),
         "cloud": X.cloud_flag("connection_scope", "connector"),
     }
-    return shaped.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in CONNECTION_COLUMNS])
+    return shaped.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in CONNECTION_COLUMNS], *carry)
 
 
 def flatten_payloads(
@@ -162,22 +173,23 @@ def flatten_payloads(
     sidecar: DataFrame | None = None,
     kinds: tuple[str, ...] | None = None,
     only: DataFrame | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Payloads to the 21-column connection table, duplicates included.
 
     ``sidecar`` replaces the payload's own workspace metadata. ``kinds`` keeps only items
-    of these lower-case types and ``only`` only workspaces with these ``workspace_id``,
-    both before the next level is exploded.
+    of these lower-case types and ``only`` only workspaces with these ``workspace_id``.
+    Both joins meet narrow reference rows, never nested items. ``carry`` names columns of
+    the payload rows that every connection keeps.
     """
-    workspaces = explode_workspaces(payloads)
-    if only is not None:
-        workspaces = workspaces.join(only.select("workspace_id"), "workspace_id", "left_semi")
-    if sidecar is not None:
-        workspaces = _with_sidecar(workspaces, sidecar)
-    items = explode_items(workspaces)
+    items = explode_items(explode_workspaces(payloads, carry), carry)
     if kinds is not None:
         items = items.filter(f"kind IN ({X.quoted(*kinds)})")
-    return connection_rows(explode_refs(items))
+    refs = explode_refs(items)
+    if only is not None:
+        refs = refs.join(only.select("workspace_id"), "workspace_id", "left_semi")
+    rows = connection_rows(refs, carry)
+    return rows if sidecar is None else _with_sidecar(rows, sidecar).select(*rows.columns)
 
 
 def other_kinds(items: DataFrame) -> DataFrame:

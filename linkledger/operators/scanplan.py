@@ -39,7 +39,12 @@ def plan_batches(
     within: str | None = None,
 ) -> DataFrame:
     """Workspaces with ``batch_no`` and the hourly ``chunk_no`` they belong to."""
-    return number_workspaces(workspaces, within).withColumns({
+    return in_batches(number_workspaces(workspaces, within), max_batches_per_hour, batch_size)
+
+
+def in_batches(numbered: DataFrame, max_batches_per_hour: int, batch_size: int = V.WORKSPACES_PER_BATCH) -> DataFrame:
+    """Batches and chunks of workspaces that have their ``seq``."""
+    return numbered.withColumns({
         "batch_no": F.floor(F.col("seq") / batch_size).cast("int"),
         "chunk_no": F.floor(F.col("seq") / (batch_size * max_batches_per_hour)).cast("int"),
     })
@@ -82,20 +87,3 @@ def estimate(
         F.round(batches / F.lit(float(max_batches_per_hour)), 4).alias("hours"),
         F.ceil(batches / max_batches_per_hour).alias("whole_hours"),
     )
-
-
-def quota_coverage(plan: DataFrame, max_calls: int, workers: int, key: str = "capacity_key") -> DataFrame:
-    """Per capacity: batches inside and outside a worker's share of the hourly calls.
-
-    ``plan`` must be numbered within the capacity. Each batch takes one unit of a share;
-    what lies beyond it would not be scanned, so it is reported rather than dropped.
-    """
-    quota = max_calls // workers
-    covered = F.col("batch_no") < quota
-    return plan.groupBy(key).agg(
-        F.count(F.lit(1)).alias("workspaces"),
-        (F.max("batch_no") + 1).alias("batches"),
-        F.least(F.max("batch_no") + 1, F.lit(quota)).alias("covered_batches"),
-        F.greatest(F.max("batch_no") + 1 - quota, F.lit(0)).alias("uncovered_batches"),
-        F.count_if(~covered).alias("uncovered_workspaces"),
-    )

@@ -13,8 +13,8 @@ SIDECAR_COLUMNS = [
 ]
 
 
-def owners(users: str, limit: int = V.OWNER_LIMIT) -> str:
-    """First owners of a workspace, comma-separated; null when there are none.
+def owners(users: str, limit: int | None = None) -> str:
+    """Owners of a workspace, or its first ``limit``, comma-separated; null when there are none.
 
     Either access-right field is accepted. Owners without any address are dropped before
     the limit is taken.
@@ -23,7 +23,8 @@ def owners(users: str, limit: int = V.OWNER_LIMIT) -> str:
     entitled = f"filter({users}, u -> u.workspaceUserAccessRight IN ({rights}) OR u.groupUserAccessRight IN ({rights}))"
     address = X.first_filled("u.emailAddress", "u.identifier")
     names = f"filter(transform({entitled}, u -> {address}), n -> n IS NOT NULL)"
-    return f"CASE WHEN size({names}) > 0 THEN array_join(slice({names}, 1, {limit}), ', ') END"
+    shown = f"slice({names}, 1, {int(limit)})" if limit else names
+    return f"CASE WHEN size({names}) > 0 THEN array_join({shown}, ', ') END"
 
 
 def capacity_label(capacity_id: str, capacity_name: str, dedicated: str) -> str:

@@ -13,6 +13,11 @@ def _count():
     return F.count(F.lit(1))
 
 
+def _in_order(rows: DataFrame, column: str) -> DataFrame:
+    """Sorted by a column and then the connection key, so that equal values of the column spread over tasks."""
+    return rows.orderBy(column, *[F.asc_nulls_first(k) for k in CONNECTION_KEY if k != column])
+
+
 def connector_counts(inv: DataFrame, cloud_only: bool = False) -> DataFrame:
     rows = inv.filter("cloud") if cloud_only else inv
     return rows.groupBy("connector").agg(_count().alias("connection_count")).orderBy(
@@ -59,19 +64,19 @@ def totals(inv: DataFrame) -> DataFrame:
 
 
 def cloud_with_owners(inv: DataFrame) -> DataFrame:
-    return inv.filter("cloud").select(
+    return _in_order(inv.filter("cloud"), "workspace_name").select(
         "connector", "target", "workspace_name", "workspace_users", "item_name"
-    ).orderBy("workspace_name")
+    )
 
 
 def cloud_by_connector(inv: DataFrame) -> DataFrame:
-    return inv.filter("cloud").select("connector", "target", "workspace_name", "item_name", "item_type").orderBy(
-        "connector"
+    return _in_order(inv.filter("cloud"), "connector").select(
+        "connector", "target", "workspace_name", "item_name", "item_type"
     )
 
 
 def of_connectors(inv: DataFrame, connectors: list[str]) -> DataFrame:
-    return inv.filter(F.col("connector").isin(*connectors)).orderBy("workspace_name")
+    return inv.filter(F.col("connector").isin(*connectors)).transform(_in_order, "workspace_name")
 
 
 def by_owner(inv: DataFrame, owner: str) -> DataFrame:

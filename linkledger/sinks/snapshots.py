@@ -3,10 +3,14 @@
 Every write goes to a new ``v<number>`` directory under the table's base path and counts
 only once Spark has put its ``_SUCCESS`` marker there. Readers take the highest complete
 version. A job lost half-way leaves an incomplete directory that nobody reads.
+
+Old versions stay until :func:`vacuum` is called. A version can carry a note, such as the
+last batch that went into it; it counts together with the version.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,92 +55,58 @@ def read_snapshot(spark: SparkSession, base: str, schema: T.StructType) -> DataF
     path = current_path(spark, base)
     if path is None:
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_note(spark: SparkSession, base: str) -> dict:
+    """What the newest complete version's writer noted."""
+    path = current_path(spark, base)
+    note = f"{base}/notes/{path.rsplit('/', 1)[1]}" if path else None
+    if note is None or not path_exists(spark, note):
+        return {}
+    return json.loads(spark.read.text(note).first().value)
 
 
 def write_snapshot(
-    df: DataFrame, base: str, partition_by: list[str] | None = None, keep: int = 2
+    df: DataFrame, base: str, partition_by: list[str] | None = None, note: dict | None = None
 ) -> tuple[str, int]:
-    """Write the next version and drop all but the newest ``keep``; returns path and rows.
+    """Write the next version; returns its path and rows, counted while they are written.
 
-    Rows are counted while they are written.
+    Without a ``note`` of its own the version keeps the one before it.
     """
     spark = df.sparkSession
     versions = _versions(spark, base)
-    path = f"{base}/v{(versions[-1][0] + 1 if versions else 1):08d}"
+    name = f"v{(versions[-1][0] + 1 if versions else 1):08d}"
+    noted = read_note(spark, base) if note is None else note
+    if noted:
+        spark.createDataFrame([(json.dumps(noted),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{base}/notes/{name}"
+        )
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    vacuum(spark, base, keep)
-    return path, int(seen.get["rows"])
+    writer.parquet(f"{base}/{name}")
+    return f"{base}/{name}", int(seen.get["rows"])
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where a registered table's data is."""
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first().data_type
 
 
-def vacuum(spark: SparkSession, base: str, keep: int = 2) -> None:
-    """Delete complete versions beyond the newest ``keep``.
+def vacuum(spark: SparkSession, base: str, keep: int = 2, tables: tuple[str, ...] = ()) -> None:
+    """Delete complete versions beyond the newest ``keep``, but none that a table points at.
 
-    Incomplete directories stay: one of them may be another writer's work in progress.
-    Not for bucketed tables, whose older versions still hold current buckets.
+    ``tables`` are the tables registered for this inventory. Call it when no reader of an
+    older version is left. Incomplete directories stay: one of them may be another
+    writer's work in progress.
     """
     if keep < 1:
         raise ValueError("keep must be at least 1")
+    used = {table_location(spark, t).rstrip("/").rsplit("/", 1)[1] for t in tables}
     complete = [n for n, done in _versions(spark, base) if done]
     for n in complete[:-keep]:
-        p, fs, _ = _fs(spark, f"{base}/v{n:08d}")
-        fs.delete(p, True)
-
-
-# --- bucketed tables ----------------------------------------------------------------------
-#
-# A version of a bucketed table holds only the buckets its write touched; a bucket's current
-# rows are in the newest complete version that has it.
-
-BUCKET = "_bucket"
-
-
-def bucket_of(key: str, buckets: int) -> str:
-    """SQL expression of a row's bucket: its number and the table's number of buckets."""
-    return f"concat(CAST(pmod(xxhash64({key}), {int(buckets)}) AS string), 'of{int(buckets)}')"
-
-
-def bucket_paths(spark: SparkSession, base: str) -> dict[str, list[str]]:
-    """Directories of each bucket over all complete versions, newest first."""
-    found: dict[str, list[str]] = {}
-    for n in sorted((n for n, done in _versions(spark, base) if done), reverse=True):
-        p, fs, _ = _fs(spark, f"{base}/v{n:08d}")
-        for status in fs.listStatus(p):
-            name = status.getPath().getName()
-            if name.startswith(f"{BUCKET}="):
-                found.setdefault(name.split("=", 1)[1], []).append(f"{base}/v{n:08d}/{name}")
-    return found
-
-
-def bucket_count(paths: dict[str, list[str]]) -> int | None:
-    """Number of buckets an existing table was written with."""
-    return int(next(iter(paths)).split("of")[1]) if paths else None
-
-
-def read_buckets(
-    spark: SparkSession, paths: dict[str, list[str]], schema: T.StructType, only: set[str] | None = None
-) -> DataFrame:
-    """Current rows of all buckets, or of some."""
-    chosen = [versions[0] for bucket, versions in sorted(paths.items()) if only is None or bucket in only]
-    return spark.read.schema(schema).parquet(*chosen) if chosen else spark.createDataFrame([], schema)
-
-
-def write_buckets(df: DataFrame, base: str, key: str, buckets: int, keep: int = 2) -> None:
-    """Write the complete new content of the buckets in ``df`` as the next version.
-
-    Rows are rebalanced by bucket before the write: few files per bucket, and a bucket
-    made large by one key is split over several tasks.
-    """
-    spark = df.sparkSession
-    versions = _versions(spark, base)
-    path = f"{base}/v{(versions[-1][0] + 1 if versions else 1):08d}"
-    placed = df.withColumn(BUCKET, F.expr(bucket_of(key, buckets))).hint("rebalance", BUCKET)
-    placed.write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
-    for superseded in bucket_paths(spark, base).values():
-        for old in superseded[keep:]:
-            p, fs, _ = _fs(spark, old)
+        if f"v{n:08d}" not in used:
+            p, fs, _ = _fs(spark, f"{base}/v{n:08d}")
             fs.delete(p, True)

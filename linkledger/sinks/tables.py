@@ -1,18 +1,32 @@
-"""Saving the inventory: snapshot, external table, CSV copy, raw payload landing."""
+"""Saving the inventory: snapshot, partitioned table, external table, CSV copy, raw landing."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkledger.operators import merge as M
-from linkledger.schemas import CONNECTION_SCHEMA
+from linkledger.schemas import CONNECTION_COLUMNS, CONNECTION_SCHEMA
 from linkledger.sinks import snapshots as S
+from linkledger.sinks.scratch import scratch_dir
 
 # Fixed value: what a table name may consist of.
 _IDENTIFIER = re.compile(r"[a-zA-Z0-9_\.]+")
 
+#: Partition column of a partitioned inventory, and the mark of a connection; one row without
+#: it is in every partition, so that a partition whose connections all go is rewritten too.
+PART, LIVE = "_part", "_live"
+
+#: Null and empty text stay apart, line breaks and quotes come back as they were. A value
+#: that is the null mark itself would come back as null.
+CSV_OPTIONS = {
+    "header": True, "quoteAll": True, "quote": '"', "escape": '"', "nullValue": "␀", "emptyValue": "", "multiLine": True,
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
 
 def check_identifier(name: str, label: str = "identifier") -> str:
     """The name if it is letters, digits, underscores and dots only; else ValueError."""
@@ -24,11 +38,21 @@ def check_identifier(name: str, label: str = "identifier") -> str:
 
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:
-    """Point an external parquet table at ``path``; the data itself is not touched."""
+    """Point an external parquet table at ``path``; the data itself is not touched.
+
+    A table that is there already is moved in one step, so it never misses.
+    """
     check_identifier(table, "table name")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
     location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{location}'")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{location}'")
+
+
+def _merged(existing: DataFrame, rows: DataFrame, keep: str, scanned: DataFrame | None) -> DataFrame:
+    return M.merge(existing, rows, keep) if scanned is None else M.replace_scanned(existing, rows, scanned)
 
 
 def save_inventory(
@@ -37,65 +61,92 @@ def save_inventory(
     table: str | None = None,
     mode: str = "overwrite",
     keep: str = "incoming",
-    buckets: int | None = None,
+    scanned: DataFrame | None = None,
+    note: dict | None = None,
 ) -> int:
     """Normalise, de-duplicate and save connection rows; returns the number of rows saved.
 
     ``overwrite`` replaces the inventory, ``merge`` (also called ``append``) combines it
-    with what is there. ``buckets`` keeps a large inventory in that many parts by
-    workspace, of which a merge rewrites only those it touches; such an inventory is read
-    by its path, since a table has a single location.
+    with what is there. Given the ``scanned`` workspaces (``workspace_id``), a merge also
+    removes what these no longer have. ``note`` is stored with the version.
     """
     spark = rows.sparkSession
     if table:
         check_identifier(table, "table name")
-    if buckets:
-        if table or mode not in ("merge", "append"):
-            raise ValueError("a bucketed inventory is merged, and read by path only")
-        return _merge_buckets(rows, base, keep, buckets)
     if mode == "overwrite":
         result = M.dedup(rows)
     elif mode in ("merge", "append"):
-        result = M.merge(S.read_snapshot(spark, base, CONNECTION_SCHEMA), rows, keep)
+        result = _merged(S.read_snapshot(spark, base, CONNECTION_SCHEMA), rows, keep, scanned)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    path, n = S.write_snapshot(result, base)
+    path, n = S.write_snapshot(result, base, note=note)
     if table:
         register_table(spark, table, path)
     return n
 
 
-def _merge_buckets(rows: DataFrame, base: str, keep: str, buckets: int) -> int:
+def merge_partitioned(
+    rows: DataFrame, base: str, keep: str = "incoming", parts: int = 64, scanned: DataFrame | None = None
+) -> int:
+    """Merge into an inventory kept in hash partitions by workspace; returns the rows of those rewritten.
+
+    Only partitions that hold a workspace of ``rows`` or ``scanned`` are read and written. The new
+    content is staged before it replaces them. The number of partitions is that of the first call.
+    """
     spark = rows.sparkSession
-    paths = S.bucket_paths(spark, base)
-    buckets = S.bucket_count(paths) or buckets
-    # At most one value per bucket comes back here.
-    touched = {r[0] for r in rows.selectExpr(S.bucket_of("workspace_id", buckets)).distinct().collect()}
-    if touched:
-        existing = S.read_buckets(spark, paths, CONNECTION_SCHEMA, only=touched)
-        S.write_buckets(M.merge(existing, rows, keep), base, "workspace_id", buckets)
-    return S.read_buckets(spark, S.bucket_paths(spark, base), CONNECTION_SCHEMA).count()
+    there = S.path_exists(spark, base)
+    if there:
+        parts = int(spark.read.parquet(base).select(PART).first()[0].split("-of-")[1])
+    part = f"concat(pmod(xxhash64(workspace_id), {int(parts)}), '-of-{int(parts)}')"
+    ids = rows.select("workspace_id") if scanned is None else rows.select("workspace_id").unionByName(scanned.select("workspace_id"))
+    touched = [r[0] for r in ids.selectExpr(f"{part} AS p").distinct().collect()]  # one value a partition
+    if not touched:
+        return 0
+    existing = spark.createDataFrame([], CONNECTION_SCHEMA)
+    if there:
+        existing = _partitions(spark, base).filter(F.col(PART).isin(touched) & F.col(LIVE)).select(*CONNECTION_COLUMNS)
+    marks = spark.createDataFrame([(p, False) for p in touched], f"{PART} string, {LIVE} boolean")
+    merged = _merged(existing, rows, keep, scanned).selectExpr("*", f"{part} AS {PART}", f"true AS {LIVE}")
+    staged, seen = scratch_dir(spark, "partitions"), Observation()
+    merged.observe(seen, F.count(F.lit(1)).alias("rows")).unionByName(marks, allowMissingColumns=True).write.parquet(staged)
+    spark.read.parquet(staged).hint("rebalance", PART).write.partitionBy(PART).option("partitionOverwriteMode", "dynamic").mode(
+        "overwrite"
+    ).parquet(base)
+    return int(seen.get["rows"])
+
+
+def _partitions(spark: SparkSession, base: str) -> DataFrame:
+    schema = T.StructType([*CONNECTION_SCHEMA.fields, T.StructField(LIVE, T.BooleanType()), T.StructField(PART, T.StringType())])
+    return spark.read.schema(schema).parquet(base)
+
+
+def read_partitioned(spark: SparkSession, base: str) -> DataFrame:
+    """The connections of a partitioned inventory."""
+    return _partitions(spark, base).filter(LIVE).select(*CONNECTION_COLUMNS)
 
 
 def save_csv(rows: DataFrame, path: str) -> None:
-    """CSV copy with a header line."""
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    """CSV copy with a header line; :func:`read_csv` gives the same rows back."""
+    rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def land_payloads(payloads: DataFrame, path: str) -> None:
-    """Land payloads as raw JSON, one document per file, under ``scan_kind=<kind>``.
+    """Land payloads as JSON lines under ``scan_kind=<kind>/scan_date=<date>``.
 
-    ``payloads`` has ``scan_kind`` (full, incremental, by_id) and the ``payload`` struct.
+    ``payloads`` has ``scan_kind`` (full, incremental, by_id), ``scan_date`` and the ``payload``
+    struct. Many payloads share a file, and such files split when they are read.
     """
-    payloads.select("scan_kind", "payload.*").write.mode("append").partitionBy("scan_kind").option(
-        "maxRecordsPerFile", 1
-    ).json(path)
+    payloads.select("scan_kind", "scan_date", "payload.*").write.mode("append").partitionBy("scan_kind", "scan_date").json(path)
 
 
 def save_analysis(rows: DataFrame, path: str) -> None:
-    """An analysis result as parquet and, beside it, CSV."""
-    rows.write.mode("overwrite").parquet(f"{path}/parquet")
-    save_csv(rows, f"{path}/csv")
+    """An analysis result as parquet and, beside it, CSV made from that; earlier results stay until the new one is complete."""
+    saved, _ = S.write_snapshot(rows, f"{path}/parquet")
+    save_csv(rows.sparkSession.read.parquet(saved), f"{path}/csv")
 
 
 def create_table_as(rows: DataFrame, table: str) -> None:

@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkledger.schemas import CONNECTION_SCHEMA, FINGERPRINT_SCHEMA
 from linkledger.sinks import snapshots as S
+from linkledger.sinks import tables as TB
 
 
 def read_inventory(spark: SparkSession, source: str) -> DataFrame:
-    """The inventory by table name, snapshot base path, bucketed or not, or plain parquet path."""
+    """The inventory by table name, snapshot base path, partitioned or plain parquet path."""
     if "/" not in source:
         return spark.table(source)
-    buckets = S.bucket_paths(spark, source)
-    if buckets:
-        return S.read_buckets(spark, buckets, CONNECTION_SCHEMA)
     if S.current_path(spark, source) is not None or not S.path_exists(spark, source):
         return S.read_snapshot(spark, source, CONNECTION_SCHEMA)
-    return spark.read.parquet(source)
+    plain = spark.read.parquet(source)
+    return TB.read_partitioned(spark, source) if TB.PART in plain.columns else plain
 
 
 def read_fingerprints(spark: SparkSession, base: str) -> DataFrame:

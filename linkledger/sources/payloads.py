@@ -3,8 +3,9 @@
 A payload document is JSON text whose root is one payload object or a list of them.
 Documents are parsed with an explicit schema in one streaming pass, so size is bounded
 only by what one string can hold. A document with a malformed spot takes a second,
-tolerant pass that nulls only that spot and keeps its siblings; what still cannot be
-used is reported by :func:`payload_rejects` instead of being lost.
+tolerant pass that takes it apart level by level, down to the item that has the spot, and
+nulls only that; what still cannot be used is reported by :func:`payload_rejects` instead
+of being lost.
 """
 
 from __future__ import annotations
@@ -12,9 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkledger.functions import fixed_values as V
 from linkledger.functions.scalars import quoted
-from linkledger.schemas import PAYLOAD_DDL, WORKSPACE_DDL
+from linkledger.schemas import ITEM_DDL, PAYLOAD_DDL, WORKSPACE_DDL
 
 _PARSE_OPTIONS = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
 _ROOTS_DDL = f"roots array<{PAYLOAD_DDL}>, _bad string"
@@ -26,26 +26,27 @@ def read_payload_text(
     path: str | list[str],
     glob: str = "*.json",
     per_line: bool = False,
-    max_bytes: int = V.MAX_PAYLOAD_BYTES,
+    since: str | None = None,
+    skip_larger_than: int | None = None,
 ) -> DataFrame:
-    """Documents under ``path`` as ``(path, text)``; files above ``max_bytes`` are left out.
+    """Documents under ``path`` as ``(path, scan, text)``.
 
-    The size test uses file metadata, so oversized files are pruned without being opened.
-    ``per_line`` reads one document per line: such files split, which suits large archives.
+    ``per_line`` reads one document per line: such files split, so their size doesn't matter. A
+    file read whole has to fit into one string, else the read fails; ``skip_larger_than`` leaves
+    such files to :func:`oversized_files` instead. ``scan`` is the ``scan_date`` folder a
+    document landed in, empty without one; ``since`` prunes earlier folders.
     """
     text = spark.read.option("pathGlobFilter", glob).text(path, wholetext=not per_line)
-    return text.filter(F.col("_metadata.file_size") <= max_bytes).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
-    )
+    if since is not None:
+        text = text.filter(F.col("scan_date") >= since)
+    if skip_larger_than is not None and not per_line:
+        text = text.filter(F.col("_metadata.file_size") <= skip_larger_than)
+    scan = F.col("scan_date").cast("string") if "scan_date" in text.columns else F.lit("")
+    return text.select(F.col("_metadata.file_path").alias("path"), scan.alias("scan"), F.col("value").alias("text"))
 
 
-def oversized_files(
-    spark: SparkSession,
-    path: str | list[str],
-    glob: str = "*.json",
-    max_bytes: int = V.MAX_PAYLOAD_BYTES,
-) -> DataFrame:
-    """Files skipped for their size, as reject rows. Lists files, reads no content."""
+def oversized_files(spark: SparkSession, path: str | list[str], max_bytes: int, glob: str = "*.json") -> DataFrame:
+    """Files above ``max_bytes`` as reject rows. Lists files, reads no content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.filter(F.col("length") > max_bytes).select(
         "path",
@@ -60,25 +61,47 @@ def _first_character(text: Column) -> Column:
     return F.substring(trimmed, 1, 1)
 
 
+def _object(text: str, value: str) -> str:
+    """``value`` if the JSON text is an object."""
+    return f"CASE WHEN startswith(ltrim({_BLANK}, {text}), '{{') THEN {value} END"
+
+
+# The tolerant pass. Lists are read as lists of texts, which keeps whatever is beside a bad
+# spot; only the item that has the spot goes through VARIANT, whose casts null a bad leaf alone.
+_WS_FIELDS = {f: f"w.{f}" for f in ("id", "name", "type", "capacityId", "capacityName", "isOnDedicatedCapacity", "modified", "users")}
+_WS_TEXT_DDL = WORKSPACE_DDL.replace(f"items:array<{ITEM_DDL}>", "items:array<string>")
+_ITEM = _object(
+    "t", f"from_json(to_json(named_struct('item', try_variant_get(try_parse_json(t), '$', '{ITEM_DDL}'))), 'item {ITEM_DDL}').item"
+)
+_ITEMS = f"transform(w.items, t -> {_ITEM})"
+_WORKSPACE = (
+    "named_struct(" + ", ".join(f"'{n}', {c}" for n, c in _WS_FIELDS.items()) + f", 'items', {_ITEMS})"
+)
+_WORKSPACES = (
+    "transform(transform(p.workspaces, t -> " + _object("t", f"from_json(t, '{_WS_TEXT_DDL}')") + f"), w -> CASE WHEN w IS NOT NULL THEN {_WORKSPACE} END)"
+)
+_TOLERANT = (
+    "transform(transform(from_json(concat('{\"roots\":', _listed, '}'), 'roots array<string>', map('allowSingleQuotes', 'false')).roots, t -> "
+    + _object("t", "from_json(t, 'workspaces array<string>, workspace_sidecar string')")
+    + f"), p -> CASE WHEN p IS NOT NULL THEN named_struct('workspaces', {_WORKSPACES}, 'workspace_sidecar', "
+    "from_json(p.workspace_sidecar, 'map<string,map<string,string>>')) END)"
+)
+
+
 def parse_documents(docs: DataFrame) -> DataFrame:
-    """``(path, text)`` to ``(path, is_list, _bytes, _roots)``, parsed once per document."""
+    """``(path, text)`` to ``(path, scan, is_list, _roots)``, parsed once per document."""
     is_list = _first_character(F.col("text")) == "["
     # An object root is wrapped into a one-element list, so both kinds share a schema,
     # and text after the document's end becomes a syntax error.
     listed = F.when(is_list, F.col("text")).otherwise(F.concat(F.lit("["), F.col("text"), F.lit("]")))
     strict = F.from_json(F.concat(F.lit('{"roots":'), F.col("_listed"), F.lit("}")), _ROOTS_DDL, _PARSE_OPTIONS)
+    scan = F.col("scan") if "scan" in docs.columns else F.lit("").alias("scan")
     parsed = (
-        docs.select("path", is_list.alias("is_list"), listed.alias("_listed"))
-        .select("path", "is_list", "_listed", strict.alias("_strict"))
-    )
-    # Tolerant pass: VARIANT casts null only the malformed leaf. The result is turned
-    # back into well-formed text and read with the same schema.
-    salvaged = F.to_json(
-        F.struct(F.expr(f"try_variant_get(try_parse_json(_listed), '$', 'array<{PAYLOAD_DDL}>')").alias("roots"))
+        docs.select("path", scan, is_list.alias("is_list"), listed.alias("_listed"))
+        .select("path", "scan", "is_list", "_listed", strict.alias("_strict"))
     )
-    tolerant = F.from_json(salvaged, _ROOTS_DDL, _PARSE_OPTIONS)["roots"]
-    roots = F.when(F.col("_strict._bad").isNull(), F.col("_strict.roots")).otherwise(tolerant)
-    return parsed.select("path", "is_list", F.octet_length("_listed").alias("_bytes"), roots.alias("_roots"))
+    roots = F.when(F.col("_strict._bad").isNull(), F.col("_strict.roots")).otherwise(F.expr(_TOLERANT))
+    return parsed.select("path", "scan", "is_list", roots.alias("_roots"))
 
 
 # Text that is no list must hold exactly one object; two in a row are not JSON. Exploding
@@ -88,8 +111,8 @@ _WHOLE_ROOTS = "CASE WHEN is_list OR size(_roots) = 1 THEN _roots END"
 
 
 def payload_roots(docs: DataFrame) -> DataFrame:
-    """One row ``(path, position, payload)`` per payload object; other roots are skipped."""
-    exploded = parse_documents(docs).selectExpr("path", f"posexplode({_WHOLE_ROOTS}) AS (position, payload)")
+    """One row ``(path, scan, position, payload)`` per payload object; other roots are skipped."""
+    exploded = parse_documents(docs).selectExpr("path", "scan", f"posexplode({_WHOLE_ROOTS}) AS (position, payload)")
     return exploded.filter("payload IS NOT NULL")
 
 
@@ -103,16 +126,12 @@ def payloads_per_document(docs: DataFrame) -> DataFrame:
 def payload_rejects(docs: DataFrame) -> DataFrame:
     """What flattening cannot use: ``(path, position, reason, n)``.
 
-    Reasons: ``invalid_json``, ``malformed_too_large`` (malformed and beyond the tolerant
-    pass), ``root_not_object``, ``element_not_object``, ``workspace_not_object`` and
+    Reasons: ``invalid_json``, ``root_not_object``, ``element_not_object``, ``workspace_not_object`` and
     ``item_not_object``; ``n`` counts the rejected elements at that position.
     """
-    # Tolerant parsing is limited by the size of one VARIANT value.
-    variant_limit = 16 * 1024 * 1024
     def reject(position: str, reason: str, n: str) -> str:
         return f"struct(CAST({position} AS int) AS position, {reason} AS reason, CAST({n} AS bigint) AS n)"
 
-    large = f"CASE WHEN _bytes > {variant_limit} THEN 'malformed_too_large' ELSE 'invalid_json' END"
     shape = "CASE WHEN is_list THEN 'element_not_object' ELSE 'root_not_object' END"
     bad_ws = "size(filter(r.workspaces, w -> w IS NULL))"
     bad_items = (
@@ -124,7 +143,7 @@ def payload_rejects(docs: DataFrame) -> DataFrame:
         f"CASE WHEN {bad_items} > 0 THEN {reject('i', quoted('item_not_object'), bad_items)} END)"
     )
     found = (
-        f"CASE WHEN ({_WHOLE_ROOTS}) IS NULL THEN array({reject('NULL', large, '1')}) "
+        f"CASE WHEN ({_WHOLE_ROOTS}) IS NULL THEN array({reject('NULL', quoted('invalid_json'), '1')}) "
         f"ELSE flatten(transform(_roots, (r, i) -> {per_root})) END"
     )
     return parse_documents(docs).selectExpr("path", f"explode({found}) AS r").filter("r IS NOT NULL").select("path", "r.*")
@@ -142,12 +161,10 @@ def workspace_list(docs: DataFrame) -> DataFrame:
     strict = docs.select(wrapped.alias("_text")).select(
         "_text", F.from_json("_text", ddl, _PARSE_OPTIONS).alias("_strict")
     )
-    salvaged = F.to_json(F.struct(
-        F.expr(f"try_variant_get(try_parse_json(_text), '$.workspaces', 'array<{WORKSPACE_DDL}>')").alias("workspaces")
-    ))
-    rows = F.when(F.col("_strict._bad").isNull(), F.col("_strict.workspaces")).otherwise(
-        F.from_json(salvaged, ddl, _PARSE_OPTIONS)["workspaces"]
+    tolerant = F.expr(
+        "transform(from_json(_text, 'workspaces array<string>').workspaces, t -> " + _object("t", f"from_json(t, '{WORKSPACE_DDL}')") + ")"
     )
+    rows = F.when(F.col("_strict._bad").isNull(), F.col("_strict.workspaces")).otherwise(tolerant)
     ws = strict.select(F.explode(rows).alias("w")).filter(F.col("w").isNotNull())
     return ws.select("w.id", "w.name", "w.type", "w.capacityId", "w.capacityName", "w.isOnDedicatedCapacity")
 

@@ -42,8 +42,18 @@ BY_WS = {
 }
 
 
+def summed(conns):
+    digests = [hashlib.sha256(json.dumps(c, sort_keys=True, ensure_ascii=True).encode()).hexdigest() for c in conns]
+    lanes = [sum(int(d[16 * i : 16 * i + 16], 16) for d in digests) for i in range(4)]
+    return hashlib.sha256(":".join(map(str, [len(conns), *lanes])).encode()).hexdigest()
+
+
+def test_sums_of_digests(spark):
+    assert hashes(FP.connection_hashes(frame(spark, BY_WS))) == {ws: summed(c) for ws, c in BY_WS.items()}
+
+
 def test_same_bytes_as_sorted_json(spark):
-    assert hashes(FP.connection_hashes(frame(spark, BY_WS))) == {ws: expected(c) for ws, c in BY_WS.items()}
+    assert hashes(FP.connection_hashes(frame(spark, BY_WS), as_list=True)) == {ws: expected(c) for ws, c in BY_WS.items()}
 
 
 def test_item_id_is_optional(spark):
@@ -53,15 +63,13 @@ def test_item_id_is_optional(spark):
     assert hashes(FP.connection_hashes(a, include_item_id=True)) != hashes(FP.connection_hashes(b, include_item_id=True))
 
 
-def test_wide_form_depends_on_the_rows_only(spark):
+def test_hash_depends_on_the_rows_only(spark):
     many = {"wide": [conn("sql", f"s{i % 40}", str(i), None) for i in range(500)], "small": [conn("x", None, None, None)]}
     df = frame(spark, many)
-    first = hashes(FP.connection_hashes(df, wide_above=100))
-    assert first == hashes(FP.connection_hashes(df.repartition(7).orderBy("database"), wide_above=100))
-    assert first["small"] == expected(many["small"])
-    assert first["wide"] != expected(many["wide"])
+    first = hashes(FP.connection_hashes(df))
+    assert first == hashes(FP.connection_hashes(df.repartition(7).orderBy("database")))
     for changed in (many["wide"][:-1], many["wide"] + [many["wide"][0]], many["wide"][:-1] + [conn("sql", "other", "499", None)]):
-        assert hashes(FP.connection_hashes(frame(spark, {"wide": changed}), wide_above=100))["wide"] != first["wide"]
+        assert hashes(FP.connection_hashes(frame(spark, {"wide": changed})))["wide"] != first["wide"]
 
 
 def test_workspaces_without_connections(spark):
@@ -88,12 +96,14 @@ def test_upsert_and_diff(spark):
 TIMES = [("r", "2024-01-30T22:00:00.0000000Z"), ("o", "2024-01-29T23:00:00+00:00"), ("bad", "soon"), ("no", None), ("edge", "2024-01-30T00:00:00Z")]
 
 
-@pytest.mark.parametrize("extra, kept", [(0, {"r", "o", "bad", "no", "edge"}), (3, {"o", "bad", "no", "edge", "x0", "x1", "x2"})])
-def test_recent_scans_are_skipped_above_five_candidates(spark, extra, kept):
+@pytest.mark.parametrize("extra, least, kept", [
+    (0, 0, {"o", "bad", "no", "edge"}), (0, 5, {"r", "o", "bad", "no", "edge"}), (3, 5, {"o", "bad", "no", "edge", "x0", "x1", "x2"}),
+])
+def test_recent_scans_are_skipped(spark, extra, least, kept):
     stored = prints(spark, *[(w, "", "", "", t) for w, t in TIMES])
     ids = [w for w, _ in TIMES] + [f"x{i}" for i in range(extra)]
     cands = spark.createDataFrame([(i,) for i in ids], "workspace_id string")
     now = F.lit("2024-01-31 00:00:00").cast("timestamp")
-    assert {r.workspace_id for r in FP.skip_recent(cands, stored, now).collect()} == kept
-    red = FP.skip_reduction(cands, stored, now).first()
+    assert {r.workspace_id for r in FP.skip_recent(cands, stored, now, min_candidates=least).collect()} == kept
+    red = FP.skip_reduction(cands, stored, now, min_candidates=least).first()
     assert (red.candidates, red.to_scan) == (len(ids), len(kept))

@@ -157,12 +157,14 @@ def users_frame(spark, users):
     ([("a", None, "Viewer", None)], None),
     ([], None),
     (None, None),
-    ([(f"a{i}", None, "Admin", None) for i in range(7)], "a0, a1, a2, a3, a4"),
+    ([(f"a{i}", None, "Admin", None) for i in range(7)], "a0, a1, a2, a3, a4, a5, a6"),
     ([(None, "id", "Admin", None), ("", "id2", "Member", None)], "id, id2"),
     ([(None, None, "Admin", None), ("b", None, None, "Member")], "b"),
 ])
 def test_owners(spark, users, expected):
     assert users_frame(spark, users).selectExpr(f"{SC.owners('users')} AS o").first().o == expected
+    first = users_frame(spark, users).selectExpr(f"{SC.owners('users', 1)} AS o").first().o
+    assert first == (expected and expected.split(", ")[0])
 
 
 @pytest.mark.parametrize("cap_id, name, dedicated, expected", [

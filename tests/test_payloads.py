@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from test_flatten import docs, one_item
 
 from linkledger.operators import flatten as FL
@@ -42,18 +44,21 @@ def test_malformed_leaf_is_nulled_alone(spark):
 
 def test_unusable_documents_are_rejected(spark):
     bad = ["{bad", "", "  ", "7", "null", '"x"', json.dumps(GOOD) + " trailing", json.dumps(GOOD) + "," + json.dumps(GOOD),
-           json.dumps(GOOD)[:-2], "{'workspaces': []}"]
+           json.dumps(GOOD)[:-2], "{'workspaces': []}", json.dumps([GOOD]) + " 7"]
     assert rows(spark, *bad) == 0
-    assert [(r[0], r[2]) for r in rejects(spark, *bad)] == [
+    assert {(r[0], r[2]) for r in rejects(spark, *bad)} == {
         (f"f{i}.json", "root_not_object" if i in (3, 4, 5) else "invalid_json") for i in range(len(bad))
-    ]
+    }
 
 
-def test_well_formed_document_beyond_the_variant_limit(spark):
+def test_large_documents_lose_only_what_is_bad(spark):
     big = one_item(type="report", name="x" * 20_000_000)
     assert rows(spark, big) == 1
     assert rejects(spark, big) == []
-    assert [r[2] for r in rejects(spark, json.dumps(big)[:-3])] == ["malformed_too_large"]
+    assert [r[2] for r in rejects(spark, json.dumps(big)[:-3])] == ["invalid_json"]
+    many = {"workspaces": [{"id": "w", "items": [7] + [{"id": str(i), "name": "y" * 2000, "type": "report"} for i in range(10_000)]}]}
+    assert rows(spark, many) == 10_000
+    assert rejects(spark, many) == [("f0.json", 0, "item_not_object", 1)]
 
 
 def test_files_suffix_size_and_lines(spark, tmp_path):
@@ -63,7 +68,7 @@ def test_files_suffix_size_and_lines(spark, tmp_path):
     path = str(tmp_path)
     read = P.read_payload_text(spark, path)
     assert FL.flatten_payloads(P.payload_roots(read)).count() == 3
-    assert P.read_payload_text(spark, path, max_bytes=1000).count() == 1
+    assert P.read_payload_text(spark, path, skip_larger_than=1000).count() == 1
     skipped = P.oversized_files(spark, path, max_bytes=1000).collect()
     assert [(os.path.basename(r.path), r.reason) for r in skipped] == [("b.json", "too_large")]
     (tmp_path / "lines").mkdir()
@@ -71,12 +76,15 @@ def test_files_suffix_size_and_lines(spark, tmp_path):
     assert FL.flatten_payloads(P.payload_roots(P.read_payload_text(spark, path + "/lines", per_line=True))).count() == 4
 
 
-def test_oversized_file_is_never_opened(spark, tmp_path):
+def test_oversized_file_is_never_lost_silently(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(GOOD))
     with open(tmp_path / "huge.json", "wb") as f:
         f.truncate(2 * 1024**3 + 1)  # sparse, takes no disk
-    assert FL.flatten_payloads(P.payload_roots(P.read_payload_text(spark, str(tmp_path)))).count() == 1
-    assert P.oversized_files(spark, str(tmp_path)).count() == 1
+    with pytest.raises(Exception):
+        FL.flatten_payloads(P.payload_roots(P.read_payload_text(spark, str(tmp_path)))).count()
+    read = P.read_payload_text(spark, str(tmp_path), skip_larger_than=2 * 1024**3)
+    assert FL.flatten_payloads(P.payload_roots(read)).count() == 1
+    assert P.oversized_files(spark, str(tmp_path), 2 * 1024**3).count() == 1
 
 
 def test_workspace_list_shapes(spark):
@@ -93,7 +101,7 @@ def test_legacy_layout_is_counted_but_not_flattened(spark):
 
 def test_parsed_once(spark):
     plan = FL.flatten_payloads(P.payload_roots(docs(spark, GOOD)))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 2  # the strict pass and, for malformed text only, the tolerant one
+    assert plan.count("StructField(roots,ArrayType(StructType") == 1  # the strict pass; the tolerant one is for malformed text only
 
 
 def test_scan_documents(spark):

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from linkledger.adapters import catalog, oracle, star
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
+QUERIES = catalog.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracle.ORACLE) and set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -49,11 +49,13 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "EqualTo(cloud,true)" in text and "ReadSchema: struct<connector:string,cloud:boolean>" in text
 
 
-def test_documents_split_when_large(spark, con, monkeypatch):
-    """With a tiny limit every document is split, and flattening still gives the same rows."""
-    monkeypatch.setattr(star, "ROWS_PER_DOCUMENT", 50)
+def test_documents_come_in_fragments(spark):
     docs = star.documents(spark, SF)
-    assert docs.filter("path LIKE 'part-%/scan-%'").count() > 0
-    for name in ("flatten_all", "flatten_stats", "workspace_sidecar", "payload_rejects", "payload_root_normalise", "scan_by_id",
-                 "scan_payload_dir", "stream_fingerprints"):
-        assert compare(spark, con, catalog.QUERIES[name], oracle.ORACLE[name], SF) is None
+    assert docs.filter("path LIKE 'part-%/scan-%'").count() == (star.FRAGMENTS - 1) * docs.filter("path LIKE 'scan-%'").count()
+
+
+@pytest.mark.parametrize("name", ["report_cloud_by_connector", "report_cloud_with_owners", "report_connector_in"])
+def test_reports_sort_by_the_key_too(spark, name):
+    text = plan(catalog.QUERIES[name](spark, SF))
+    ranged = [line for line in text.split("\n") if "rangepartitioning(" in line]
+    assert ranged and all("item_id" in line and "endpoint" in line for line in ranged)

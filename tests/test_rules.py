@@ -89,13 +89,6 @@ def test_estimate_of_a_large_tenant(spark):
     assert (e.batches, e.calls, e.whole_hours) == (2470, 19760.0, 10)
 
 
-def test_quota_share_limits_batches(spark):
-    ws = spark.range(100).selectExpr("CAST(id AS string) AS id", "CASE WHEN id < 90 THEN 'big' ELSE 'small' END AS capacity_key")
-    plan = N.plan_batches(ws, 10, batch_size=10, within="capacity_key")
-    got = {r.capacity_key: (r.batches, r.covered_batches, r.uncovered_batches, r.uncovered_workspaces) for r in N.quota_coverage(plan, 16, 3).collect()}
-    assert got == {"big": (9, 5, 4, 40), "small": (1, 1, 0, 0)}
-
-
 @pytest.mark.parametrize("ok, limited, status, parallel, safe", [
     (5, 0, "clear", 3, True), (3, 1, "light", 1, True), (1, 1, "heavy", 1, False), (2, 2, "heavy", 1, False), (3, 2, "moderate", 2, True), (2, 1, "moderate", 2, True),
 ])
