@@ -45,7 +45,8 @@ def build_sidecar(workspaces: DataFrame, profile: str = "full") -> DataFrame:
 
     Profiles: ``full`` takes everything from the payload; ``incremental`` and ``by_id``
     carry no capacity; ``listing`` comes from a workspace list without users.
-    A workspace seen several times gives one row.
+    A workspace seen several times gives one row, that of its latest ``scan`` where the rows
+    have one.
     """
     if profile == "full":
         label = capacity_label("capacityId", "capacityName", _DEDICATED)
@@ -58,17 +59,19 @@ def build_sidecar(workspaces: DataFrame, profile: str = "full") -> DataFrame:
     else:
         raise ValueError(f"unknown sidecar profile {profile!r}")
     columns = zip(["id", "coalesce(name, '')", *rest], SIDECAR_COLUMNS)
-    rows = workspaces.filter(X.is_filled("id")).selectExpr(*[f"{c} AS {n}" for c, n in columns])
+    scan = "scan" if "scan" in workspaces.columns else "''"
+    rows = workspaces.filter(X.is_filled("id")).selectExpr(*[f"{c} AS {n}" for c, n in columns], f"{scan} AS _scan")
     # max() of a struct combines before the shuffle, however often a workspace repeats.
-    best = rows.groupBy("workspace_id").agg(F.expr(f"max(struct({', '.join(SIDECAR_COLUMNS[1:])})) AS m"))
-    return best.select("workspace_id", "m.*")
+    best = rows.groupBy("workspace_id").agg(F.expr(f"max(struct(_scan, {', '.join(SIDECAR_COLUMNS[1:])})) AS m"))
+    return best.select("workspace_id", *[f"m.{c}" for c in SIDECAR_COLUMNS[1:]])
 
 
 def payload_workspaces(payloads: DataFrame) -> DataFrame:
-    """The payload's workspace objects as rows, without their items."""
-    rows = payloads.selectExpr("explode(payload.workspaces) AS w").filter("w IS NOT NULL")
+    """The payload's workspace objects as rows, without their items, with the ``scan`` they are from."""
+    scan = "scan" if "scan" in payloads.columns else "'' AS scan"
+    rows = payloads.selectExpr(scan, "explode(payload.workspaces) AS w").filter("w IS NOT NULL")
     return rows.select(
-        "w.id", "w.name", "w.type", "w.capacityId", "w.capacityName", "w.isOnDedicatedCapacity", "w.users"
+        "scan", "w.id", "w.name", "w.type", "w.capacityId", "w.capacityName", "w.isOnDedicatedCapacity", "w.users"
     )
 
 

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkledger.operators import flatten as FL
 from linkledger.operators import sidecar as SC
@@ -183,3 +184,10 @@ def test_backfill_adds_only_missing_workspaces(spark):
     asked = spark.createDataFrame([("a", "x", "T"), ("b", None, ""), (None, "n", "T")], "id string, name string, type string")
     rows = {r.workspace_id: tuple(r)[1:] for r in SC.backfill(side, asked).collect()}
     assert rows == {"a": ("A", "workspace", None, "c", "C", True), "b": ("", "unknown", None, None, "Shared", False)}
+
+
+def test_sidecar_of_the_latest_scan(spark):
+    ws = docs(spark, {"workspaces": [{"id": "w", "name": "zz-old", "type": "T"}]}).withColumn("scan", F.lit("1")).unionByName(
+        docs(spark, {"workspaces": [{"id": "w", "name": "aa-new", "type": "T"}]}).withColumn("scan", F.lit("2")))
+    got = SC.build_sidecar(SC.payload_workspaces(P.payload_roots(ws))).collect()
+    assert [(r.workspace_id, r.name) for r in got] == [("w", "aa-new")]
