@@ -30,8 +30,17 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(F.coalesce(col, F.lit("")), UPPER, UPPER.lower())
 
 
+#: Most bytes of rows that a Python worker gets at once.
+BATCH_BYTES = 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, as ``--py-files`` does, where the Python path doesn't have it."""
+    """Make the session ready for this package's Python workers.
+
+    Batches are small, so that long texts don't add up in a worker, and the package is made
+    importable as ``--py-files`` does where the Python path doesn't have it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     if root in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()] or getattr(sc, "_linkledger_shipped", False):

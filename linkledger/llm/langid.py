@@ -31,7 +31,7 @@ MATRIX_BYTES = 256 << 20
 SMOOTHING = 0.1
 UNKNOWN = "und"
 #: Characters that are scored at once, for four languages; fewer with more.
-AT_ONCE = 1 << 18
+AT_ONCE = 1 << 17
 
 
 def _buckets(chars: np.ndarray, room: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -133,14 +133,13 @@ def predict(df: DataFrame, model: Model | None, text_col: str = "text") -> Colum
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            known = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))]
-            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            for a in range(0, len(known), 256):
-                some = known[a : a + 256]
-                best, scores[some] = shared.value.score([texts[i] for i in some])
-                for i, b in zip(some, best.tolist(), strict=True):
-                    names[i] = shared.value.names[b]
+            names, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
+            for a in range(0, len(batch), 128):
+                texts = {a + i: t for i, t in enumerate(batch.slice(a, 128).to_pylist()) if t and any(map(str.isalpha, t))}
+                if texts:
+                    best, scores[list(texts)] = shared.value.score(list(texts.values()))
+                    for i, b in zip(texts, best.tolist(), strict=True):
+                        names[i] = shared.value.names[b]
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
     return run(F.col(text_col))

@@ -48,7 +48,39 @@ class Encoder:
         return self.library.encode(piece, add_special_tokens=False).ids
 
     def _direct(self, piece: str) -> list[int]:
-        return [t.id for t in self.model.tokenize((piece.lower() if self.lower else piece).translate(self.signs))]
+        if self.lower:
+            piece = piece.lower()
+        if not piece.isascii() or piece[0] == " ":
+            piece = piece.translate(self.signs)
+        return [t.id for t in self.model.tokenize(piece)]
 
     def ids(self, piece: str) -> list[int]:
         return self._direct(piece) if self.direct and _PLAIN.fullmatch(piece) else self._whole(piece)
+
+
+class Remembered(dict):
+    """What ``make`` gives for pieces, kept in two generations of ``room`` entries: what isn't asked for goes, memory is bounded."""
+
+    def __init__(self, make, room: int):
+        super().__init__()
+        self.make, self.room, self.old = make, room, {}
+
+    def __missing__(self, piece: str):
+        value = self.old.get(piece)
+        if value is None:
+            value = self.make(piece)
+            if len(piece) > LONGEST_KEPT:
+                return value
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = value
+        return value
+
+
+_CONTROLS = re.compile("[\x1c-\x1f]")
+
+
+def chunks(text: str) -> list[str]:
+    """A text between white space. Python's own split takes four characters for white space that the library doesn't."""
+    return WITHOUT_SPACE.findall(text) if _CONTROLS.search(text) else text.split()

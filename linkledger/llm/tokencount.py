@@ -3,7 +3,7 @@
 First tier: a compact table of the lengths of frequent pieces (see ``pretokens``), learnt from
 at most about ``SAMPLE`` documents, at most ``TABLE`` entries, broadcast. It decides only how fast
 a length is found, never the length. Second tier: pieces that the table misses are encoded by
-the library once and kept in the worker's cache, which starts anew beyond ``CACHE`` entries.
+the library once and kept in the worker's cache, of two generations of ``CACHE`` entries.
 Texts stay where they are read; no piece of the documents is ever shuffled.
 
 Special strings inside texts count as the library counts them by default.
@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkledger.llm.pretokens import LONGEST_KEPT, WITH_SPACE, Encoder
+from linkledger.llm.pretokens import LONGEST_KEPT, WITH_SPACE, Encoder, Remembered
 
-#: Documents from which the frequent pieces are learnt, entries of their table, entries of a worker's cache.
-SAMPLE, TABLE, CACHE = 5_000, 32_768, 1_000_000
+#: Documents from which the frequent pieces are learnt, entries of their table, entries of a generation of a worker's cache.
+SAMPLE, TABLE, CACHE = 5_000, 32_768, 250_000
 OVER = 512
 
 
@@ -34,19 +34,13 @@ class _Lengths(dict):
 
     def __init__(self, table: dict[str, int], path: str):
         super().__init__(table)
-        self.encoder, self.cache = Encoder(path, lower=False), {}
+        self.encoder = Encoder(path, lower=False)
+        self.cache = Remembered(lambda piece: len(self.encoder.ids(piece)), CACHE)
         library = self.encoder.library
         self.specials = [t.content for t in library.get_added_tokens_decoder().values() if t.special]
 
     def __missing__(self, piece: str) -> int:
-        n = self.cache.get(piece)
-        if n is None:
-            n = len(self.encoder.ids(piece))
-            if len(piece) <= LONGEST_KEPT:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[piece] = n
-        return n
+        return self.cache[piece]
 
     def count(self, text: str) -> int:
         parts, n = [text], 0

@@ -17,6 +17,7 @@ empty table gives an empty file; extra columns are not read.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkledger.llm.pretokens import LONGEST_KEPT, WITHOUT_SPACE, Encoder
+from linkledger.llm.pretokens import WITHOUT_SPACE, Encoder, Remembered, chunks
 from linkledger.sinks.scratch import scratch_dir
 
 #: A segment is closed once it has so many tokens.
 SEGMENT_TOKENS = 1 << 18
 RANK_BITS = 512
-CACHE = 1_000_000
+#: Entries of a generation of a worker's cache, of which there are two: some 140 MB. Fewer cost time, not results.
+CACHE = 350_000
 END = 2
 SEGMENTS = (
     "part int, seq int, before long, n_tokens long, doc_ids array<bigint>, lengths array<int>, "
@@ -87,30 +89,31 @@ def token_at(levels: list[dict[str, bytes]], i: int) -> int:
     return value
 
 
-class _Ids(dict):
-    """Ids of pieces as bytes; what isn't known yet is encoded."""
+class _Ids:
+    """Ids of a text as bytes; chunks between white space and the pieces they consist of are remembered."""
 
-    def __init__(self, path: str):
-        super().__init__()
-        self.encoder = Encoder(path, lower=True)
+    def __init__(self, path: str, cache: int = CACHE):
+        self.encoder, self.known = Encoder(path, lower=True), Remembered(self._encoded, cache)
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encoder.ids(piece), dtype="<u4").tobytes()
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= CACHE:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def _encoded(self, chunk: str) -> bytes:
+        pieces = WITHOUT_SPACE.findall(chunk)
+        if len(pieces) == 1:
+            return array("I", self.encoder.ids(pieces[0])).tobytes()
+        return b"".join(map(self.known.__getitem__, pieces))
 
+    def ids(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, chunks(text)))
 
-_WORKER: dict[str, _Ids] = {}
 
+_WORKER: dict[tuple[str, int], _Ids] = {}
 
-def _segments(path: str, end: int):
+
+def _segments(path: str, end: int, cache: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _WORKER:
-            _WORKER[path] = _Ids(path)
-        get, last = _WORKER[path].__getitem__, np.array([end], dtype="<u4").tobytes()
+        if (path, cache) not in _WORKER:
+            _WORKER.clear()
+            _WORKER[(path, cache)] = _Ids(path, cache)
+        encoded, last = _WORKER[(path, cache)].ids, np.array([end], dtype="<u4").tobytes()
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         doc_ids: list = []
         lengths: list[int] = []
@@ -124,7 +127,7 @@ def _segments(path: str, end: int):
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = b"".join(map(get, WITHOUT_SPACE.findall(text.as_py() or ""))) + last
+                ids = encoded(text.as_py() or "") + last
                 held.append(ids)
                 doc_ids.append(doc_id)
                 lengths.append(len(ids) // 4)
@@ -139,13 +142,15 @@ def _segments(path: str, end: int):
     return run
 
 
-def write_tokens(docs: DataFrame, to: str, path: str | None = None, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_tokens(
+    docs: DataFrame, to: str, path: str | None = None, end: int = END, cache: int = CACHE, id_col: str = "doc_id", text_col: str = "text"
+) -> None:
     """Write the documents' ids as a file of segments."""
     path = path or public_tokenizers.path("word_bpe_49k.json")
     tie = F.xxhash64(text_col).alias("tie")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), tie)
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    ordered.mapInArrow(_segments(path, end), SEGMENTS).write.parquet(to)
+    ordered.mapInArrow(_segments(path, end, cache), SEGMENTS).write.parquet(to)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,8 +202,8 @@ def tokens_at(spark: SparkSession, to: str, places: DataFrame) -> DataFrame:
     return met.mapInArrow(pick, "place long, token long")
 
 
-def written_and_read(docs: DataFrame, path: str | None = None, end: int = END) -> DataFrame:
+def written_and_read(docs: DataFrame, path: str | None = None, end: int = END, cache: int = CACHE) -> DataFrame:
     """Write all documents to a new file in the shared folder and read them back from it."""
     to = scratch_dir(docs.sparkSession, "llm-tokens")
-    write_tokens(docs, to, path, end)
+    write_tokens(docs, to, path, end, cache)
     return read_documents(docs.sparkSession, to)
