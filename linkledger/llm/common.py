@@ -21,7 +21,7 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     several times (or give numbers to) are the same rows each time.
     """
     path = scratch_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -43,7 +43,8 @@ def ship(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
-    if root in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()] or getattr(sc, "_linkledger_shipped", False):
+    found = os.environ.get("PYTHONPATH", "").split(os.pathsep) + [os.getcwd()] * sc.master.startswith("local[")
+    if root in found or getattr(sc, "_linkledger_shipped", False):
         return
     folder = tempfile.mkdtemp(prefix="linkledger-package-")  # the driver serves it from there
     sc.addPyFile(shutil.make_archive(f"{folder}/linkledger", "zip", root, "linkledger"))

@@ -138,6 +138,8 @@ def _segments(path: str, end: int, cache: int):
                     doc_ids, lengths, held, tokens = [], [], [], 0
         if held:
             yield segment()
+        if cache < CACHE:  # short of memory: nothing is left to the worker's next task
+            _WORKER.clear()
 
     return run
 
@@ -150,7 +152,7 @@ def write_tokens(
     tie = F.xxhash64(text_col).alias("tie")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), tie)
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    ordered.mapInArrow(_segments(path, end, cache), SEGMENTS).write.parquet(to)
+    ordered.mapInArrow(_segments(path, end, cache), SEGMENTS).write.option("compression", "zstd").parquet(to)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
