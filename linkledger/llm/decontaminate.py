@@ -1,12 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: bounds on shared words and pairs, then Smith-Waterman alignment.
 
-Words are runs of letters, digits and characters beyond ASCII, in lower case. A first pass counts how often each
-n-gram of the test items occurs in all documents. Of every ``WINDOW`` consecutive n-grams of an
-item the rarest becomes a seed, so each run of ``SEED + WINDOW - 1`` shared words holds one
-wherever it lies, and words that are everywhere seed nothing if something rarer is near. A second
-pass finds the seeds in the documents, takes the passage around them, and aligns it with the item
-word by word. A document is contaminated by an item when the best local alignment reaches
-``SCORE`` of the item's own score and ``MIN_WORDS`` words match; that holds for edited copies too.
+Words are runs of letters, digits and characters beyond ASCII, in lower case. A document is contaminated
+by an item when the best local alignment of their words reaches ``SCORE`` of the item's own score and
+``MIN_WORDS`` words match; that holds for edited copies too. Only stretches that can't reach that score are
+left out: an alignment of score T with m matches needs T - m - 1 matching pairs of neighbours or more (see
+``Items.candidates``). So the hits are those of aligning every item with every document.
 
 The test items are the small side: they are taken in slices of at most about ``SLICE_WORDS`` words,
 each broadcast in turn, so nothing that is broadcast grows with either table. Documents stay where
@@ -34,6 +32,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5
 MIN_WORDS = 8
 SLICE_WORDS = 500_000
+#: Words of a text that are looked at together; more for items of more than a quarter of that.
+STRETCH = 256
 HITS = "array<struct<item_id: bigint, score: double, first_word: bigint, n_words: bigint>>"
 
 
@@ -46,6 +46,7 @@ class Items:
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.vocabulary: dict[bytes, int] = {}
+        self.lengths: list[tuple] | None = None
         self.ids, self.words = [], []
         for item_id, text in items:
             words = words_of(text)
@@ -102,22 +103,71 @@ class Items:
         self.key, self.item, self.place = self.key[keep], self.item[keep], self.place[keep]
         self.sort()
 
+    def classes(self) -> list[tuple]:
+        """All items, then those of each class of lengths, at most twice its shortest: greatest length, numbers, words, where each starts, least score, bigrams and their numbers by word."""
+        size = np.array([len(w) for w in self.words], dtype=np.int64)
+        bits = np.array([int(n).bit_length() for n in size])
+        out = []
+        for some in [np.arange(len(size)), *(np.flatnonzero(bits == n) for n in np.unique(bits))]:
+            words = np.concatenate([self.words[i] for i in some])
+            starts = np.cumsum([0, *size[some]])[:-1]
+            pair = np.r_[words[:-1] * (len(self.vocabulary) + 1) + words[1:], 0]
+            pair[np.r_[starts[1:], len(words)] - 1] = 0  # an item's last word begins none
+            bigrams, which = np.unique(pair, return_inverse=True)
+            out.append((int(size[some].max()), some, words, starts, np.ceil(SCORE * MATCH * size[some]), bigrams, which))
+        return out
+
+    def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, start, stop) of all stretches of a text in which an alignment can reach ``SCORE``.
+
+        With m matches and e errors the score is 2m - e and the matches form at most e + 1 runs, so an alignment of
+        score T has T - m - 1 matching pairs of neighbours or more, and m is at least T / 2. Its stretch has at most
+        twice the item's words. Each stretch is asked for item words and pairs of neighbours that occur anywhere in it;
+        first longer ones for all items, then shorter ones for classes of which an item is left.
+        """
+        if self.lengths is None:
+            self.lengths = self.classes()
+        pair = numbers[:-1] * (len(self.vocabulary) + 1) + numbers[1:]
+        pair[(numbers[:-1] == 0) | (numbers[1:] == 0)] = -1
+        left = np.zeros(len(self.words), dtype=bool)
+        for some, _, _ in self._stretches(self.lengths[0], numbers, pair, 2 * STRETCH):
+            left[some] = True
+        if left.any():
+            for of_length in self.lengths[1:]:
+                if left[of_length[1]].any():
+                    for some, a, b in self._stretches(of_length, numbers, pair, STRETCH):
+                        for i in some[left[some]].tolist():
+                            yield i, a, b
+
+    def _stretches(self, items: tuple, numbers: np.ndarray, pair: np.ndarray, least_span: int) -> Iterator[tuple[np.ndarray, int, int]]:
+        longest, some, words, starts, least, bigrams, which = items
+        span = max(4 * longest, least_span)
+        at = np.minimum(np.searchsorted(bigrams, pair), len(bigrams) - 1)
+        at[bigrams[at] != pair] = -1
+        has, pairs = np.zeros(len(self.vocabulary) + 1, dtype=bool), np.zeros(len(bigrams), dtype=bool)
+        for a in range(0, max(1, len(numbers) - 2 * longest), span - 2 * longest):
+            b = min(a + span, len(numbers))
+            seen, joined = numbers[a:b], at[a : max(a, b - 1)]
+            has[seen] = True
+            has[0] = False
+            m = np.add.reduceat(has[words], starts, dtype=np.int32)
+            has[seen] = False
+            ok = MATCH * m >= least
+            if ok.any():
+                joined = joined[joined >= 0]
+                pairs[joined] = True
+                ok &= m + np.add.reduceat(pairs[which], starts, dtype=np.int32) >= least - 1
+                pairs[joined] = False
+                if ok.any():
+                    yield some[ok], a, b
+
     def hits(self, text: str | None) -> list[dict]:
         """The items that contaminate a text, best alignment each."""
         numbers = self.numbers(text)
-        at, which = self.found(numbers)
         spans: dict[int, list[tuple[int, int]]] = {}
-        for place, key in zip(at.tolist(), self.distinct[which].tolist(), strict=True):
-            for k in range(*np.searchsorted(self.key, [key, key + 1]).tolist()):
-                item, q = int(self.item[k]), int(self.place[k])
-                size = len(self.words[item])
-                slack = max(8, size // 4)
-                low, high = max(0, place - q - slack), min(len(numbers), place + size - q + slack)
-                held = spans.setdefault(item, [])
-                if held and low <= held[-1][1] and high - held[-1][0] <= 4 * size + 4 * slack:
-                    held[-1] = (min(low, held[-1][0]), max(high, held[-1][1]))
-                else:
-                    held.append((low, high))
+        if self.words and len(numbers):
+            for item, low, high in self.candidates(numbers):
+                spans.setdefault(item, []).append((low, high))
         out = []
         for item, windows in spans.items():
             words = self.words[item]
@@ -164,33 +214,11 @@ def _slices(benchmark: DataFrame) -> Iterator[list[tuple]]:
         yield sorted(map(tuple, items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).collect()), key=repr)
 
 
-def _rare_items(docs: DataFrame, items: list[tuple], text_col: str) -> Items:
-    """The items of a slice with their seeds; counts n-grams over all documents."""
-    sought = Items(items)
-    shared = docs.sparkSession.sparkContext.broadcast(sought)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, sums = shared.value, np.zeros(len(shared.value.distinct), dtype=np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                sums += np.bincount(seeds.found(seeds.numbers(text.as_py()))[1], minlength=len(sums))
-        gram = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(sums[gram])], ["gram", "n"])
-
-    counts = np.zeros(len(sought.distinct), dtype=np.int64)
-    if len(sought.distinct):
-        for gram, n in docs.select(text_col).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n")).collect():
-            counts[gram] = n  # at most one row for each n-gram of the slice
-    sought.keep_rare(counts)
-    shared.unpersist()
-    return sought
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Column:
     """An array with the test items found in the text of each row: item_id, score, first_word, n_words."""
     found = []
     for items in _slices(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(_rare_items(docs, items, text_col))
+        shared = docs.sparkSession.sparkContext.broadcast(Items(items))
         found.append(_hits_udf(shared)(F.col(text_col)))
     return F.concat(*found)
 
