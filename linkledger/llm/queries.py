@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkledger.llm import (
-    decontaminate, exactdedup, langid, licenses, mixing, quality, sharding, simhash, tokencount, tokenfile,
+    collocations, decontaminate, exactdedup, langid, licenses, manifest, mixing, quality, sentencepieces, sharding, simhash, sql,
+    tokencount, tokenfile,
 )
 from linkledger.llm.common import table
 
@@ -68,6 +69,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and the root its tampered leaf folds to."""
+    docs = table(spark, sf_dir, "documents")
+    return manifest.manifest(docs, manifest.lower_cased(docs))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's pieces and of what they decode to, and the source bytes that their spans cover."""
+    return sentencepieces.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_language_id": op2_language_id,
@@ -79,14 +96,13 @@ QUERIES = {
     "op8_token_file": op8_token_file,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_manifest": op11_manifest,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_collocations": op13_collocations,
 }
 
-_NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 ORACLE = {
-    "op10_exact_dedup": f"""
-        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-               doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
-        FROM (SELECT doc_id, {_NORMALISED} AS t FROM documents)
-        WINDOW g AS (PARTITION BY t)""",
+    "op10_exact_dedup": sql.EXACT_DEDUP,
+    "op11_manifest": sql.manifest(),
+    "op13_collocations": sql.collocations(),
 }
