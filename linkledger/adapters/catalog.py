@@ -12,23 +12,30 @@ from linkledger.adapters import star
 from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
 from linkledger.operators import activity as A
+from linkledger.operators import activity_sketches as AS
 from linkledger.operators import capacity as C
+from linkledger.operators import digest_tree as DT
 from linkledger.operators import direction as D
 from linkledger.operators import fingerprint as FP
 from linkledger.operators import flatten as FL
+from linkledger.operators import history as H
 from linkledger.operators import merge as M
 from linkledger.operators import requests as Q
 from linkledger.operators import scanplan as N
 from linkledger.operators import sidecar as SC
 from linkledger.plans import jobs as J
 from linkledger.plans import reports as R
+from linkledger.plans import sql_names as SQ
 from linkledger.schemas import CONNECTION_KEY
+from linkledger.sinks import history as HS
 from linkledger.sinks import scratch
 from linkledger.sinks import snapshots as S
 from linkledger.sinks import tables as TB
+from linkledger.sinks import versions as V2
 from linkledger.sources import inventory as I
 from linkledger.sources import payloads as P
 from linkledger.sources import workspaces as W
+from linkledger.streaming import activity as SA
 from linkledger.streaming import ingest as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,9 +62,10 @@ def _payloads(spark: SparkSession, sf: str) -> DataFrame:
     return P.payload_roots(star.documents(spark, sf))
 
 
-def _land_text(docs: DataFrame, path: str, scan_date: str) -> None:
-    """Documents as lines of files, under the date of their scan."""
-    docs.select("text").write.text(f"{path}/scan_date={scan_date}")
+def _land_text(docs: DataFrame, path: str, scan_date: str, scan_time: str | None = None) -> None:
+    """Documents as lines of files, under the date (and time) of their scan."""
+    folder = f"{path}/scan_date={scan_date}" + (f"/scan_time={scan_time}" if scan_time else "")
+    docs.select("text").write.text(folder)
 
 
 def _existing(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,10 +170,25 @@ def lookback_window(spark, sf):
 
 
 def scan_by_id(spark, sf):
-    docs = P.documents_of_scan(star.documents(spark, sf), "scan-1")
-    payloads = P.payload_roots(docs)
-    sidecar = SC.build_sidecar(SC.payload_workspaces(payloads), profile="by_id")
-    return M.dedup(FL.flatten_payloads(payloads, sidecar))
+    """One finished scan, landed as ``scan-1.json``, picked up by its id and merged into an earlier inventory."""
+    work = scratch.scratch_dir(spark, "by-id")
+    for scan_id in ("scan-0", "scan-1"):
+        docs = P.documents_of_scan(star.documents(spark, sf), scan_id)
+        bare = F.when(F.startswith("text", F.lit("[")), F.expr("substring(text, 2, length(text) - 2)")).otherwise(F.col("text"))
+        TB.land_scan(docs.select(bare.alias("text")), f"{work}/raw", scan_id)
+    TB.save_inventory(_existing(spark, sf), f"{work}/curated")
+    J.scan_by_id(spark, f"{work}/raw", "scan-1", f"{work}/curated")
+    return I.read_inventory(spark, f"{work}/curated")
+
+
+def scan_dir_two_scans(spark, sf):
+    """Two dated scans under one folder over an older inventory: of each workspace the later one counts, as a whole."""
+    work = scratch.scratch_dir(spark, "two-scans")
+    TB.save_inventory(star.connections(spark, sf, name_suffix=" v0"), f"{work}/curated")
+    _land_text(star.documents(spark, sf), f"{work}/raw", FIRST)
+    _land_text(star.documents(spark, sf, rescan=True), f"{work}/raw", SECOND)
+    J.scan_directory(spark, f"{work}/raw", f"{work}/curated", glob="*.txt", per_line=True)
+    return I.read_inventory(spark, f"{work}/curated")
 
 
 def activity_events(spark, sf):
@@ -409,11 +432,12 @@ def stream_fingerprints_rescan(spark, sf):
 
 
 def scan_dir_rejects(spark, sf):
-    """What a job over landed files could not use, by reason."""
+    """What a job over landed files could not use, by reason; a second run over them reports the same."""
     work = scratch.scratch_dir(spark, "rejects")
     _land_text(star.documents(spark, sf, broken=True), f"{work}/raw", FIRST)
     J.scan_directory(spark, f"{work}/raw", f"{work}/curated", glob="*.txt", per_line=True, rejects=f"{work}/rejects")
-    return spark.read.parquet(f"{work}/rejects").groupBy("reason", "position").agg(F.sum("n").alias("n"))
+    J.scan_directory(spark, f"{work}/raw", f"{work}/curated", glob="*.txt", per_line=True, rejects=f"{work}/rejects")
+    return J.read_rejects(spark, f"{work}/rejects").groupBy("reason", "position").agg(F.sum("n").alias("n"))
 
 
 def scan_dir_partitioned(spark, sf):
@@ -458,6 +482,103 @@ def incremental_replace(spark, sf):
     return I.read_inventory(spark, f"{work}/curated")
 
 
+def incremental_same_day(spark, sf):
+    """Two scans of one day, told apart by their times: what the later one lacks is gone, from connections and hashes."""
+    work = scratch.scratch_dir(spark, "same-day")
+    _land_text(star.documents(spark, sf), f"{work}/raw", FIRST, "080000")
+    _land_text(star.documents(spark, sf, rescan=True), f"{work}/raw", FIRST, "140000")
+    J.incremental_update(
+        P.read_payload_text(spark, f"{work}/raw", glob="*.txt", per_line=True), _workspaces(spark, sf),
+        W.lookback_start(star.as_of(), days=30), star.as_of(), SECOND_TIME, f"{work}/curated", f"{work}/hashes",
+    )
+    counts = I.read_inventory(spark, f"{work}/curated").groupBy("workspace_id").agg(F.count(F.lit(1)).alias("connections"))
+    prints = I.read_fingerprints(spark, f"{work}/hashes").select("workspace_id", "connection_hash")
+    return prints.join(counts, "workspace_id", "left").withColumn("connections", F.coalesce("connections", F.lit(0).cast("long")))
+
+
+def stream_same_day_rescan(spark, sf):
+    """The same content scanned twice on one day, in two runs of the stream: hashes stay as they were."""
+    work = scratch.scratch_dir(spark, "stream")
+    for clock, time in (("080000", FIRST_TIME), ("140000", SECOND_TIME)):
+        _land_text(star.documents(spark, sf), f"{work}/raw", FIRST, clock)
+        _run_stream(spark, work)
+        ST.update_fingerprints(spark, f"{work}/increments", _workspaces(spark, sf), time, f"{work}/hashes")
+    return I.read_fingerprints(spark, f"{work}/hashes")
+
+
+def stream_duplicate_landing(spark, sf):
+    """Every document of a scan landed twice, under other names and in another run: each counts once in the hashes."""
+    work = scratch.scratch_dir(spark, "stream")
+    docs = star.documents(spark, sf).select("text")
+    docs.write.parquet(f"{work}/docs")
+    for again in ("a", "b"):
+        spark.read.parquet(f"{work}/docs").write.text(f"{work}/raw/scan_date={FIRST}/{again}")
+        stream = ST.read_payload_stream(spark, f"{work}/raw", glob="*.txt", per_line=True, replays_within="7 days")
+        ST.stage_increments(stream, f"{work}/increments", f"{work}/checkpoint")
+    ST.update_fingerprints(spark, f"{work}/increments", _workspaces(spark, sf), SECOND_TIME, f"{work}/hashes")
+    return I.read_fingerprints(spark, f"{work}/hashes")
+
+
+# --- history and versions ---------------------------------------------------------------------
+
+SCANS = ("2024-01-29", "2024-01-30", "2024-01-31")
+
+
+def _three_scans(spark, sf) -> list[tuple[str, DataFrame, DataFrame]]:
+    """Scan, its connections, the workspaces it looked at: all, every other one, two of three."""
+    number = F.expr("CAST(substr(workspace_id, 4) AS bigint)")
+    ws = _workspaces(spark, sf).select(F.col("id").alias("workspace_id"))
+    found = [star.connections(spark, sf, until=star.CUTOFF), _incoming(spark, sf), _incoming(spark, sf)]
+    looked = [F.lit(True), number % 2 == 0, number % 3 != 0]
+    return [(s, rows.filter(some), ws.filter(some)) for s, rows, some in zip(SCANS, found, looked, strict=True)]
+
+
+def connection_history(spark, sf):
+    """From when to when every connection was there, over three scans."""
+    rows = seen = None
+    for scan, found, looked in _three_scans(spark, sf):
+        found, looked = found.withColumn("scan", F.lit(scan)), looked.withColumn("scan", F.lit(scan))
+        rows, seen = (found, looked) if rows is None else (rows.unionByName(found), seen.unionByName(looked))
+    return H.history(rows, seen)
+
+
+def _recorded(spark, sf) -> str:
+    base = scratch.scratch_dir(spark, "history")
+    for scan, found, looked in _three_scans(spark, sf):
+        HS.record_scan(found, looked, scan, base)
+    return base
+
+
+def history_recorded(spark, sf):
+    """The same history, kept scan by scan."""
+    return HS.read_history(spark, _recorded(spark, sf))
+
+
+def inventory_as_of(spark, sf):
+    """The inventory as it was at the second scan, read from the history after the third."""
+    return HS.read_as_of(spark, _recorded(spark, sf), SCANS[1])
+
+
+def snapshot_between(spark, sf):
+    """What changed between the first and the third of four stored versions."""
+    base = scratch.scratch_dir(spark, "versions")
+    V2.save_version(_existing(spark, sf), base, buckets=8)
+    V2.merge_version(_incoming(spark, sf).filter("cloud"), base)
+    V2.merge_version(_incoming(spark, sf), base)
+    V2.merge_version(_existing(spark, sf), base)
+    return V2.diff_versions(spark, base, 1, 3)
+
+
+def version_merged(spark, sf):
+    """A version merged with the connections of every other workspace, which replace theirs."""
+    base = scratch.scratch_dir(spark, "versions")
+    even = F.expr("CAST(substr(workspace_id, 4) AS bigint) % 2 = 0")
+    V2.save_version(_existing(spark, sf), base, buckets=8)
+    scanned = _workspaces(spark, sf).select(F.col("id").alias("workspace_id")).filter(even)
+    V2.merge_version(_incoming(spark, sf).filter(even), base, scanned)
+    return V2.read_version(spark, base).drop(V2.ID)
+
+
 # --- fingerprints -----------------------------------------------------------------------------
 
 def fingerprint_build(spark, sf):
@@ -486,6 +607,14 @@ def recent_scan_reduction(spark, sf):
     return FP.skip_reduction(_candidates(spark, sf), star.stored_times(spark, sf), star.as_of())
 
 
+def fingerprint_drilldown(spark, sf):
+    """Items that differ between two scans, found through the workspaces that do."""
+    base = scratch.scratch_dir(spark, "trees")
+    DT.save_tree(star.connections(spark, sf, until=STORED_UNTIL), f"{base}/old", parts=16)
+    DT.save_tree(star.connections(spark, sf, since=CURRENT_SINCE), f"{base}/new", parts=16)
+    return DT.drilldown(spark, f"{base}/old", f"{base}/new")
+
+
 # --- direction and activity ---------------------------------------------------------------------
 
 def classify_direction(spark, sf):
@@ -509,6 +638,61 @@ def activity_top10(spark, sf):
     return A.top_activities(inbound_activity(spark, sf))
 
 
+def _sketched(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Inbound events of 29.5 days, and these with the whole days' sketches read from where they are stored."""
+    path = scratch.scratch_dir(spark, "sketches")
+    events = A.inbound(star.activity_events(spark, sf))
+    AS.store(AS.daily(events), path)
+    return A.inbound(A.in_window(star.activity_events(spark, sf), star.as_of(), days=29.5)), AS.window(
+        AS.read(spark, path), events, "2024-01-01 12:00:00", star.AS_OF)
+
+
+def activity_summary_sketched(spark, sf):
+    """The summary from stored sketches: exact calls, distinct counts within their stated error of the exact ones."""
+    events, joined = _sketched(spark, sf)
+    exact = A.summary(events).select(*[F.col(c).alias(f"exact_{c}") for c in ("calls", "users", "ips", "workspaces")])
+    both = AS.summary(joined).join(exact, F.col("calls") == F.col("exact_calls"))
+    return both.select("calls", *[AS.distinct_within(c, f"exact_{c}").alias(f"{c}_within") for c in ("users", "ips", "workspaces")])
+
+
+def _top_sketched(column: str) -> Query:
+    def run(spark, sf):
+        events, joined = _sketched(spark, sf)
+        return AS.top(joined, events, column)
+    return run
+
+
+def stream_day_tiles(spark, sf):
+    """Pages landed in three parts, in order of time, streamed one part after the other."""
+    work = scratch.scratch_dir(spark, "tiles")
+    events = star.activity_events(spark, sf)
+    for k, (since, until) in enumerate((("", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "9"))):
+        part = events.filter((F.col("CreationTime") >= since) & (F.col("CreationTime") < until))
+        star.pages_of(part).write.text(f"{work}/pages/{k}")
+        SA.stage_tiles(SA.read_page_stream(spark, f"{work}/pages"), f"{work}/out", f"{work}/checkpoint")
+    tiles = SA.day_tiles(SA.read_tiles(spark, f"{work}/out"), star.as_of(), days=30)
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return tiles.select(
+        "tile", F.date_format("tile_start", fmt).alias("tile_start"), F.date_format("tile_end", fmt).alias("tile_end"), "events", "late")
+
+
+def direction_sql(spark, sf):
+    """The direction rule under its SQL name."""
+    SQ.register_rules(spark)
+    star.connections(spark, sf).createOrReplaceTempView("linkledger_connections")
+    return spark.sql(
+        "SELECT connector, server, endpoint, connection_direction(connector, server, endpoint) AS direction, count(1) AS n "
+        "FROM linkledger_connections GROUP BY ALL")
+
+
+def _report_sql(query: str) -> Query:
+    def run(spark, sf):
+        inventory(spark, sf).createOrReplaceTempView("linkledger_inventory")
+        SQ.register_reports(spark, "linkledger_inventory")
+        return spark.sql(query)
+    return run
+
+
 # --- capacities and scan plans -------------------------------------------------------------------
 
 def _keyed(spark, sf):
@@ -632,6 +816,7 @@ QUERIES: dict[str, Query] = {
     "modified_since": modified_since,
     "lookback_window": lookback_window,
     "scan_by_id": scan_by_id,
+    "scan_dir_two_scans": scan_dir_two_scans,
     "activity_events": activity_events,
     "activity_filtered": activity_filtered,
     "activity_by_day_tile": activity_by_day_tile,
@@ -675,7 +860,16 @@ QUERIES: dict[str, Query] = {
     "stream_fingerprints_rescan": stream_fingerprints_rescan,
     "incremental_update": incremental_update,
     "incremental_replace": incremental_replace,
+    "incremental_same_day": incremental_same_day,
+    "stream_same_day_rescan": stream_same_day_rescan,
+    "stream_duplicate_landing": stream_duplicate_landing,
+    "connection_history": connection_history,
+    "history_recorded": history_recorded,
+    "inventory_as_of": inventory_as_of,
+    "snapshot_between": snapshot_between,
+    "version_merged": version_merged,
     "fingerprint_build": fingerprint_build,
+    "fingerprint_drilldown": fingerprint_drilldown,
     "fingerprint_upsert": fingerprint_upsert,
     "fingerprint_diff": fingerprint_diff,
     "recent_scan_skip": recent_scan_skip,
@@ -685,6 +879,14 @@ QUERIES: dict[str, Query] = {
     "inbound_activity": inbound_activity,
     "activity_summary": activity_summary,
     "activity_top10": activity_top10,
+    "activity_summary_sketched": activity_summary_sketched,
+    "activity_top10_sketched": _top_sketched("activity"),
+    "user_top10_sketched": _top_sketched("user"),
+    "stream_day_tiles": stream_day_tiles,
+    "direction_sql": direction_sql,
+    "connector_counts_sql": _report_sql("SELECT * FROM connector_counts(true)"),
+    "owner_connections_sql": _report_sql("SELECT * FROM connections_of_owner('user1@example.org')"),
+    "outbound_sql": _report_sql("SELECT * FROM connections_by_direction('outbound')"),
     "capacity_distribution": capacity_distribution,
     "capacity_coverage": lambda spark, sf: C.coverage(_sidecar(spark, sf)),
     "capacity_filter": capacity_filter,

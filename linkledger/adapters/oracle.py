@@ -158,7 +158,7 @@ def _hashes(name: str, condition: str) -> str:
         + " || ', \"endpoint\": ' || " + text("endpoint") + " || ', \"server\": ' || " + text("server") + " || '}'"
     )
     lanes = ", ':', ".join(
-        f"CAST(sum(CAST(('0x' || substr(d, {1 + 16 * i}, 16)) AS UBIGINT)) AS VARCHAR)" for i in range(4)
+        f"CAST(sum(CAST(('0x' || substr(d, {1 + 8 * i}, 8)) AS UBIGINT)) AS VARCHAR)" for i in range(8)
     )
     return (
         f"{name} AS (SELECT workspace_id, sha256(concat(count(*), ':', {lanes})) AS connection_hash "
@@ -292,6 +292,33 @@ def _bare_meta(alias: str) -> str:
     )
 
 
+_NUMBER = "CAST(substr(workspace_id, 4) AS BIGINT)"
+# Three scans: the older connections, then twice the newer ones, of some workspaces only.
+_SCANS = f"""
+looked AS (
+  SELECT workspace_id, '2024-01-29' AS scan FROM side UNION ALL
+  SELECT workspace_id, '2024-01-30' FROM side WHERE {_NUMBER} % 2 = 0 UNION ALL
+  SELECT workspace_id, '2024-01-31' FROM side WHERE {_NUMBER} % 3 <> 0),
+seen AS (SELECT *, row_number() OVER w AS seq, lead(scan) OVER w AS next FROM looked WINDOW w AS (PARTITION BY workspace_id ORDER BY scan)),
+found AS (
+  SELECT {_COLUMNS}, '2024-01-29' AS scan FROM existing UNION ALL
+  SELECT {_COLUMNS}, '2024-01-30' FROM incoming UNION ALL SELECT {_COLUMNS}, '2024-01-31' FROM incoming),
+one AS (
+  SELECT * EXCLUDE (pick) FROM (
+    SELECT *, row_number() OVER (PARTITION BY scan, {_KEY} ORDER BY {_REST_ORDER}) AS pick FROM found JOIN seen USING (workspace_id, scan))
+  WHERE pick = 1),
+runs AS (SELECT *, seq - row_number() OVER (PARTITION BY {_COLUMNS} ORDER BY seq) AS run FROM one),
+hist AS (SELECT {_COLUMNS}, min(scan) AS valid_from, max_by(coalesce(next, '-'), seq) AS until FROM runs GROUP BY {_COLUMNS}, run)"""
+_HISTORY = f"SELECT {_COLUMNS}, valid_from, nullif(until, '-') AS valid_to FROM hist"
+_SHORT = _EVENTS.replace("TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-01 12:00:00'")
+
+
+def _item_docs(name: str, condition: str) -> str:
+    """The connections of every item as one sorted list."""
+    doc = "[connector, coalesce('=' || server, '-'), coalesce('=' || database, '-'), coalesce('=' || endpoint, '-')]"
+    return f"{name} AS (SELECT workspace_id, item_id, list_sort(list({doc})) AS l FROM conn WHERE {condition} GROUP BY ALL)"
+
+
 ORACLE: dict[str, str] = {
     "scan_payload_dir": _conn(_best("conn")),
     "payload_rejects": _with(_DOCS, select="""
@@ -326,8 +353,58 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (modified >= TIMESTAMP '2024-01-30 18:00:00') AS hours_win
         FROM ws"""),
     "scan_by_id": _conn(
-        _best("one"),
-        f"one AS (SELECT {_bare_meta('conn')} FROM conn JOIN side USING (workspace_id) WHERE side.custkey // 100 = 1)"),
+        _best("both_sides", "age"), _EXISTING,
+        f"""both_sides AS (
+          SELECT {_COLUMNS}, 1 AS age FROM existing UNION ALL
+          SELECT {_COLUMNS}, 0 FROM (SELECT {_bare_meta('conn')} FROM conn JOIN side USING (workspace_id) WHERE side.custkey // 100 = 1))"""),
+    "scan_dir_two_scans": _conn(_best("kept"), f"kept AS (SELECT * FROM conn WHERE NOT ({_GONE}))"),
+    "incremental_same_day": _conn(
+        f"""SELECT id AS workspace_id, coalesce(connection_hash, sha256('')) AS connection_hash, coalesce(n, 0) AS connections
+        FROM ws LEFT JOIN new_hash h ON h.workspace_id = id
+        LEFT JOIN (SELECT workspace_id, count(*) AS n FROM ({_best("kept")}) GROUP BY workspace_id) c ON c.workspace_id = id""",
+        f"kept AS (SELECT * FROM conn WHERE NOT ({_GONE}))", _hashes("new_hash", f"NOT ({_GONE})")),
+    "stream_same_day_rescan": _conn(_prints("new_hash", "2024-01-31T00:00:00+00:00") + """
+        UNION ALL SELECT id, name, coalesce(lower(type), ''), sha256(''), '2024-01-31T00:00:00+00:00' FROM ws
+        WHERE id NOT IN (SELECT workspace_id FROM new_hash)""", _FULL_HASH),
+    "stream_duplicate_landing": _conn(_prints("new_hash", "2024-01-31T00:00:00+00:00") + """
+        UNION ALL SELECT id, name, coalesce(lower(type), ''), sha256(''), '2024-01-31T00:00:00+00:00' FROM ws
+        WHERE id NOT IN (SELECT workspace_id FROM new_hash)""", _FULL_HASH),
+    "connection_history": _conn(_HISTORY, _EXISTING, _INCOMING, _SCANS),
+    "history_recorded": _conn(_HISTORY, _EXISTING, _INCOMING, _SCANS),
+    "inventory_as_of": _conn(
+        f"SELECT {_COLUMNS} FROM one JOIN (SELECT workspace_id, max(scan) AS scan FROM looked WHERE scan <= '2024-01-30' GROUP BY workspace_id) "
+        "USING (workspace_id, scan)", _EXISTING, _INCOMING, _SCANS),
+    "snapshot_between": _conn(
+        f"""SELECT {_KEY}, CASE WHEN count(*) FILTER (side = 0) = 0 THEN 'added' ELSE 'changed' END AS change
+        FROM both_sides GROUP BY {_KEY} HAVING count(*) FILTER (side = 1) > 0""", _EXISTING, _INCOMING, _BOTH),
+    "version_merged": _conn(
+        _best("both_sides"), _EXISTING, _INCOMING,
+        f"""both_sides AS (
+          SELECT {_COLUMNS} FROM existing WHERE {_NUMBER} % 2 <> 0 UNION ALL
+          SELECT {_COLUMNS} FROM incoming WHERE {_NUMBER} % 2 = 0)"""),
+    "fingerprint_drilldown": _conn("""
+        SELECT workspace_id, item_id, CASE WHEN o.l IS NULL THEN 'added' WHEN n.l IS NULL THEN 'removed' ELSE 'changed' END AS change
+        FROM old_items o FULL OUTER JOIN new_items n USING (workspace_id, item_id) WHERE o.l IS DISTINCT FROM n.l""",
+        _item_docs("old_items", "dated < TIMESTAMP '2001-10-01'"), _item_docs("new_items", "dated >= TIMESTAMP '1995-02-01'")),
+    "activity_summary_sketched": _with(_SHORT, select=(
+        "SELECT count(*) AS calls, true AS users_within, true AS ips_within, true AS workspaces_within FROM inb")),
+    "activity_top10_sketched": _with(_SHORT, select=(
+        'SELECT activity, count("timestamp") AS events FROM inb GROUP BY activity ORDER BY events DESC, activity LIMIT 10')),
+    "user_top10_sketched": _with(_SHORT, select=(
+        'SELECT "user", count("timestamp") AS events FROM inb WHERE "user" IS NOT NULL GROUP BY "user" ORDER BY events DESC, "user" LIMIT 10')),
+    "stream_day_tiles": """
+        WITH d AS (SELECT CAST(range AS INTEGER) AS tile, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(range AS INTEGER)) AS dated
+                   FROM range(30))
+        SELECT tile, strftime(dated, '%Y-%m-%d %H:%M:%S') AS tile_start,
+               strftime(dated + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS tile_end, count(ts) AS events, CAST(0 AS BIGINT) AS late
+        FROM d LEFT JOIN events ON ts >= dated AND ts < dated + INTERVAL 1 DAY GROUP BY tile, dated""",
+    "direction_sql": _conn(
+        f"SELECT connector, server, endpoint, {_DIRECTION} AS direction, count(*) AS n FROM conn GROUP BY ALL"),
+    "connector_counts_sql": _inv(
+        "SELECT connector, count(*) AS connection_count FROM inv WHERE cloud GROUP BY connector"),
+    "owner_connections_sql": _inv(
+        "SELECT connector, target, workspace_name, item_name FROM inv WHERE workspace_users LIKE '%user1@example.org%'"),
+    "outbound_sql": _inv(f"SELECT {_KEY} FROM inv WHERE {_DIRECTION} = 'outbound'"),
     "activity_events": _with(_EVENTS, select=(
         "SELECT * EXCLUDE (ts) FROM ev WHERE ts >= TIMESTAMP '2024-01-11 00:00:00' "
         "AND ts < TIMESTAMP '2024-01-31 00:00:00'")),

@@ -363,7 +363,10 @@ def activity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as landed pages of up to 500, JSON text per page."""
-    e = activity_events(spark, sf_dir)
+    return pages_of(activity_events(spark, sf_dir))
+
+
+def pages_of(e: DataFrame) -> DataFrame:
     page = e.selectExpr("monotonically_increasing_id() div 500 AS page", f"struct({', '.join(e.columns)}) AS e")
     return page.groupBy("page").agg(F.expr("collect_list(e) AS activityEventEntities")).selectExpr(
         "to_json(struct(activityEventEntities, CASE WHEN page % 2 = 0 THEN concat('t', page) END AS continuationToken)) "

@@ -9,7 +9,9 @@ from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
 from linkledger.schemas import FINGERPRINT_COLUMNS
 
-_FIELDS = ["connector", "server", "database", "endpoint"]
+FIELDS = ["connector", "server", "database", "endpoint"]
+#: Lanes of 32 bits that a digest is summed in: sums of up to 2^31 connections are exact in 64 bits.
+LANES = 8
 
 
 def _canonical(fields: list[str]) -> str:
@@ -25,14 +27,14 @@ def connection_hashes(rows: DataFrame, include_item_id: bool = False, as_list: b
     """``(workspace_id, connection_hash)`` for every workspace that has rows.
 
     Every connection is a JSON object; the hash is SHA-256 of the number of connections and
-    the sums of the four 64-bit lanes of their digests. Sums combine in any order and before
+    the sums of the eight 32-bit lanes of their digests. Sums combine in any order and before
     the shuffle, so a workspace is never gathered, whatever its size, and repeated
     connections count as often as they occur.
 
     ``as_list`` gives SHA-256 of the connections as one sorted JSON list instead, byte for
     byte as other tools store it; that gathers each workspace in one row.
     """
-    fields = _FIELDS + (["item_id"] if include_item_id else [])
+    fields = FIELDS + (["item_id"] if include_item_id else [])
     kept = rows.filter(X.is_filled("workspace_id"))
     return _listed(kept, fields) if as_list else _summed(kept, fields)
 
@@ -49,13 +51,19 @@ def _listed(rows: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
+def lane_sums(rows: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """``n`` and ``lane0`` up, the sums of the digests' lanes, by ``keys``."""
+    digests = rows.selectExpr(*keys, f"sha2({_canonical(fields)}, 256) AS d")
+    lanes = [F.expr(f"sum(CAST(conv(substring(d, {1 + 8 * i}, 8), 16, 10) AS bigint)) AS lane{i}") for i in range(LANES)]
+    return digests.groupBy(*keys).agg(F.expr("count(1) AS n"), *lanes)
+
+
+def hash_of_sums() -> str:
+    return f"sha2(concat_ws(':', n, {', '.join(f'lane{i}' for i in range(LANES))}), 256)"
+
+
 def _summed(rows: DataFrame, fields: list[str]) -> DataFrame:
-    # Lanes are unsigned; decimals hold them and their sums without overflow.
-    lanes = [f"sum(CAST(conv(substring(d, {1 + 16 * i}, 16), 16, 10) AS decimal(20, 0)))" for i in range(4)]
-    digests = rows.selectExpr("workspace_id", f"sha2({_canonical(fields)}, 256) AS d")
-    return digests.groupBy("workspace_id").agg(
-        F.expr(f"sha2(concat_ws(':', count(1), {', '.join(lanes)}), 256) AS connection_hash")
-    )
+    return lane_sums(rows, ["workspace_id"], fields).selectExpr("workspace_id", f"{hash_of_sums()} AS connection_hash")
 
 
 def fingerprints(

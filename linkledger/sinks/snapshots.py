@@ -31,7 +31,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _versions(spark: SparkSession, base: str) -> list[tuple[int, bool]]:
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a working folder whose content has been written elsewhere."""
+    p, fs, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def rename_only_file(spark: SparkSession, folder: str, to: str) -> str:
+    """Give the one part file of a finished write its final name; the folder goes."""
+    p, fs, jpath = _fs(spark, folder)
+    (part,) = [f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith("part-")]
+    target = jpath(to)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"cannot rename {part.toString()} to {to}")
+    fs.delete(p, True)
+    return to
+
+
+def numbered(spark: SparkSession, base: str) -> list[tuple[int, bool]]:
     """Version numbers under ``base`` with whether each is complete, ascending."""
     p, fs, jpath = _fs(spark, base)
     if not fs.exists(p):
@@ -46,7 +65,7 @@ def _versions(spark: SparkSession, base: str) -> list[tuple[int, bool]]:
 
 def current_path(spark: SparkSession, base: str) -> str | None:
     """Directory of the newest complete version, or None."""
-    complete = [n for n, done in _versions(spark, base) if done]
+    complete = [n for n, done in numbered(spark, base) if done]
     return f"{base}/v{complete[-1]:08d}" if complete else None
 
 
@@ -67,6 +86,12 @@ def read_note(spark: SparkSession, base: str) -> dict:
     return json.loads(spark.read.text(note).first().value)
 
 
+def write_note(spark: SparkSession, base: str, version: int, note: dict) -> None:
+    """What is to be known of a version; written before it, so it counts together with it."""
+    text = spark.createDataFrame([(json.dumps(note),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(f"{base}/notes/v{version:08d}")
+
+
 def write_snapshot(
     df: DataFrame, base: str, partition_by: list[str] | None = None, note: dict | None = None
 ) -> tuple[str, int]:
@@ -75,13 +100,11 @@ def write_snapshot(
     Without a ``note`` of its own the version keeps the one before it.
     """
     spark = df.sparkSession
-    versions = _versions(spark, base)
+    versions = numbered(spark, base)
     name = f"v{(versions[-1][0] + 1 if versions else 1):08d}"
     noted = read_note(spark, base) if note is None else note
     if noted:
-        spark.createDataFrame([(json.dumps(noted),)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{base}/notes/{name}"
-        )
+        write_note(spark, base, int(name[1:]), noted)
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
     if partition_by:
@@ -105,7 +128,7 @@ def vacuum(spark: SparkSession, base: str, keep: int = 2, tables: tuple[str, ...
     if keep < 1:
         raise ValueError("keep must be at least 1")
     used = {table_location(spark, t).rstrip("/").rsplit("/", 1)[1] for t in tables}
-    complete = [n for n, done in _versions(spark, base) if done]
+    complete = [n for n, done in numbered(spark, base) if done]
     for n in complete[:-keep]:
         if f"v{n:08d}" not in used:
             p, fs, _ = _fs(spark, f"{base}/v{n:08d}")

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from linkledger.operators import merge as M
 from linkledger.schemas import CONNECTION_COLUMNS, CONNECTION_SCHEMA
@@ -143,6 +144,19 @@ def land_payloads(payloads: DataFrame, path: str) -> None:
     payloads.select("scan_kind", "scan_date", "payload.*").write.mode("append").partitionBy("scan_kind", "scan_date").json(path)
 
 
+def land_scan(payloads: DataFrame, folder: str, scan_id: str) -> str:
+    """Land the payload objects (``text``) of one finished scan as one file, ``<scan_id>.json``, a list; returns its path.
+
+    The file appears under its name once it is whole, and takes the place of one that is there.
+    """
+    spark, work = payloads.sparkSession, scratch_dir(payloads.sparkSession, "scan")
+    last = F.lead("text").over(W.orderBy("text")).isNull()
+    lines = payloads.select("text").withColumn("_end", F.when(last, "]").otherwise(","))
+    first = F.when(F.row_number().over(W.orderBy("text")) == 1, "[").otherwise("")
+    lines.select(F.concat(first, "text", "_end")).coalesce(1).write.text(work)
+    return S.rename_only_file(spark, work, f"{folder}/{scan_id}.json")
+
+
 def save_analysis(rows: DataFrame, path: str) -> None:
     """An analysis result as parquet and, beside it, CSV made from that; earlier results stay until the new one is complete."""
     saved, _ = S.write_snapshot(rows, f"{path}/parquet")

@@ -33,16 +33,27 @@ def read_payload_text(
 
     ``per_line`` reads one document per line: such files split, so their size doesn't matter. A
     file read whole has to fit into one string, else the read fails; ``skip_larger_than`` leaves
-    such files to :func:`oversized_files` instead. ``scan`` is the ``scan_date`` folder a
-    document landed in, empty without one; ``since`` prunes earlier folders.
+    such files to :func:`oversized_files` instead. ``scan`` is told from the folders a
+    document landed in, see :func:`scan_of`; ``since`` prunes folders of earlier dates.
     """
     text = spark.read.option("pathGlobFilter", glob).text(path, wholetext=not per_line)
     if since is not None:
         text = text.filter(F.col("scan_date") >= since)
     if skip_larger_than is not None and not per_line:
         text = text.filter(F.col("_metadata.file_size") <= skip_larger_than)
-    scan = F.col("scan_date").cast("string") if "scan_date" in text.columns else F.lit("")
-    return text.select(F.col("_metadata.file_path").alias("path"), scan.alias("scan"), F.col("value").alias("text"))
+    path = F.col("_metadata.file_path")
+    return text.select(path.alias("path"), scan_of(path).alias("scan"), F.col("value").alias("text"))
+
+
+def scan_of(path: Column) -> Column:
+    """The scan that a file belongs to, from its folders: ``scan_date=<date>``, with ``T`` and the time if below it there is a
+    ``scan_time=<time>`` (such as ``153000``; scans of one day in the order of their times). Empty without such folders.
+
+    Several scans of a workspace on one day have to land under their times: files of one folder are one scan, whatever
+    their number, and their own times don't tell scans apart.
+    """
+    date, time = (F.regexp_extract(path, f"/scan_{part}=([^/]+)/", 1) for part in ("date", "time"))
+    return F.concat(date, F.when(time != "", F.concat(F.lit("T"), time)).otherwise(F.lit("")))
 
 
 def oversized_files(spark: SparkSession, path: str | list[str], max_bytes: int, glob: str = "*.json") -> DataFrame:
@@ -89,7 +100,10 @@ _TOLERANT = (
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:
-    """``(path, text)`` to ``(path, scan, is_list, _roots)``, parsed once per document."""
+    """``(path, text)`` to ``(path, scan, digest, is_list, _roots)``, parsed once per document.
+
+    Jobs that need several things of a document land this and take roots, rejects and repeats from what they landed.
+    """
     is_list = _first_character(F.col("text")) == "["
     # An object root is wrapped into a one-element list, so both kinds share a schema,
     # and text after the document's end becomes a syntax error.
@@ -97,11 +111,11 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     strict = F.from_json(F.concat(F.lit('{"roots":'), F.col("_listed"), F.lit("}")), _ROOTS_DDL, _PARSE_OPTIONS)
     scan = F.col("scan") if "scan" in docs.columns else F.lit("").alias("scan")
     parsed = (
-        docs.select("path", scan, is_list.alias("is_list"), listed.alias("_listed"))
-        .select("path", "scan", "is_list", "_listed", strict.alias("_strict"))
+        docs.select("path", scan, F.sha2("text", 256).alias("digest"), is_list.alias("is_list"), listed.alias("_listed"))
+        .select("path", "scan", "digest", "is_list", "_listed", strict.alias("_strict"))
     )
     roots = F.when(F.col("_strict._bad").isNull(), F.col("_strict.roots")).otherwise(F.expr(_TOLERANT))
-    return parsed.select("path", "scan", "is_list", roots.alias("_roots"))
+    return parsed.select("path", "scan", "digest", "is_list", roots.alias("_roots"))
 
 
 # Text that is no list must hold exactly one object; two in a row are not JSON. Exploding
@@ -110,9 +124,20 @@ def parse_documents(docs: DataFrame) -> DataFrame:
 _WHOLE_ROOTS = "CASE WHEN is_list OR size(_roots) = 1 THEN _roots END"
 
 
+def repeats(parsed: DataFrame) -> DataFrame:
+    """Documents landed more than once within a scan: ``scan``, ``digest`` and ``first``, the least path. Reads digests only."""
+    found = parsed.groupBy("scan", "digest").agg(F.min("path").alias("first"), F.count_distinct("path").alias("n"))
+    return found.filter("n > 1").drop("n")
+
+
 def payload_roots(docs: DataFrame) -> DataFrame:
     """One row ``(path, scan, position, payload)`` per payload object; other roots are skipped."""
-    exploded = parse_documents(docs).selectExpr("path", "scan", f"posexplode({_WHOLE_ROOTS}) AS (position, payload)")
+    return roots_of(parse_documents(docs))
+
+
+def roots_of(parsed: DataFrame) -> DataFrame:
+    """:func:`payload_roots` of parsed documents."""
+    exploded = parsed.selectExpr("path", "scan", f"posexplode({_WHOLE_ROOTS}) AS (position, payload)")
     return exploded.filter("payload IS NOT NULL")
 
 
@@ -129,6 +154,11 @@ def payload_rejects(docs: DataFrame) -> DataFrame:
     Reasons: ``invalid_json``, ``root_not_object``, ``element_not_object``, ``workspace_not_object`` and
     ``item_not_object``; ``n`` counts the rejected elements at that position.
     """
+    return rejects_of(parse_documents(docs))
+
+
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """:func:`payload_rejects` of parsed documents."""
     def reject(position: str, reason: str, n: str) -> str:
         return f"struct(CAST({position} AS int) AS position, {reason} AS reason, CAST({n} AS bigint) AS n)"
 
@@ -146,7 +176,7 @@ def payload_rejects(docs: DataFrame) -> DataFrame:
         f"CASE WHEN ({_WHOLE_ROOTS}) IS NULL THEN array({reject('NULL', quoted('invalid_json'), '1')}) "
         f"ELSE flatten(transform(_roots, (r, i) -> {per_root})) END"
     )
-    return parse_documents(docs).selectExpr("path", f"explode({found}) AS r").filter("r IS NOT NULL").select("path", "r.*")
+    return parsed.selectExpr("path", f"explode({found}) AS r").filter("r IS NOT NULL").select("path", "r.*")
 
 
 def workspace_list(docs: DataFrame) -> DataFrame:

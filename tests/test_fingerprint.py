@@ -44,7 +44,7 @@ BY_WS = {
 
 def summed(conns):
     digests = [hashlib.sha256(json.dumps(c, sort_keys=True, ensure_ascii=True).encode()).hexdigest() for c in conns]
-    lanes = [sum(int(d[16 * i : 16 * i + 16], 16) for d in digests) for i in range(4)]
+    lanes = [sum(int(d[8 * i : 8 * i + 8], 16) for d in digests) for i in range(8)]
     return hashlib.sha256(":".join(map(str, [len(conns), *lanes])).encode()).hexdigest()
 
 

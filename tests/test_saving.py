@@ -218,7 +218,7 @@ def test_jobs_write_rejects(spark, tmp_path):
     with open(tmp_path / "raw" / "huge.json", "wb") as f:
         f.truncate(2 * 1024**3)
     assert J.scan_directory(spark, raw, f"{tmp_path}/cur", rejects=f"{tmp_path}/rej") == 1
-    got = sorted((os.path.basename(r.path), r.reason) for r in spark.read.parquet(f"{tmp_path}/rej").collect())
+    got = sorted((os.path.basename(r.path), r.reason) for r in J.read_rejects(spark, f"{tmp_path}/rej").collect())
     assert got == [("bad.json", "invalid_json"), ("huge.json", "too_large"), ("s1.json", "element_not_object")]
 
 
