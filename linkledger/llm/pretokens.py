@@ -76,11 +76,3 @@ class Remembered(dict):
             self.clear()
         self[piece] = value
         return value
-
-
-_CONTROLS = re.compile("[\x1c-\x1f]")
-
-
-def chunks(text: str) -> list[str]:
-    """A text between white space. Python's own split takes four characters for white space that the library doesn't."""
-    return WITHOUT_SPACE.findall(text) if _CONTROLS.search(text) else text.split()
