@@ -25,6 +25,27 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """A shared folder for what an operator lands on its way; all of it goes at the end, once the result is landed elsewhere."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.n = spark, scratch_dir(spark, f"llm-{name}"), 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written under a name and read back, as :func:`landed` does."""
+        self.n += 1
+        path = f"{self.path}/{self.n}-{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z in lower case, every other character as it is; null counts as empty."""
     return F.translate(F.coalesce(col, F.lit("")), UPPER, UPPER.lower())

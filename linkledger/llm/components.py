@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,16 +27,17 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, land: Callable[[DataFrame, str], DataFrame] = landed) -> DataFrame:
     """(node, root) of every node that has an edge; root is the least node of the component.
 
     ``edges`` has two long columns a and b. A node's edges are never gathered: only its least
-    neighbour is, combined before the shuffle. Rounds grow with the logarithm of the size.
+    neighbour is, combined before the shuffle. Rounds grow with the logarithm of the size. ``land`` writes and reads
+    back what each round gives.
     """
-    edges = landed(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    edges = land(edges.where("a <> b").select("a", "b").distinct(), "edges")
     before, state = None, _state(edges)
     while state != before:
-        edges = landed(_star(_star(edges, True), False), "stars")
+        edges = land(_star(_star(edges, True), False), "stars")
         before, state = state, _state(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
