@@ -15,6 +15,7 @@ from linkledger.operators import activity as A
 from linkledger.operators import activity_sketches as AS
 from linkledger.operators import capacity as C
 from linkledger.operators import digest_tree as DT
+from linkledger.operators import drift as DR
 from linkledger.operators import direction as D
 from linkledger.operators import fingerprint as FP
 from linkledger.operators import flatten as FL
@@ -28,9 +29,11 @@ from linkledger.plans import reports as R
 from linkledger.plans import sql_names as SQ
 from linkledger.schemas import CONNECTION_KEY
 from linkledger.sinks import history as HS
+from linkledger.sinks import lookup as L
 from linkledger.sinks import scratch
 from linkledger.sinks import snapshots as S
 from linkledger.sinks import tables as TB
+from linkledger.sinks import text_index as TI
 from linkledger.sinks import versions as V2
 from linkledger.sources import inventory as I
 from linkledger.sources import payloads as P
@@ -191,19 +194,28 @@ def scan_dir_two_scans(spark, sf):
     return I.read_inventory(spark, f"{work}/curated")
 
 
+def _landed_events(spark, sf) -> str:
+    """Where the activity log is landed by date: once per application and input, like the inventory."""
+    key = (spark.sparkContext.applicationId, f"events of {sf}")
+    if key not in _saved:
+        path = scratch.scratch_dir(spark, "events")
+        A.land_events(A.unnest_pages(star.activity_pages(spark, sf)), path)
+        _saved[key] = path
+    return _saved[key]
+
+
 def activity_events(spark, sf):
-    return A.in_window(A.unnest_pages(star.activity_pages(spark, sf)), star.as_of(), days=20)
+    return A.read_events(spark, _landed_events(spark, sf), star.as_of(), days=20)
 
 
 def activity_filtered(spark, sf):
     """One activity of the last 20 days, from events landed by date."""
-    path = scratch.scratch_dir(spark, "events")
-    A.land_events(A.unnest_pages(star.activity_pages(spark, sf)), path)
-    return A.read_events(spark, path, star.as_of(), days=20, activity="ViewReport")
+    return A.read_events(spark, _landed_events(spark, sf), star.as_of(), days=20, activity="ViewReport")
 
 
 def activity_by_day_tile(spark, sf):
-    tiles = A.day_tiles(star.activity_events(spark, sf), star.as_of(), days=30)
+    events = A.read_events(spark, _landed_events(spark, sf), star.as_of(), days=30, keep_time=True)
+    tiles = A.day_tiles(events, star.as_of(), days=30)
     fmt = "yyyy-MM-dd HH:mm:ss"
     return tiles.select(
         "tile", F.date_format("tile_start", fmt).alias("tile_start"),
@@ -615,6 +627,45 @@ def fingerprint_drilldown(spark, sf):
     return DT.drilldown(spark, f"{base}/old", f"{base}/new")
 
 
+def stream_partitioned(spark, sf):
+    """Two scans streamed in two runs into an inventory kept in hash partitions; a third run finds nothing new."""
+    work = scratch.scratch_dir(spark, "stream")
+    for scan, rescan in ((FIRST, False), (SECOND, True), (None, False)):
+        if scan:
+            _land_text(star.documents(spark, sf, rescan=rescan), f"{work}/raw", scan)
+        _run_stream(spark, work)
+        ST.merge_increments(spark, f"{work}/increments", f"{work}/curated", partitions=8)
+    return I.read_inventory(spark, f"{work}/curated")
+
+
+def payload_drift(spark, sf):
+    """Fields that the schema doesn't read: every item has one more, and references one that changes its type."""
+    text = F.replace("text", F.lit('{"id":"it-'), F.lit('{"newField":{"x":1,"y":["a"]},"id":"it-'))
+    return DR.drift(star.documents(spark, sf).withColumn("text", text)).filter("path LIKE 'newField%'")
+
+
+def owner_search_indexed(spark, sf):
+    """Connections of an owner, from the inventory indexed by the trigrams of its owners."""
+    base = scratch.scratch_dir(spark, "text-index")
+    TI.save_index(inventory(spark, sf), "workspace_users", base, parts=16)
+    return TI.search(spark, base, "user1@example.org").select("connector", "target", "workspace_name", "item_name")
+
+
+def workspace_lookup(spark, sf):
+    """The connections of a few workspaces, from an inventory stored for that."""
+    path = scratch.scratch_dir(spark, "lookup")
+    L.save_lookup(inventory(spark, sf), path)
+    few = _workspaces(spark, sf).filter("CAST(substr(id, 4) AS bigint) % 97 = 5").select(F.col("id").alias("workspace_id"))
+    return L.lookup(spark, path, few).select(*CONNECTION_KEY)
+
+
+def workspace_lookup_many(spark, sf):
+    """The connections of the workspaces whose last scan left something to do, from the same kind of store."""
+    path = scratch.scratch_dir(spark, "lookup")
+    L.save_lookup(inventory(spark, sf), path)
+    return L.lookup(spark, path, recent_scan_skip(spark, sf)).select(*CONNECTION_KEY)
+
+
 # --- direction and activity ---------------------------------------------------------------------
 
 def classify_direction(spark, sf):
@@ -627,7 +678,7 @@ def direction_counts(spark, sf):
 
 
 def inbound_activity(spark, sf):
-    return A.inbound(A.in_window(star.activity_events(spark, sf), star.as_of(), days=30))
+    return A.inbound(A.read_events(spark, _landed_events(spark, sf), star.as_of(), days=30))
 
 
 def activity_summary(spark, sf):
@@ -863,6 +914,11 @@ QUERIES: dict[str, Query] = {
     "incremental_same_day": incremental_same_day,
     "stream_same_day_rescan": stream_same_day_rescan,
     "stream_duplicate_landing": stream_duplicate_landing,
+    "stream_partitioned": stream_partitioned,
+    "payload_drift": payload_drift,
+    "owner_search_indexed": owner_search_indexed,
+    "workspace_lookup": workspace_lookup,
+    "workspace_lookup_many": workspace_lookup_many,
     "connection_history": connection_history,
     "history_recorded": history_recorded,
     "inventory_as_of": inventory_as_of,

@@ -369,6 +369,16 @@ ORACLE: dict[str, str] = {
     "stream_duplicate_landing": _conn(_prints("new_hash", "2024-01-31T00:00:00+00:00") + """
         UNION ALL SELECT id, name, coalesce(lower(type), ''), sha256(''), '2024-01-31T00:00:00+00:00' FROM ws
         WHERE id NOT IN (SELECT workspace_id FROM new_hash)""", _FULL_HASH),
+    "stream_partitioned": _conn(_best("kept"), f"kept AS (SELECT * FROM conn WHERE NOT ({_GONE}))"),
+    "payload_drift": _conn(
+        "SELECT DISTINCT kind, path, found, CAST(NULL AS VARCHAR) AS expected FROM it, "
+        "(VALUES ('newField.x', 'bigint'), ('newField.y[]', 'string')) v(path, found)"),
+    "owner_search_indexed": _inv(
+        "SELECT connector, target, workspace_name, item_name FROM inv WHERE workspace_users LIKE '%user1@example.org%'"),
+    "workspace_lookup": _inv(f"SELECT {_KEY} FROM inv WHERE CAST(substr(workspace_id, 4) AS BIGINT) % 97 = 5"),
+    "workspace_lookup_many": _inv(
+        f"SELECT {_KEY} FROM inv WHERE workspace_id IN (SELECT workspace_id FROM cand) "
+        "AND workspace_id NOT IN (SELECT workspace_id FROM recent)", _RECENT, _CAND),
     "connection_history": _conn(_HISTORY, _EXISTING, _INCOMING, _SCANS),
     "history_recorded": _conn(_HISTORY, _EXISTING, _INCOMING, _SCANS),
     "inventory_as_of": _conn(

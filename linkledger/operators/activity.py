@@ -40,11 +40,12 @@ def land_events(events: DataFrame, path: str) -> None:
 
 
 def read_events(
-    spark: SparkSession, path: str, end: Column, days: float = 30, activity: str | None = None
+    spark: SparkSession, path: str, end: Column, days: float = 30, activity: str | None = None, keep_time: bool = False
 ) -> DataFrame:
     """Landed events of ``[end - days, end)``; folders outside the window are not read.
 
-    Folders are compared with a day to spare on both sides, for times written with an offset.
+    Folders are compared with a day to spare on both sides, for times written with an offset. The times are those parsed
+    when the events landed; ``keep_time`` leaves them in ``created_at``.
     """
     start, day = window_start(end, days), "yyyy-MM-dd"
     schema = T.StructType.fromDDL(f"{ACTIVITY_DDL.removeprefix('struct<').removesuffix('>').replace(':', ' ')}, created_at timestamp, event_date string")
@@ -54,7 +55,7 @@ def read_events(
         & (F.col("created_at") >= start) & (F.col("created_at") < end)
     )
     kept = rows if activity is None else rows.filter(F.col("Activity") == activity)
-    return kept.drop("created_at", "event_date")
+    return kept.drop("event_date") if keep_time else kept.drop("created_at", "event_date")
 
 
 def window_start(end: Column, days: float) -> Column:
@@ -69,11 +70,14 @@ def in_window(events: DataFrame, end: Column, days: float = 30, activity: str |
 
 
 def day_tiles(events: DataFrame, end: Column, days: int = 30) -> DataFrame:
-    """Events per 24-hour tile counted from the window's start; empty tiles are listed too."""
+    """Events per 24-hour tile counted from the window's start; empty tiles are listed too.
+
+    Times that were parsed before (``created_at``) are not parsed again.
+    """
     start = window_start(end, days)
-    at = F.try_to_timestamp("CreationTime")
+    at = F.col("created_at") if "created_at" in events.columns else F.try_to_timestamp("CreationTime")
     tile = F.floor((F.unix_micros(at) - F.unix_micros(start)) / F.lit(86_400_000_000)).cast("int")
-    counts = in_window(events, end, days).groupBy(tile.alias("tile")).agg(F.count(F.lit(1)).alias("n"))
+    counts = events.filter((at >= start) & (at < end)).groupBy(tile.alias("tile")).agg(F.count(F.lit(1)).alias("n"))
     spark = events.sparkSession
     tiles = spark.range(days).select(F.col("id").cast("int").alias("tile"))
     begin = start + F.make_dt_interval(days=F.col("tile"))

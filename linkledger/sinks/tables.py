@@ -93,6 +93,9 @@ def merge_partitioned(
 
     Only partitions that hold a workspace of ``rows`` or ``scanned`` are read and written. The new
     content is staged before it replaces them. The number of partitions is that of the first call.
+
+    Unlike versions, partitions are replaced in place: a read at that moment can fail and is to be repeated, and a job
+    lost while it commits is to be run again, which gives the same content. Readers that can't wait take a version.
     """
     spark = rows.sparkSession
     there = S.path_exists(spark, base)

@@ -199,6 +199,17 @@ def workspace_list(docs: DataFrame) -> DataFrame:
     return ws.select("w.id", "w.name", "w.type", "w.capacityId", "w.capacityName", "w.isOnDedicatedCapacity")
 
 
+def raw_items(docs: DataFrame) -> DataFrame:
+    """The items of all payloads as the JSON text they landed as, one row (``item``) each."""
+    is_list = _first_character(F.col("text")) == "["
+    listed = F.when(is_list, F.col("text")).otherwise(F.concat(F.lit("["), F.col("text"), F.lit("]")))
+    wrapped = F.concat(F.lit('{"roots":'), listed, F.lit("}"))
+    roots = docs.select(F.explode(F.from_json(wrapped, "roots array<string>")["roots"]).alias("r"))
+    workspaces = roots.select(F.explode(F.from_json("r", "workspaces array<string>")["workspaces"]).alias("w"))
+    items = workspaces.select(F.explode(F.from_json("w", "items array<string>")["items"]).alias("item"))
+    return items.filter(F.expr(f"startswith(ltrim({_BLANK}, item), '{{')"))
+
+
 def legacy_datasource_count(docs: DataFrame) -> DataFrame:
     """Count data sources with connection details in the older ``datasets`` layout.
 
