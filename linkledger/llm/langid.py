@@ -5,8 +5,8 @@ into ``BUCKETS``. Counts by language, each damped to log(1 + n) within a text so
 rules its language, are summed over the training rows by a grouped aggregation; the matrix of log-probabilities (buckets by languages, its size checked) is broadcast, and
 batches of texts are scored in numpy as sparse count rows times that matrix.
 
-Training takes about ``PER_LANGUAGE`` rows of each language at most, chosen by a hash of their
-text. That bound is the only limit; it concerns fitting alone.
+Training takes about ``PER_LANGUAGE`` rows of each language at most, chosen by a hash of id and text, so that of a
+group of copies its share is taken. That bound is the only limit; it concerns fitting alone.
 
 Defined cases: ``und`` with score 0 for null text, for text without a letter, and for all text when
 nothing was learnt; ties go to the first language by code point; repeated rows are predicted each; an
@@ -25,11 +25,14 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 16
 GRAMS = 3
 PER_LANGUAGE = 10_000
+HASHES = 1 << 20
 #: Most bytes of the matrix that is broadcast.
 MATRIX_BYTES = 256 << 20
 #: Added to every count.
 SMOOTHING = 0.1
 UNKNOWN = "und"
+#: A text below this fit is in none of the learnt languages.
+LEAST_FIT = -3.0
 #: Characters that are scored at once, for four languages; fewer with more.
 AT_ONCE = 1 << 17
 
@@ -66,13 +69,33 @@ def _count(names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(names), BUCKETS), dtype=np.int64)
+        # A text's counts are summed over all its windows before they are damped.
+        held, open_ = np.zeros(BUCKETS, dtype=np.int64), None
+
+        def damped(times: np.ndarray) -> np.ndarray:
+            return np.rint(1000 * np.log1p(times)).astype(np.int64)  # whole numbers: sums don't depend on their order
+
+        def close(lang: int) -> None:
+            some = np.flatnonzero(held)
+            sums[lang, some] += damped(held[some])
+            held[some] = 0
+
         for batch in batches:
             langs = np.array([place[x] for x in batch.column(0).to_pylist()], dtype=np.int64)
             for chars, text, room in _windows(batch.column(1).to_pylist(), AT_ONCE):
-                for at, bucket in _buckets(chars, room):
-                    row, times = np.unique(text[at] * BUCKETS + bucket, return_counts=True)
-                    weight = np.rint(1000 * np.log1p(times))  # whole numbers: sums don't depend on their order
-                    sums += np.bincount(langs[row // BUCKETS] * BUCKETS + row % BUCKETS, weight, sums.size).astype(np.int64).reshape(sums.shape)
+                keys = np.concatenate([text[at] * BUCKETS + bucket for at, bucket in _buckets(chars, room)])
+                row, times = np.unique(keys, return_counts=True)
+                of, bucket, last = row // BUCKETS, row % BUCKETS, int(text[-1])
+                if open_ is not None and open_ != last:
+                    held[bucket[of == open_]] += times[of == open_]
+                    close(langs[open_])
+                whole = (of != last) & (of != (-1 if open_ is None else open_))
+                sums += np.bincount(langs[of[whole]] * BUCKETS + bucket[whole], damped(times[whole]), sums.size).astype(np.int64).reshape(sums.shape)
+                held[bucket[of == last]] += times[of == last]
+                open_ = last
+            if open_ is not None:
+                close(langs[open_])
+                open_ = None
         lang, bucket = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(sums[lang, bucket])], ["lang", "bucket", "n"]
@@ -89,24 +112,33 @@ class Model:
         seen = sums.sum(axis=0) > 0
         smooth = np.where(seen, sums + SMOOTHING, 0.0)
         share = smooth / smooth.sum(axis=1, keepdims=True)
-        self.matrix = np.log(np.where(seen, share, 1.0)).T.astype(np.float32)  # n-grams that no language has say nothing
-        self.prior = np.log(rows / rows.sum())
-
-    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The best language's number and its posterior probability."""
-        total = np.tile(self.prior, (len(texts), 1))
+        logs = np.log(np.where(seen, share, 1.0))
+        self.matrix = logs.T.astype(np.float32)  # n-grams that no language has say nothing
+        self.seen, self.prior = seen, np.log(rows / rows.sum())
+        #: What a language's own n-grams have on average, and what those have that no language has.
+        self.own = (share * logs).sum(axis=1)
+        self.unseen = np.log(SMOOTHING / smooth.sum(axis=1))
+
+    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best language's number, its posterior probability and the fit (see :func:`predict`)."""
+        total, known, every = np.tile(self.prior, (len(texts), 1)), np.zeros(len(texts)), np.zeros(len(texts))
         for chars, text, room in _windows(texts, max(1024, AT_ONCE * 4 // len(self.names))):
             for at, bucket in _buckets(chars, room):
                 if len(at):
                     of = text[at]
                     first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
                     total[of[first]] += np.add.reduceat(self.matrix[bucket], first, axis=0, dtype=np.float64)
+                    known[of[first]] += np.add.reduceat(self.seen[bucket], first, dtype=np.float64)
+                    every[of[first]] += np.diff(np.r_[first, len(of)])
         best = total.argmax(axis=1)
         top = total[np.arange(len(texts)), best]
-        return best, 1 / np.exp(total - top[:, None]).sum(axis=1)
+        fit = (top - self.prior[best] + (every - known) * self.unseen[best]) / np.maximum(every, 1) - self.own[best]
+        return best, 1 / np.exp(total - top[:, None]).sum(axis=1), fit
 
 
-def train(rows: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "text", lang_col: str = "lang") -> Model | None:
+def train(
+    rows: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id"
+) -> Model | None:
     """Fit on rows with a language and a text; None if there are none."""
     labelled = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = dict(sorted((r[0], r[1]) for r in labelled.groupBy(lang_col).count().collect()))  # one row a language
@@ -115,8 +147,9 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "te
     names = list(counts)
     if len(names) * BUCKETS * 4 > MATRIX_BYTES:
         raise ValueError(f"{len(names)} languages: their matrix is too large to broadcast; raise MATRIX_BYTES or lower BUCKETS")
-    parts = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, max(1, n // per_language))])
-    some = labelled.where(F.pmod(F.xxhash64(text_col), parts[F.col(lang_col)]) == 0).select(lang_col, text_col)
+    least = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, int(HASHES * min(1.0, per_language / n)))])
+    by = [id_col, text_col] if id_col in rows.columns else [text_col]
+    some = labelled.where(F.pmod(F.xxhash64(*by), F.lit(HASHES)) < least[F.col(lang_col)]).select(lang_col, text_col)
     found = some.mapInArrow(_count(names), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     sums = np.zeros((len(names), BUCKETS))
     sums[found["lang"].to_numpy(dtype=int), found["bucket"].to_numpy(dtype=int)] = found["n"].to_numpy(dtype=float) / 1000
@@ -124,23 +157,29 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "te
 
 
 def predict(df: DataFrame, model: Model | None, text_col: str = "text") -> Column:
-    """A struct of lang_pred and score for the text of each row."""
-    kind = "struct<lang_pred: string, score: double>"
+    """A struct of lang_pred, score and fit for the text of each row.
+
+    ``score`` is the posterior among the learnt languages, which says nothing of others; ``fit`` is the mean log-probability of
+    the text's n-grams less that of the language's own, so text in another script or of random letters is far below
+    zero. It is null where no language is told.
+    """
+    kind = "struct<lang_pred: string, score: double, fit: double>"
     if model is None:
-        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")).cast(kind)
+        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).alias("fit")).cast(kind)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            names, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
+            names, scores, fits = [UNKNOWN] * len(batch), np.zeros(len(batch)), np.full(len(batch), np.nan)
             for a in range(0, len(batch), 128):
                 texts = {a + i: t for i, t in enumerate(batch.slice(a, 128).to_pylist()) if t and any(map(str.isalpha, t))}
                 if texts:
-                    best, scores[list(texts)] = shared.value.score(list(texts.values()))
+                    best, scores[list(texts)], fits[list(texts)] = shared.value.score(list(texts.values()))
                     for i, b in zip(texts, best.tolist(), strict=True):
                         names[i] = shared.value.names[b]
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
+            columns = [pa.array(names, pa.string()), pa.array(scores), pa.array(fits, from_pandas=True)]
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "fit"])
 
     return run(F.col(text_col))
 

@@ -5,7 +5,8 @@ cut into blocks of ``BLOCK_WORDS``. Each source has a number of slots in the mix
 target. Source counts of each output shard are multinomial draws, conditioned on the sources'
 totals (the multivariate hypergeometric law), so each target is met and not only on average.
 Slots go through a pseudorandom permutation of the source's block numbers, another one for
-each time the source is gone through, and the blocks are joined by number.
+each time the source is gone through, and the blocks are joined by number. The source's last block, which can be
+shorter, ends each time, and its last slot takes only the words that are missing: the mix has the target's words, rounded.
 
 Targets: sources by code point, null last, weigh 5, 2, 1, repeating, and share ``SHARE`` of all
 words; a target stops at ``AT_MOST`` times its source, the excess going to the others by
@@ -111,8 +112,12 @@ class Plan:
         size = [n for _, n in self.sources]
         self.targets = targets(size)
         self.blocks = np.array([-(-n // block_words) for n in size], dtype=np.int64)
-        wanted = [t * b / n if n else 0 for t, b, n in zip(self.targets, self.blocks.tolist(), size, strict=True)]
-        self.slots = np.minimum(np.rint(wanted).astype(np.int64), AT_MOST * self.blocks)
+        #: Slots of each source, and the words that its last one takes (0: all of its block).
+        self.slots, self.last_words = np.zeros(len(size), dtype=np.int64), np.zeros(len(size), dtype=np.int64)
+        for i, (t, b, n) in enumerate(zip(self.targets, self.blocks.tolist(), size, strict=True)):
+            times, rest = divmod(min(int(t + 0.5), AT_MOST * n), n) if n else (0, 0)
+            self.slots[i] = times * b + -(-rest // block_words)
+            self.last_words[i] = rest % block_words
         self.counts = shard_counts(self.slots, shards, seed)
         self.seed = seed
 
@@ -131,23 +136,37 @@ def _ordered(docs: DataFrame, plan_sources: DataFrame, block_words: int) -> Data
 
 
 def _pieces(rows: DataFrame, block_words: int) -> DataFrame:
-    """A row for each document and block that share words."""
+    """A row for each document and block that share words; ``at``: where in the block they begin."""
     low, high = F.expr(f"first div {block_words}"), F.expr(f"(first + size - 1) div {block_words}")
     start = F.greatest(F.col("first"), F.col("block") * block_words)
     stop = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block_words)
     return rows.where("size > 0").select("rank", "rid", "doc_id", "first", "size", F.explode(F.sequence(low, high)).alias("block")).select(
-        "rank", "block", "rid", "doc_id", (start - F.col("first")).alias("from_word"), (stop - start).alias("words")
+        "rank", "block", "rid", "doc_id", (start - F.col("first")).alias("from_word"), (stop - start).alias("words"),
+        (start - F.col("block") * block_words).alias("at"),
+    )
+
+
+def _uses(pieces: DataFrame, slots: DataFrame) -> DataFrame:
+    """The pieces with how many ``times`` the mix takes them; one that the end of a source's last slot cuts comes as two."""
+    per_block = slots.groupBy("rank", "block").agg(F.count_if(F.col("some") == 0).alias("whole"), F.max("some").alias("some"))
+    joined = pieces.join(per_block, ["rank", "block"], "left").select(
+        "rid", "from_word", "words", F.coalesce("whole", F.lit(0)).alias("whole"),
+        F.greatest(F.lit(0), F.least(F.col("words"), F.coalesce("some", F.lit(0)) - F.col("at"))).alias("head"),
+    )
+    parts = F.expr("array(struct(from_word AS f, head AS w, whole + 1 AS t), struct(from_word + head AS f, words - head AS w, whole AS t))")
+    return joined.select("rid", F.explode(parts).alias("p")).where("p.w > 0").select(
+        "rid", F.col("p.f").alias("from_word"), F.col("p.w").alias("words"), F.col("p.t").alias("times")
     )
 
 
 def _slots(spark, plan: Plan) -> DataFrame:
-    """A row for each slot of the mix: shard, place in the shard, source's rank, block."""
-    counts, blocks, seed = plan.counts, plan.blocks, plan.seed
+    """A row for each slot of the mix: shard, place in the shard, source's rank, block; ``some``: the words it takes if not all."""
+    counts, blocks, seed, all_slots, last_words = plan.counts, plan.blocks, plan.seed, plan.slots, plan.last_words
     before = np.cumsum(counts, axis=0) - counts  # slots of the source in earlier shards
     starts = np.cumsum(counts.ravel()) - counts.ravel()
     shard_start = np.cumsum(counts.sum(axis=1)) - counts.sum(axis=1)
 
-    @F.arrow_udf("struct<shard:int,place:bigint,rank:int,block:bigint>")
+    @F.arrow_udf("struct<shard:int,place:bigint,rank:int,block:bigint,some:bigint>")
     def slot(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
         n_sources = counts.shape[1]
         for batch in ids:
@@ -157,10 +176,12 @@ def _slots(spark, plan: Plan) -> DataFrame:
             j = before[shard, rank] + g - starts[cell]
             n = blocks[rank]
             key = (rank.astype(np.uint64) * np.uint64(AT_MOST + 1) + (j // n).astype(np.uint64)) * np.uint64(0xD1342543DE82EF95) + np.uint64(seed)
+            ends = j % n == n - 1  # the last block stays at the end
+            block = np.where(ends, n - 1, permuted(np.where(ends, 0, j % n), np.maximum(n - 1, 1), key))
             yield pa.StructArray.from_arrays(
                 [pa.array(shard, pa.int32()), pa.array(g - shard_start[shard], pa.int64()), pa.array(rank, pa.int32()),
-                 pa.array(permuted(j % n, n, key), pa.int64())],
-                ["shard", "place", "rank", "block"],
+                 pa.array(block, pa.int64()), pa.array(np.where(j == all_slots[rank] - 1, last_words[rank], 0), pa.int64())],
+                ["shard", "place", "rank", "block", "some"],
             )
 
     return spark.range(int(counts.sum())).select(slot("id").alias("s")).select("s.*")
@@ -190,8 +211,8 @@ def _sized(docs: DataFrame, seed: int) -> DataFrame:
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     plan, rows = _planned(landed(_sized(docs, seed), "words"), block_words, shards, seed)
-    used = _slots(docs.sparkSession, plan).groupBy("rank", "block").agg(F.count("*").alias("times"))
-    taken = _pieces(rows, block_words).join(used, ["rank", "block"]).groupBy("rid").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    uses = _uses(_pieces(rows, block_words), _slots(docs.sparkSession, plan))
+    taken = uses.groupBy("rid").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     return rows.join(taken, "rid", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
@@ -200,7 +221,9 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
 def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mix itself: shard, place, source's rank, block and the pieces of documents in it (doc_id, from_word, words)."""
     plan, rows = _planned(landed(_sized(docs, seed), "words"), block_words, shards, seed)
-    return _slots(docs.sparkSession, plan).join(_pieces(rows, block_words), ["rank", "block"])
+    met = _slots(docs.sparkSession, plan).join(_pieces(rows, block_words), ["rank", "block"])
+    words = F.when(F.col("some") > 0, F.least(F.col("words"), F.col("some") - F.col("at"))).otherwise(F.col("words"))
+    return met.withColumn("words", words).where("words > 0").drop("some", "at")
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -226,10 +249,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("order_key"), F.col(rid).alias("rid"),
     )
     plan, rows = _planned(landed(sized, "words"), block_words, shards, seed)
-    used = _slots(docs.sparkSession, plan).groupBy("rank", "block").agg(F.count("*").alias("times"))
-    pieces = _pieces(rows, block_words).join(used, ["rank", "block"], "left").groupBy("rid").agg(
-        F.array_sort(F.collect_list(F.struct("from_word", F.coalesce("times", F.lit(0)).alias("times")))).alias("pieces")
-    )  # the pieces of one document
+    uses = _uses(_pieces(rows, block_words), _slots(docs.sparkSession, plan))
+    pieces = uses.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("from_word", "times"))).alias("pieces"))  # of one document
     pieces = pieces.select(F.col("rid").alias(rid), F.col("pieces").alias(pieces_of))
     cut = kept.join(pieces, rid).withColumn(
         pieces_of, F.arrays_zip(_cut("text", F.col(f"{pieces_of}.from_word")).alias("t"), F.col(f"{pieces_of}.times").alias("n"))

@@ -7,7 +7,8 @@ one, a path's towards its host's, each by a strength estimated from the spread b
 (method of moments). Sparse sites stay near the prior, large ones speak for themselves. A document's
 own share is taken out of its site before the two are combined, so it doesn't count twice.
 
-The classifier is fitted on at most about ``FIT_ROWS`` labelled rows; sums over sites cover all documents.
+The classifier is fitted on at most about ``FIT_ROWS`` labelled rows; the prior is the mean of all labels, and sums over
+sites cover all documents.
 
 Defined cases: null text counts as empty; null host or path is a site of its own; labels with a null
 id or quality are ignored, several labels of a document are averaged; repeated rows are scored each;
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from linkledger.llm.common import landed
 
 FIT_ROWS = 50_000
+HASHES = 1 << 20
 #: A site's spread is kept within these strengths (documents that the prior counts for).
 STRENGTHS = (2.0, 1000.0)
 #: Documents differ from their site's mean; evidence beyond this log-odds isn't believed.
@@ -99,14 +101,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: Column, path: Colu
     )
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("label"))
     rows = rows.join(known, "doc_id", "left")
-    n = rows.where("label IS NOT NULL").count()
-    some = rows.where("label IS NOT NULL").where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // FIT_ROWS))) == 0).select("x", "label").collect()
+    labelled = rows.where("label IS NOT NULL")
+    n, mean_label = labelled.agg(F.count("*"), F.avg("label")).first()
+    # A share of the rows by hash, so that about FIT_ROWS are met however many there are.
+    least = int(HASHES * min(1.0, FIT_ROWS / max(n, 1)))
+    some = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < least).select("x", "label").collect()
     if not some:
         half = F.lit(0.5)
         return rows.select("doc_id", half.alias("doc_quality"), half.alias("host_quality"), half.alias("path_quality"), half.alias("score"))
     y = np.array([r.label for r in some])
     w, mean, scale = fit(np.array([r.x for r in some]), y)
-    prior = float(np.clip(y.mean(), 0.001, 0.999))
+    prior = float(np.clip(mean_label, 0.001, 0.999))
     odds = F.lit(float(w[0] - (w[1:] / scale) @ mean))
     for i, k in enumerate((w[1:] / scale).tolist()):
         odds = odds + F.col("x")[i] * k

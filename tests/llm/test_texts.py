@@ -51,7 +51,7 @@ def test_language_scores_equal_brute_force():
     for step in (langid.AT_ONCE, 7):
         langid_step, langid.AT_ONCE = langid.AT_ONCE, step
         try:
-            best, score = model.score(texts)
+            best, score, _ = model.score(texts)
         finally:
             langid.AT_ONCE = langid_step
         assert best.tolist() == want.argmax(axis=1).tolist()
@@ -257,7 +257,7 @@ def test_mix(docs, rows, empty):
     order = sorted(words, key=lambda s: (s is None, s or ""))
     want = mixing.targets([sum(words[s]) for s in order])
     for s, t in zip(order, want, strict=True):
-        assert abs(sum(by[(sum(words[s]), t)]) - t) <= 12
+        assert abs(sum(by[(sum(words[s]), t)]) - t) <= 1
     again = mixing.mix(docs.repartition(3), block_words=8)
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, got))
     assert mixing.mix(empty).collect() == []
