@@ -1,18 +1,24 @@
-"""Benchmark decontamination: bounds on shared words and pairs, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare seeds join texts to test items, Smith-Waterman alignment scores them.
 
 Words are runs of letters, digits and characters beyond ASCII, in lower case. A document is contaminated
 by an item when the best local alignment of their words reaches ``SCORE`` of the item's own score and
-``MIN_WORDS`` words match; that holds for edited copies too. Only stretches that can't reach that score are
-left out: an alignment of score T with m matches needs T - m - 1 matching pairs of neighbours or more (see
-``Items.candidates``). So the hits are those of aligning every item with every document.
-
-The test items are the small side: they are taken in slices of at most about ``SLICE_WORDS`` words,
-each broadcast in turn, so nothing that is broadcast grows with either table. Documents stay where
+``MIN_WORDS`` words match; that holds for edited copies too. Shorter items are found where all their words stand
+consecutively.
+
+Seeds lose nothing. With m matches and e errors the score is 2m - e, so half of the item's own score needs half of its n word
+places matched, h = ceil(n / 2). Without the n - h - s commonest places (by how many items have the word), s of the places
+that are left must be among the matches: these rare ones are the seeds, unigrams, because an edited copy may share no
+longer run. A posting list by word gives the items of which a text has s seeds; all other items are never touched. Of these, only
+stretches that can't reach the score are left out: an alignment of score T with m matches needs T - m - 1 matching pairs
+of neighbours or more. So the hits are those of aligning every item with every document.
+
+The test items are the small side. They are taken in slices of at most about ``SLICE_WORDS`` words, ``AT_ONCE`` of them in one
+pass over the documents, so what is broadcast doesn't grow with either table. Documents stay where
 they are read: no pair is shuffled, and a passage in a third of all documents costs its alignments.
 
-Defined cases: null text of a document or item has no words; items of fewer than ``MIN_WORDS`` words
-contaminate nothing; equal items are reported each; repeated documents are reported each; empty tables
-give no hits; extra columns are passed on by the column form and otherwise not read.
+Defined cases: null text of a document or item has no words, and items without words contaminate nothing; equal items are
+reported each; repeated documents are reported each; item ids are whole numbers or, of any other type, texts; empty tables
+give no hits; extra columns are passed on by :func:`without_test_items` and otherwise not read.
 """
 
 from __future__ import annotations
@@ -23,18 +29,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkledger.llm import licenses
+from linkledger.llm.common import landed
 
-SEED = 3
-WINDOW = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5
 MIN_WORDS = 8
-SLICE_WORDS = 500_000
+#: Of an item of n words, n // SEEDS_OF + 1 seeds have to be met.
+SEEDS_OF = 4
+SLICE_WORDS, AT_ONCE = 500_000, 4
 #: Words of a text that are looked at together; more for items of more than a quarter of that.
 STRETCH = 256
-HITS = "array<struct<item_id: bigint, score: double, first_word: bigint, n_words: bigint>>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -42,102 +49,97 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Items:
-    """Test items as word numbers, with the n-grams that are looked for: sorted keys, and of each its (item, place)."""
+    """Test items as word numbers, and posting lists of their seeds."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
+    def __init__(self, items: list[tuple[int | str | None, str | None]]):
         self.vocabulary: dict[bytes, int] = {}
-        self.lengths: list[tuple] | None = None
         self.ids, self.words = [], []
+        #: Shorter items by their length: their words, and the ids of each.
+        self.short: dict[int, dict[tuple[int, ...], list]] = {}
         for item_id, text in items:
-            words = words_of(text)
+            words = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             if len(words) >= MIN_WORDS:
                 self.ids.append(item_id)
-                self.words.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], dtype=np.int64))
-        grams = [self.keys(w)[1] for w in self.words]
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        self.place = np.concatenate([np.empty(0, np.int64), *(np.arange(len(g)) for g in grams)])
-        self.key = np.concatenate([np.empty(0, np.int64), *grams])
-        self.sort()
-
-    def sort(self) -> None:
-        order = np.argsort(self.key, kind="stable")
-        self.key, self.item, self.place = self.key[order], self.item[order], self.place[order]
-        self.distinct = np.unique(self.key)
+                self.words.append(np.array(words, dtype=np.int64))
+            elif words:
+                self.short.setdefault(len(words), {}).setdefault(tuple(words), []).append(item_id)
+        self._post()
+
+    def _post(self) -> None:
+        """Posting lists: for each word the items it is a seed of, and how often; of each item the seeds to be met."""
+        often = np.zeros(len(self.vocabulary) + 1, dtype=np.int64)
+        for words in self.words:
+            often[np.unique(words)] += 1
+        word, item, times = ([np.empty(0, np.int64)] for _ in range(3))
+        self.least = np.zeros(len(self.words), dtype=np.int64)
+        for i, words in enumerate(self.words):
+            n, need = len(words), len(words) // SEEDS_OF + 1
+            half = int(np.ceil(SCORE * n))
+            rare = words[np.argsort(often[words], kind="stable")][: min(n, n - half + need)]
+            seeds, count = np.unique(rare, return_counts=True)
+            self.least[i] = min(need, half)
+            word.append(seeds)
+            item.append(np.full(len(seeds), i))
+            times.append(count)
+        word, self.item, self.times = (np.concatenate(v) for v in (word, item, times))
+        order = np.argsort(word, kind="stable")
+        self.item, self.times = self.item[order], self.times[order]
+        self.start = np.searchsorted(word[order], np.arange(len(self.vocabulary) + 2))
 
     def numbers(self, text: str | None) -> np.ndarray:
         """A text's words as numbers; 0 for words that no item has."""
         get, words = self.vocabulary.get, words_of(text)
         return np.fromiter((get(w, 0) for w in words), dtype=np.int64, count=len(words))
 
-    def keys(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and keys of the n-grams that have known words only."""
-        known = numbers > 0
-        n = max(0, len(numbers) - SEED + 1)
-        at = np.flatnonzero(np.logical_and.reduce([known[i : i + n] for i in range(SEED)]))
-        key = np.zeros(len(at), dtype=np.uint64)
-        for i in range(SEED):
-            key = (key + numbers[at + i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-        return at, key.view(np.int64)
-
-    def found(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a text and indices into ``distinct`` of the n-grams looked for."""
-        at, key = self.keys(numbers)
-        if not len(self.distinct) or not len(at):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        i = np.minimum(np.searchsorted(self.distinct, key), len(self.distinct) - 1)
-        hit = self.distinct[i] == key
-        return at[hit], i[hit]
-
-    def keep_rare(self, counts: np.ndarray) -> None:
-        """Keep, of every WINDOW consecutive n-grams of an item, those that are rarest (counts by ``distinct``)."""
-        often = counts[np.searchsorted(self.distinct, self.key)]
-        keep = np.zeros(len(self.key), dtype=bool)
-        order = np.lexsort((self.place, self.item))
-        cuts = np.flatnonzero(np.diff(self.item[order])) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(order)], strict=True):
-            rows = order[a:b]
-            for i in range(max(1, len(rows) - WINDOW + 1) if len(rows) else 0):
-                some = rows[i : i + WINDOW]
-                keep[some[often[some].argmin()]] = True
-        self.key, self.item, self.place = self.key[keep], self.item[keep], self.place[keep]
-        self.sort()
-
-    def classes(self) -> list[tuple]:
-        """All items, then those of each class of lengths, at most twice its shortest: greatest length, numbers, words, where each starts, least score, bigrams and their numbers by word."""
-        size = np.array([len(w) for w in self.words], dtype=np.int64)
-        bits = np.array([int(n).bit_length() for n in size])
-        out = []
-        for some in [np.arange(len(size)), *(np.flatnonzero(bits == n) for n in np.unique(bits))]:
-            words = np.concatenate([self.words[i] for i in some])
-            starts = np.cumsum([0, *size[some]])[:-1]
-            pair = np.r_[words[:-1] * (len(self.vocabulary) + 1) + words[1:], 0]
-            pair[np.r_[starts[1:], len(words)] - 1] = 0  # an item's last word begins none
-            bigrams, which = np.unique(pair, return_inverse=True)
-            out.append((int(size[some].max()), some, words, starts, np.ceil(SCORE * MATCH * size[some]), bigrams, which))
-        return out
+    def met(self, numbers: np.ndarray) -> np.ndarray:
+        """The items of which a text has as many seeds as an alignment needs."""
+        words = np.unique(numbers)
+        first, n = self.start[words], self.start[words + 1] - self.start[words]
+        first, n = first[(n > 0) & (words > 0)], n[(n > 0) & (words > 0)]
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        seeds = np.bincount(self.item[at], self.times[at], len(self.words))
+        return np.flatnonzero((seeds >= self.least) & (self.least > 0))
+
+    def _class(self, some: np.ndarray) -> tuple:
+        """Of items: greatest length, numbers, words, where each starts, least score, bigrams and their numbers by word."""
+        size = np.array([len(self.words[i]) for i in some], dtype=np.int64)
+        words = np.concatenate([self.words[i] for i in some])
+        starts = np.cumsum(size) - size
+        pair = np.r_[words[:-1] * (len(self.vocabulary) + 1) + words[1:], 0]
+        pair[np.r_[starts[1:], len(words)] - 1] = 0  # an item's last word begins none
+        bigrams, which = np.unique(pair, return_inverse=True)
+        return int(size.max()), some, words, starts, np.ceil(SCORE * MATCH * size), bigrams, which
 
     def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, start, stop) of all stretches of a text in which an alignment can reach ``SCORE``.
 
-        With m matches and e errors the score is 2m - e and the matches form at most e + 1 runs, so an alignment of
-        score T has T - m - 1 matching pairs of neighbours or more, and m is at least T / 2. Its stretch has at most
-        twice the item's words. Each stretch is asked for item words and pairs of neighbours that occur anywhere in it;
-        first longer ones for all items, then shorter ones for classes of which an item is left.
+        The matches of m form at most e + 1 runs, so an alignment of score T has T - m - 1 matching pairs of neighbours
+        or more, and m is at least T / 2. Its stretch has at most twice the item's words. Each stretch is asked for
+        item words and pairs of neighbours that occur anywhere in it, items of about one length together.
         """
-        if self.lengths is None:
-            self.lengths = self.classes()
+        some = self.met(numbers)
+        if not len(some):
+            return
         pair = numbers[:-1] * (len(self.vocabulary) + 1) + numbers[1:]
         pair[(numbers[:-1] == 0) | (numbers[1:] == 0)] = -1
-        left = np.zeros(len(self.words), dtype=bool)
-        for some, _, _ in self._stretches(self.lengths[0], numbers, pair, 2 * STRETCH):
-            left[some] = True
-        if left.any():
-            for of_length in self.lengths[1:]:
-                if left[of_length[1]].any():
-                    for some, a, b in self._stretches(of_length, numbers, pair, STRETCH):
-                        for i in some[left[some]].tolist():
-                            yield i, a, b
+        bits = np.array([len(self.words[i]).bit_length() for i in some])
+        for n in np.unique(bits):
+            for left, a, b in self._stretches(self._class(some[bits == n]), numbers, pair, STRETCH):
+                for i in left.tolist():
+                    yield i, a, b
+
+    def verbatim(self, numbers: np.ndarray) -> Iterator[tuple[int | str | None, int, int]]:
+        """(id, first word, words) of the short items whose words stand consecutively in a text."""
+        for n, known in self.short.items():
+            if len(numbers) < n:
+                continue
+            begins = np.flatnonzero(np.isin(numbers[: len(numbers) - n + 1], [w[0] for w in known]))
+            found: dict[tuple[int, ...], int] = {}
+            for at in begins.tolist():
+                found.setdefault(tuple(numbers[at : at + n].tolist()), at)
+            for words, at in found.items():
+                for item_id in known.get(words, []):
+                    yield item_id, at, n
 
     def _stretches(self, items: tuple, numbers: np.ndarray, pair: np.ndarray, least_span: int) -> Iterator[tuple[np.ndarray, int, int]]:
         longest, some, words, starts, least, bigrams, which = items
@@ -168,14 +170,14 @@ class Items:
         if self.words and len(numbers):
             for item, low, high in self.candidates(numbers):
                 spans.setdefault(item, []).append((low, high))
-        out = []
+        out = [{"item_id": i, "score": 1.0, "first_word": at, "n_words": n} for i, at, n in self.verbatim(numbers)]
         for item, windows in spans.items():
             words = self.words[item]
             best = max((align(words, numbers[a:b]) + (a,) for a, b in windows), key=lambda x: x[0])
             score, start, stop, low = best
             share = score / (MATCH * len(words))
             # each word beyond the matches costs, so the score bounds the matches from below
-            if share >= SCORE and score >= MATCH * min(MIN_WORDS, len(words)):
+            if share >= SCORE and score >= MATCH * MIN_WORDS:
                 out.append({"item_id": self.ids[item], "score": share, "first_word": low + start, "n_words": stop - start})
         return sorted(out, key=lambda h: (h["item_id"] is None, h["item_id"]))
 
@@ -205,28 +207,32 @@ def _best(a: np.ndarray, b: np.ndarray, until: int | None = None) -> tuple[int,
     return best, end
 
 
-def _slices(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The test items in slices, each small enough for the driver and a broadcast."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+def _slices(benchmark: DataFrame) -> Iterator[list[Items]]:
+    """The test items, as many slices at once as one pass over the documents takes; each is small enough for the driver."""
+    items = benchmark.select(F.col("item_id").cast(_id_type(benchmark)).alias("item_id"), "text")
     words = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = words // (6 * SLICE_WORDS) + 1  # five letters and a space a word, or more slices
-    for k in range(slices):
-        yield sorted(map(tuple, items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).collect()), key=repr)
+    for first in range(0, slices, AT_ONCE):
+        some = range(first, min(first + AT_ONCE, slices))
+        of = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
+        yield [Items(sorted(map(tuple, items.where(of == k).collect()), key=repr)) for k in some]
+
+
+def _id_type(benchmark: DataFrame) -> T.DataType:
+    return T.LongType() if isinstance(benchmark.schema["item_id"].dataType, T.IntegralType) else T.StringType()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Column:
+def _found(docs: DataFrame, slices: list[Items], id_type: T.DataType, text_col: str) -> Column:
     """An array with the test items found in the text of each row: item_id, score, first_word, n_words."""
-    found = []
-    for items in _slices(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(Items(items))
-        found.append(_hits_udf(shared)(F.col(text_col)))
-    return F.concat(*found)
+    shared = [docs.sparkSession.sparkContext.broadcast(s) for s in slices]
+    return F.concat(*[_hits_udf(s, id_type)(F.col(text_col)) for s in shared])
 
 
-def _hits_udf(shared):
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
+def _hits_udf(shared, id_type: T.DataType):
+    of = pa.int64() if isinstance(id_type, T.LongType) else pa.string()
+    kind = pa.list_(pa.struct([("item_id", of), ("score", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
 
-    @F.arrow_udf(HITS)
+    @F.arrow_udf(f"array<struct<item_id: {id_type.simpleString()}, score: double, first_word: bigint, n_words: bigint>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array([shared.value.hits(t.as_py()) for t in texts], kind)
@@ -234,6 +240,17 @@ def _hits_udf(shared):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """A row for each document and test item that is in it: doc_id, item_id, score, first_word, n_words."""
-    return docs.select("doc_id", F.explode(contamination(docs, benchmark)).alias("h")).select("doc_id", "h.*")
+    every, id_type = None, _id_type(benchmark)
+    for slices in _slices(benchmark):
+        hits = docs.select("doc_id", F.explode(_found(docs, slices, id_type, text_col)).alias("h")).select("doc_id", "h.*")
+        every = hits if every is None else every.unionByName(landed(hits, "hits"))
+    return every
+
+
+def without_test_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents that hold no test item. Beyond ``AT_ONCE`` slices what is left is landed after each pass."""
+    for k, slices in enumerate(_slices(benchmark)):
+        docs = (landed(docs, "clean") if k else docs).where(F.size(_found(docs, slices, _id_type(benchmark), text_col)) == 0)
+    return docs
