@@ -35,10 +35,14 @@ class Workspace:
         return self
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written under a name and read back, as :func:`landed` does."""
+        """``df`` written under a name and read back, as :func:`landed` does.
+
+        These are many small files of hashes and numbers: zstd would make them little smaller, and its contexts, one a
+        column and file, are memory outside the heap until they are collected.
+        """
         self.n += 1
         path = f"{self.path}/{self.n}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "snappy").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __exit__(self, *_) -> None:
