@@ -127,63 +127,84 @@ def workspace_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- items and references ----------------------------------------------------------------
 
+_RAW_TYPE = (
+    "CASE left(o_orderpriority, 1) "
+    "WHEN '1' THEN CASE WHEN o_orderkey % 4 = 1 THEN 'Dataset' ELSE 'SemanticModel' END "
+    "WHEN '2' THEN 'Dataflow' WHEN '3' THEN 'Pipeline' "
+    "WHEN '4' THEN CASE WHEN o_orderstatus = 'F' THEN 'Lakehouse' ELSE 'Notebook' END "
+    "ELSE CASE WHEN o_orderkey % 6 <> 5 THEN 'Report' END END"
+)
+_KIND = f"{X.lower_or_unknown(_RAW_TYPE)} AS kind"
+_READS = "left(o_orderpriority, 1) <> '5'"
+#: What an item is told from: short columns, which joins move instead of the texts made of them.
+_ITEM_SOURCE = ["o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+_ITEM_RAW = [
+    "concat('it-', o_orderkey) AS id", "concat('item ', o_orderkey) AS name",
+    f"{_RAW_TYPE} AS type",
+    "CASE o_orderkey % 3 WHEN 2 THEN concat('u', o_orderkey % 50) WHEN 1 THEN '' END AS createdBy",
+    "concat('cfg', o_orderkey % 20) AS configuredBy", "concat('m', o_orderkey % 30) AS modifiedBy",
+    "CASE WHEN o_orderstatus <> 'P' THEN date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END "
+    "AS modifiedDateTime",
+    "CASE WHEN o_orderkey % 2 = 0 THEN '2' END AS generation",
+    "named_struct('generation', CASE WHEN o_orderkey % 4 = 1 THEN '1' END) AS properties",
+]
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with raw payload fields; ``kind`` is the lower-case type, ``reads`` tells
     whether the kind has references at all."""
-    raw_type = (
-        "CASE left(o_orderpriority, 1) "
-        "WHEN '1' THEN CASE WHEN o_orderkey % 4 = 1 THEN 'Dataset' ELSE 'SemanticModel' END "
-        "WHEN '2' THEN 'Dataflow' WHEN '3' THEN 'Pipeline' "
-        "WHEN '4' THEN CASE WHEN o_orderstatus = 'F' THEN 'Lakehouse' ELSE 'Notebook' END "
-        "ELSE CASE WHEN o_orderkey % 6 <> 5 THEN 'Report' END END"
-    )
     return table(spark, sf_dir, "orders").selectExpr(
-        "o_custkey AS custkey", "o_orderkey AS orderkey", "o_orderdate AS item_date",
-        "concat('it-', o_orderkey) AS id", "concat('item ', o_orderkey) AS name",
-        f"{raw_type} AS type", f"{X.lower_or_unknown(raw_type)} AS kind",
-        "left(o_orderpriority, 1) <> '5' AS reads",
-        "CASE o_orderkey % 3 WHEN 2 THEN concat('u', o_orderkey % 50) WHEN 1 THEN '' END AS createdBy",
-        "concat('cfg', o_orderkey % 20) AS configuredBy", "concat('m', o_orderkey % 30) AS modifiedBy",
-        "CASE WHEN o_orderstatus <> 'P' THEN date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END "
-        "AS modifiedDateTime",
-        "CASE WHEN o_orderkey % 2 = 0 THEN '2' END AS generation",
-        "named_struct('generation', CASE WHEN o_orderkey % 4 = 1 THEN '1' END) AS properties",
+        "o_custkey AS custkey", "o_orderkey AS orderkey", "o_orderdate AS item_date", _KIND, f"{_READS} AS reads", *_ITEM_RAW
     )
 
 
-def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reference struct per line item, keyed by order."""
-    names = ", ".join("NULL" if c is None else f"'{c}'" for c in CONNECTORS)
+_NAMES = ", ".join("NULL" if c is None else f"'{c}'" for c in CONNECTORS)
+#: What a reference is told from, and its fields told from that.
+_REF_SOURCE = ["l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "p_size", "brand"]
+_REF_FIELDS = [
+    f"element_at(array({_NAMES}), brand) AS con", "concat('Provider', brand % 3) AS provider",
+    "CASE l_suppkey % 4 WHEN 0 THEN concat('srv', l_suppkey % 10, '.database.windows.net') "
+    "WHEN 1 THEN concat('onelake', l_suppkey % 10, '.windows.net') "
+    "WHEN 2 THEN concat('host', l_suppkey % 10, '.corp.local') ELSE '' END AS server",
+    "CASE WHEN l_suppkey % 4 <> 3 THEN 'ignored' "
+    "WHEN l_suppkey % 8 = 3 THEN concat('gw', l_suppkey % 10, '.snowflakecomputing.com') END AS host",
+    "CASE WHEN p_size % 5 <> 0 THEN concat('db', p_size % 5) END AS db1",
+    "CASE WHEN p_size % 10 = 0 THEN 'legacy' END AS db2",
+    "CASE WHEN l_linenumber % 4 <> 0 THEN concat('https://h', l_suppkey % 10, "
+    "CASE WHEN l_suppkey % 6 = 5 THEN '.azure.com/' ELSE '.example/' END, l_partkey % 5) END AS url",
+    "concat('/p/', l_partkey % 5) AS other",
+    "CASE l_returnflag WHEN 'A' THEN parse_json('\"gw-1\"') WHEN 'R' THEN parse_json('\"\"') END AS gateway",
+    "CASE WHEN l_linenumber % 3 = 1 THEN "
+    "CASE WHEN l_linestatus = 'O' THEN parse_json('true') ELSE parse_json('false') END WHEN l_linenumber % 3 = 2 THEN "
+    "CASE WHEN l_returnflag = 'R' THEN parse_json('null') ELSE parse_json('true') END END AS isCloud",
+]
+_REF = (
+    "named_struct('gatewayId', gateway, 'connectionDetails', named_struct('datasourceType', con, 'server', server, "
+    "'host', host, 'database', db1, 'db', db2), 'type', con, 'provider', provider, 'url', url, 'path', other, "
+    "'endpoint', other, 'isCloud', isCloud, 'linkedService', CASE WHEN line % 5 <> 0 THEN named_struct('type', con, "
+    "'url', url, 'endpoint', other, 'gatewayId', gateway) END) AS ref"
+)
+
+
+def _reference_source(spark: SparkSession, sf_dir: str, keep: list[str]) -> DataFrame:
+    """``orderkey``, ``keep`` and what the references are told from, by line item."""
     # The position in the scan tells copies of a row apart when a document is split.
     line = table(spark, sf_dir, "lineitem").selectExpr("*", "monotonically_increasing_id() AS _at")
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS l_partkey", "p_size", "CAST(regexp_extract(p_brand, r'([0-9]+)$', 1) AS int) AS brand",
     )
-    fields = line.join(part, "l_partkey").selectExpr(
-        "l_orderkey AS orderkey", "l_shipdate AS ship_date", "l_linenumber AS line", "_at",
-        f"element_at(array({names}), brand) AS con", "concat('Provider', brand % 3) AS provider",
-        "CASE l_suppkey % 4 WHEN 0 THEN concat('srv', l_suppkey % 10, '.database.windows.net') "
-        "WHEN 1 THEN concat('onelake', l_suppkey % 10, '.windows.net') "
-        "WHEN 2 THEN concat('host', l_suppkey % 10, '.corp.local') ELSE '' END AS server",
-        "CASE WHEN l_suppkey % 4 <> 3 THEN 'ignored' "
-        "WHEN l_suppkey % 8 = 3 THEN concat('gw', l_suppkey % 10, '.snowflakecomputing.com') END AS host",
-        "CASE WHEN p_size % 5 <> 0 THEN concat('db', p_size % 5) END AS db1",
-        "CASE WHEN p_size % 10 = 0 THEN 'legacy' END AS db2",
-        "CASE WHEN l_linenumber % 4 <> 0 THEN concat('https://h', l_suppkey % 10, "
-        "CASE WHEN l_suppkey % 6 = 5 THEN '.azure.com/' ELSE '.example/' END, l_partkey % 5) END AS url",
-        "concat('/p/', l_partkey % 5) AS other",
-        "CASE l_returnflag WHEN 'A' THEN parse_json('\"gw-1\"') WHEN 'R' THEN parse_json('\"\"') END AS gateway",
-        "CASE WHEN l_linenumber % 3 = 1 THEN "
-        "CASE WHEN l_linestatus = 'O' THEN parse_json('true') ELSE parse_json('false') END WHEN l_linenumber % 3 = 2 THEN "
-        "CASE WHEN l_returnflag = 'R' THEN parse_json('null') ELSE parse_json('true') END END AS isCloud",
-    )
-    return fields.selectExpr(
-        "orderkey", "ship_date", "line", "_at",
-        "named_struct('gatewayId', gateway, 'connectionDetails', named_struct('datasourceType', con, 'server', server, "
-        "'host', host, 'database', db1, 'db', db2), 'type', con, 'provider', provider, 'url', url, 'path', other, "
-        "'endpoint', other, 'isCloud', isCloud, 'linkedService', CASE WHEN line % 5 <> 0 THEN named_struct('type', con, "
-        "'url', url, 'endpoint', other, 'gatewayId', gateway) END) AS ref",
-    )
+    return line.join(part, "l_partkey").selectExpr("l_orderkey AS orderkey", *keep, *_REF_SOURCE)
+
+
+def _with_reference(rows: DataFrame) -> DataFrame:
+    """The ``line`` and ``ref`` struct in place of what they are told from."""
+    rest = [c for c in rows.columns if c not in _REF_SOURCE]
+    return rows.selectExpr(*rest, "l_linenumber AS line", *_REF_FIELDS).selectExpr(*rest, "line", _REF)
+
+
+def references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One reference struct per line item, keyed by order."""
+    return _with_reference(_reference_source(spark, sf_dir, ["l_shipdate AS ship_date", "_at"]))
 
 
 # Item columns of the connection row, from raw item fields.
@@ -207,22 +228,28 @@ def connections(
             df = df.filter(F.col(column) >= stamp(since))
         return df.filter(F.col(column) < stamp(until)) if until else df
 
-    its = items(spark, sf_dir)
-    if name_suffix:
-        its = its.withColumn("name", F.concat("name", F.lit(name_suffix)))
-    refs = bounded(references(spark, sf_dir), "ship_date").select("orderkey", "ref")
-    with_refs = its.filter("reads").join(refs, "orderkey").selectExpr("custkey", *_ITEM, "ref")
-    placeholders = bounded(its.filter("NOT reads"), "item_date").selectExpr(
-        "custkey", *_ITEM, f"{FL.EMPTY_REFERENCE} AS ref"
+    # Joins move keys and the short columns that texts are told from; the texts are made behind the last join. That one is
+    # by the workspace's id, which the connection key begins with: rows are dealt as merging needs them and are not dealt again.
+    # The number of tasks is given because rows grow behind the join, which packing small partitions together ignores.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS orderkey", *_ITEM_SOURCE)
+    refs = bounded(_reference_source(spark, sf_dir, ["l_shipdate"]), "l_shipdate").drop("l_shipdate")
+    with_refs = orders.filter(_READS).join(refs, "orderkey").withColumn("_read", F.lit(True))
+    placeholders = bounded(orders.filter(f"NOT {_READS}"), "o_orderdate").withColumn("_read", F.lit(False))
+    source = with_refs.unionByName(placeholders, allowMissingColumns=True).drop("orderkey")
+    keyed = source.withColumn("workspace_id", F.expr("concat('ws-', o_custkey)")).repartition(tasks, "workspace_id")
+    rows = keyed.join(workspace_meta(spark, sf_dir).drop("custkey"), "workspace_id")
+    suffix = f"concat(name, {X.quoted(name_suffix)})" if name_suffix else "name"
+    meta = [c for c in rows.columns if c in FL.META]
+    shaped = _with_reference(rows.selectExpr(*meta, "_read", _KIND, *_ITEM_RAW, *_REF_SOURCE)).selectExpr(
+        *meta, *[c.replace("name AS", f"{suffix} AS") if c == "name AS item_name" else c for c in _ITEM],
+        f"CASE WHEN _read THEN ref ELSE {FL.EMPTY_REFERENCE} END AS ref",
     )
-    rows = with_refs.unionByName(placeholders).join(workspace_meta(spark, sf_dir), "custkey")
-    return FL.connection_rows(rows)
+    return FL.connection_rows(shaped)
 
 
 # --- payload documents ---------------------------------------------------------------------
 
-_NO_REF = f"CAST(NULL AS struct<line:int,ref:{REFERENCE_DDL}>)"
-
 _OTHER = f"NOT ({FL.SEMANTIC} OR {FL.DATAFLOW} OR {FL.ACTIVITY} OR {FL.REFERENCE})"
 
 # Only the reference fields a kind spells out, so the text stays small.
@@ -260,31 +287,37 @@ _SIDE = (
 
 def payload_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc, part, payload)``: about a hundred workspaces each, with their sidecar."""
-    item = f"struct(orderkey, kind, {', '.join(_ITEM_FIELDS)})"
-    its = items(spark, sf_dir).selectExpr(
-        "custkey div 100 AS doc", "custkey", "orderkey", "kind", f"{item} AS item"
-    )
-    refs = references(spark, sf_dir).drop("ship_date")
-    lines = its.join(refs, "orderkey").selectExpr(
-        "doc", f"CAST(pmod(CASE WHEN {_OTHER} THEN xxhash64(orderkey) ELSE xxhash64(_at) END, {FRAGMENTS}) AS int) AS part", "custkey", "item",
-        f"named_struct('line', line, 'ref', {_SLIM}) AS r",
+    # As in connections, joins and the shuffle move keys and short columns; items and references are made behind them.
+    part = f"CAST(pmod({{}}, {FRAGMENTS}) AS int) AS part"
+    whole = "xxhash64(o_orderkey)"
+    source = [c for c in _ITEM_SOURCE if c != "o_custkey"]
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS orderkey", "o_custkey AS custkey", "o_custkey div 100 AS doc", *source)
+    refs = _reference_source(spark, sf_dir, [f"CAST(pmod(xxhash64(_at), {FRAGMENTS}) AS tinyint) AS _dealt"])
+    lines = orders.join(refs, "orderkey").selectExpr("*", _KIND).selectExpr(
+        "doc", part.format(f"CASE WHEN {_OTHER} THEN {whole} ELSE _dealt END"), "custkey", *source, *_REF_SOURCE, "'line' AS _row"
     )
     # Every item once without a reference, so that items lacking any still appear. Items of other
     # kinds give one row each, so theirs stay together.
-    bare = its.selectExpr(
-        "doc", f"CAST(pmod(xxhash64(orderkey), {FRAGMENTS}) AS int) AS part", "custkey", "item", f"{_NO_REF} AS r"
-    )
+    bare = orders.selectExpr("doc", part.format(whole), "custkey", *source, "'item' AS _row")
     heads = (
         workspaces_with_users(spark, sf_dir).selectExpr(
-            "custkey div 100 AS doc", f"explode(sequence(0, {FRAGMENTS - 1})) AS part", "custkey", f"{_NO_REF} AS r",
+            "custkey div 100 AS doc", f"explode(sequence(0, {FRAGMENTS - 1})) AS part", "custkey", "'workspace' AS _row",
             "struct(id, name, type, capacityId, capacityName, isOnDedicatedCapacity, users) AS head",
         )
     )
-    rows = lines.unionByName(bare).unionByName(heads, allowMissingColumns=True)
+    rows = lines.unionByName(bare, allowMissingColumns=True).unionByName(heads, allowMissingColumns=True)
     # One shuffle serves all three levels of nesting. The number is given because small
     # documents would otherwise be packed into few tasks, although writing JSON is the cost.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    per_item = rows.repartition(tasks, "doc", "part").groupBy("doc", "part", "custkey", "item").agg(
+    dealt = rows.repartition(tasks, "doc", "part").selectExpr(
+        "doc", "part", "custkey", "_row", "head", "o_orderkey AS orderkey", _KIND, *_ITEM_RAW, *_REF_SOURCE
+    )
+    made = _with_reference(dealt).selectExpr(
+        "doc", "part", "custkey", "head",
+        f"CASE WHEN _row <> 'workspace' THEN struct(orderkey, kind, {', '.join(_ITEM_FIELDS)}) END AS item",
+        f"CASE WHEN _row = 'line' THEN named_struct('line', line, 'ref', {_SLIM}) END AS r",
+    )
+    per_item = made.groupBy("doc", "part", "custkey", "item").agg(
         F.expr("collect_list(r) AS refs"), F.expr("first(head, true) AS head")
     )
     built = per_item.selectExpr("doc", "part", "custkey", "head", "item", "refs", "item.kind", "item.orderkey").selectExpr(

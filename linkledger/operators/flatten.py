@@ -14,7 +14,7 @@ from linkledger.functions import fixed_values as V
 from linkledger.functions import scalars as X
 from linkledger.schemas import CONNECTION_COLUMNS, REFERENCE_DDL
 
-_META = [
+META = [
     "workspace_id", "workspace_name", "workspace_kind", "workspace_users",
     "capacity_id", "capacity_name", "is_dedicated_capacity",
 ]
@@ -98,10 +98,10 @@ def _with_sidecar(rows: DataFrame, sidecar: DataFrame) -> DataFrame:
 def explode_items(workspaces: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per item: common metadata, ``kind`` and the uniform ``refs`` array."""
     return (
-        workspaces.selectExpr(*_META, *carry, "explode(items) AS item")
+        workspaces.selectExpr(*META, *carry, "explode(items) AS item")
         .filter("item IS NOT NULL")
-        .selectExpr(*_META, *carry, "item", f"{X.lower_or_unknown('item.type')} AS kind")
-        .selectExpr(*_META, *carry, *_item_columns())
+        .selectExpr(*META, *carry, "item", f"{X.lower_or_unknown('item.type')} AS kind")
+        .selectExpr(*META, *carry, *_item_columns())
     )
 
 
@@ -153,7 +153,7 @@ def connection_rows(refs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         f"WHEN {ACTIVITY} THEN 'Pipeline' ELSE {X.upper_first('kind')} END"
     )
     shaped = refs.selectExpr(
-        *carry, *_META, "item_id", "item_name", f"{item_type} AS item_type",
+        *carry, *META, "item_id", "item_name", f"{item_type} AS item_type",
         "item_creator", "item_modified_by", "item_modified_date", "generation",
         f"{X.lower_or_unknown(named)} AS connector",
         f"CASE WHEN {SEMANTIC} THEN {X.first_filled(f'{details}.server', f'{details}.host')} END AS server",
