@@ -34,11 +34,10 @@ def history(rows: DataFrame, seen: DataFrame) -> DataFrame:
     ``rows`` are connections with their ``scan``, ``seen`` has every ``workspace_id`` and ``scan`` that looked at it, also
     without finding anything. A connection's observations are one window: as many rows as its workspace has scans.
     """
-    per_workspace = W.partitionBy("workspace_id").orderBy("scan")
-    scans = seen.select("workspace_id", "scan").distinct().select(
-        "workspace_id", "scan", F.row_number().over(per_workspace).alias("_seq"), F.lead("scan").over(per_workspace).alias("_next")
-    )
-    found = _one_per_scan(rows).join(scans, ["workspace_id", "scan"])
+    # Each step is by the workspace or by keys that begin with it, so rows dealt by workspace once stay where they are.
+    scans = seen.groupBy("workspace_id").agg(F.expr("array_sort(collect_set(scan)) AS _scans"))
+    found = _one_per_scan(M.dealt(rows)).join(scans, "workspace_id").withColumn("_seq", F.expr("array_position(_scans, scan)"))
+    found = found.filter("_seq > 0").withColumn("_next", F.expr("get(_scans, CAST(_seq AS int))")).drop("_scans")
     of_key = W.partitionBy(*CONNECTION_KEY).orderBy("_seq")
     goes_on = F.lag("_seq").over(of_key).eqNullSafe(F.col("_seq") - 1) & F.lag("_kept").over(of_key).eqNullSafe(F.col("_kept"))
     runs = found.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(of_key))
@@ -54,9 +53,9 @@ def extend(open_intervals: DataFrame, rows: DataFrame, scanned: DataFrame, scan:
     Needs no earlier scan and no closed interval: open intervals and the scan's rows meet in one aggregation on the key.
     ``scanned`` holds the workspaces the scan looked at. The same scan again changes nothing.
     """
-    known = open_intervals.selectExpr(*CONNECTION_KEY, f"{_ATTRIBUTES} AS _kept", "valid_from", "0 AS _side")
+    known = M.dealt(open_intervals).selectExpr(*CONNECTION_KEY, f"{_ATTRIBUTES} AS _kept", "valid_from", "0 AS _side")
     looked = scanned.select("workspace_id").distinct().withColumn("_looked", F.lit(True))
-    fresh = _one_per_scan(rows.withColumn("scan", F.lit(scan))).join(looked, "workspace_id", "left_semi")
+    fresh = _one_per_scan(M.dealt(rows).withColumn("scan", F.lit(scan))).join(looked, "workspace_id", "left_semi")
     both = known.unionByName(fresh.select(*CONNECTION_KEY, "_kept", F.lit(scan).alias("valid_from"), F.lit(1).alias("_side")))
     met = both.groupBy(*CONNECTION_KEY).agg(
         F.expr("max(CASE WHEN _side = 0 THEN struct(_kept, valid_from) END) AS _old"),

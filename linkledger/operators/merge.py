@@ -7,6 +7,9 @@ at most one row per task, and nulls in the key compare equal as grouping defines
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,35 @@ def _survivors(rows: DataFrame, order: list[str]) -> DataFrame:
     return kept.selectExpr(*[c if c in CONNECTION_KEY else f"_kept.{c} AS {c}" for c in columns if c != "_rank"])
 
 
+#: Rows of a workspace from which on they are dealt by the whole key.
+HOT = 1_000_000
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt to tasks by workspace, which the connection key begins with: aggregating by the key needs no other shuffle.
+
+    Rows of a workspace repeat its texts, so they compress several times better side by side than dealt by the whole key. The
+    number of tasks is given, as packing tasks by compressed size would make them larger than they can sort in memory.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "workspace_id")
+
+
+def by_workspace(operate: Callable[..., DataFrame], *stored: DataFrame) -> DataFrame:
+    """``operate`` on stored rows dealt by workspace; those of workspaces with more than ``HOT`` rows apart, not dealt.
+
+    Workspaces are counted first, so ``stored`` is to be what can be read again cheaply. No more of them are told to the driver than
+    there are millions of rows.
+    """
+    ids = reduce(DataFrame.unionByName, [rows.select("workspace_id") for rows in stored])
+    many = ids.groupBy("workspace_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT)
+    found = many.collect()
+    if not found:
+        return operate(*[dealt(rows) for rows in stored])
+    hot = reduce(lambda a, b: a | b, [F.col("workspace_id").eqNullSafe(r[0]) for r in found])
+    cold = operate(*[dealt(rows.filter(~hot)) for rows in stored])
+    return cold.unionByName(operate(*[rows.filter(hot) for rows in stored]))
+
+
 def dedup(rows: DataFrame) -> DataFrame:
     """One row per connection key.
 
