@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkledger.functions import fixed_values as V
+from linkledger.operators import merge as M
 from linkledger.schemas import CONNECTION_KEY
 
 
@@ -114,10 +115,11 @@ def workspace_inventory(inv: DataFrame, include_personal: bool = False) -> DataF
 
 
 def distinct_connections(inv: DataFrame) -> DataFrame:
-    return inv.select(
+    rows = inv.select(
         *CONNECTION_KEY, "workspace_name", "workspace_kind", "workspace_users", "item_name", "item_type",
         "item_creator", "item_modified_by", "item_modified_date", "target", "connection_scope", "cloud", "generation",
-    ).distinct()
+    )
+    return M.by_workspace(DataFrame.distinct, rows)
 
 
 def production_only(workspaces: DataFrame) -> DataFrame:
