@@ -14,14 +14,14 @@ from linkledger.sinks.scratch import scratch_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
+def landed(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once under the shared folder and read back; cuts the lineage.
 
     A lost executor repeats only the tasks of one side, and rows that later steps read
     several times (or give numbers to) are the same rows each time.
     """
     path = scratch_dir(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -50,6 +50,17 @@ class Workspace:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key``, a row number, is in ``ids``; they stay where they are, however wide.
+
+    Numbers are broadcast as the bits of 64-bit words, less than a byte a row where they follow each other.
+    """
+    word, bits = unused(rows, "word"), unused(rows, "bits")
+    words = ids.groupBy(F.expr(f"{key} div 64").alias(word)).agg(F.expr(f"bit_or(shiftleft(1L, CAST({key} % 64 AS int)))").alias(bits))
+    there = rows.join(F.broadcast(words), F.expr(f"{key} div 64") == F.col(word))
+    return there.where(F.expr(f"getbit({bits}, CAST({key} % 64 AS int)) = 1")).drop(word, bits)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z in lower case, every other character as it is; null counts as empty."""
     return F.translate(F.coalesce(col, F.lit("")), UPPER, UPPER.lower())
