@@ -138,8 +138,8 @@ def _segments(path: str, end: int, cache: int):
                     doc_ids, lengths, held, tokens = [], [], [], 0
         if held:
             yield segment()
-        if cache < CACHE:  # short of memory: nothing is left to the worker's next task
-            _WORKER.clear()
+        if cache < CACHE:  # short of memory: no pieces are left to the worker's next task; the library is, as another one for every task adds up
+            _WORKER[(path, cache)].known.forget()
 
     return run
 
