@@ -1,16 +1,21 @@
 """Working folders and versions are dense, rows that are landed aren't landed again, digests don't travel."""
 
 import glob
+import json
 import os
 
 import pyarrow.parquet as pq
 
+from linkledger.operators import flatten as FL
 from linkledger.operators import merge as M
+from linkledger.operators import sidecar as SC
 from linkledger.plans import jobs as J
 from linkledger.schemas import CONNECTION_SCHEMA
 from linkledger.sinks import tables as TB
 from linkledger.sinks import versions as V
+from linkledger.sources import payloads as P
 from linkledger.sources.inventory import read_inventory
+from linkledger.streaming import ingest as ST
 
 
 def rows_of(spark, *keys):
@@ -60,3 +65,44 @@ def test_version_rows_travel_without_their_digest(spark, tmp_path):
     V.merge_version(rows_of(spark, ("a", "1"), (None, "1"), ("c", "9")), base)
     found = sorted(((r.workspace_id, r.item_id) for r in V.read_version(spark, base).collect()), key=repr)
     assert found == sorted([("a", "1"), (None, "1"), ("b", None), ("c", "9")], key=repr)
+
+
+def test_documents_are_landed_by_item(spark, tmp_path, monkeypatch):
+    """No landed row has more than an item, however large its document: readers of columns take thousands of rows at once."""
+    os.makedirs(f"{tmp_path}/raw/scan_date=2024-01-30")
+    items = [{"id": f"i{k}", "type": "Report"} for k in range(50)]
+    with open(f"{tmp_path}/raw/scan_date=2024-01-30/a.json", "w") as f:
+        json.dump({"workspaces": [{"id": "w", "items": items}, {"id": "empty"}]}, f)
+    monkeypatch.setattr(J.S, "delete", lambda *_: None)
+    folders, plain = [], J.scratch_dir
+    for module in (J, ST):
+        monkeypatch.setattr(module, "scratch_dir", lambda *a: folders.append(plain(*a)) or folders[-1])
+    J.scan_directory(spark, f"{tmp_path}/raw", f"{tmp_path}/inv")
+    ST.stage_increments(ST.read_payload_stream(spark, f"{tmp_path}/raw"), f"{tmp_path}/inc", f"{tmp_path}/cp")
+    for path in (f"{folders[0]}/parsed", folders[1]):
+        sizes = "aggregate(payload.workspaces, 0, (n, w) -> n + greatest(size(w.items), 0))"
+        assert sorted(r[0] for r in spark.read.parquet(path).selectExpr(f"{sizes} AS n").collect()) == [0] + [1] * 50
+    assert read_inventory(spark, f"{tmp_path}/inv").count() == 50
+
+
+def test_pieces_give_what_whole_documents_give(spark):
+    """Rejects, connections, workspaces, sidecars and one head a document, with nulls and things of the wrong kind."""
+    item = {"id": "b", "type": "Dataset", "datasources": [{"connectionDetails": {"server": "s"}}, {"gatewayId": "g"}]}
+    users = [{"emailAddress": "a@b", "workspaceUserAccessRight": "Admin"}]
+    one = {"workspaces": [{"id": "w1", "name": "n", "users": users, "items": [{"id": "a", "type": "Report"}, item, 3]}, {"id": "w2"}, {"id": "w3", "items": []},
+                          {"id": None, "items": [item]}, 5], "workspace_sidecar": {"w1": {"name": "N", "users": "x"}, "w2": {"kind": None}}}
+    texts = [json.dumps(one), json.dumps([one, 7, {"workspaces": None}, one]), "{bad", "[]", "7", "", None, "{} {}", '{"workspaces":[]}', json.dumps([one])[:-9]]
+    texts += [json.dumps({"workspaces": [{"id": "w", "items": [{"id": "b", "type": "Dataset", "datasources": [{"connectionDetails": "oops"}, {"gatewayId": {"x": 1}}]}]}]})]
+    docs = spark.createDataFrame([(f"p{i}", "s", t) for i, t in enumerate(texts)], "path string, scan string, text string")
+    parsed = P.parse_documents(docs)
+    pieces = P.pieces_of(parsed)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString().count("from_json") for d in (parsed, pieces)]
+    assert plans[0] == plans[1]  # nothing is parsed again
+    keys = ("path", "scan", "position")
+    for of in (
+        P.rejects_of, lambda d: FL.flatten_payloads(P.roots_of(d), carry=keys), lambda d: FL.explode_workspaces(P.roots_of(d), keys).drop("items").distinct(),
+        lambda d: SC.build_sidecar(SC.payload_workspaces(P.roots_of(d)), "by_id"), lambda d: SC.build_sidecar(SC.payload_workspaces(P.roots_of(d))), P.repeats,
+        lambda d: (d.filter("head") if "head" in d.columns else d).select("path", "scan", "digest"),
+    ):
+        old, new = (sorted(map(repr, of(d).collect())) for d in (parsed, pieces))
+        assert old == new
