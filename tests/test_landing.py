@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import time
 
 import pyarrow.parquet as pq
 
@@ -106,3 +107,27 @@ def test_pieces_give_what_whole_documents_give(spark):
     ):
         old, new = (sorted(map(repr, of(d).collect())) for d in (parsed, pieces))
         assert old == new
+
+
+def test_versions_leave_no_shuffle_files(spark, tmp_path):
+    """Each version's shuffle files go once it is written; the session's setting stays what it was."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    before, base = files(), f"{tmp_path}/versions"
+    V.save_version(rows_of(spark, ("a", "1"), ("a", "1"), ("b", "2")), base, buckets=2)
+    V.merge_version(rows_of(spark, ("a", "1"), ("c", "9")), base)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and setting not in spark.conf.getAll
+    spark.conf.set(setting, "false")
+    try:
+        V.merge_version(rows_of(spark, ("d", "1")), base)
+        assert spark.conf.getAll[setting] == "false"
+    finally:
+        spark.conf.unset(setting)
+    assert V.read_version(spark, base).count() == 4
