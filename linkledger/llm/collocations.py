@@ -41,6 +41,8 @@ SCALE = 2_000_000
 #: Score bounds of the waves.
 WAVES = (50_000, 2_000, 0)
 SLOTS, BITS, BUCKET = 1 << 20, 1 << 26, 1 << 15
+#: Blocks in a file, and counts that a worker hands over at once: both stand in an executor's memory as a whole.
+PER_FILE, AT_ONCE = 2, 1 << 16
 #: Where pieces end, as text: fixed values.
 _ENDS = ".,;:!?\n\v\f\r"
 _TABLE = bytes.maketrans((UPPER + _ENDS + "\t").encode(), (UPPER.lower() + "." * len(_ENDS) + " ").encode())
@@ -94,7 +96,7 @@ def _split(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     seed = 0
     while True:
-        blocks = landed(texts.mapInArrow(_blocks(seed), _BLOCK), "word-blocks")
+        blocks = landed(texts.mapInArrow(_blocks(seed), _BLOCK), "word-blocks", per_file=PER_FILE)
         one = blocks.select(F.explode(F.arrays_zip("lang", "word", "hash", "n")).alias("x")).select("x.*")
         words = landed(one.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")), "words")
         if words.groupBy("hash").count().where("count > 1").isEmpty():
@@ -152,6 +154,12 @@ def _unique(tokens: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray,
     return at[first], n
 
 
+def _in_turn(*columns: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of one length, ``AT_ONCE`` rows after the other."""
+    for start in range(0, len(columns[0]), AT_ONCE):
+        yield tuple(c[start : start + AT_ONCE] for c in columns)
+
+
 def _scan(blocks: DataFrame, work, picks) -> DataFrame:
     """Counts of the phrases at the places that ``picks`` finds; it gets the broadcast ``work`` and a block, and gives (size, places)."""
 
@@ -165,9 +173,9 @@ def _scan(blocks: DataFrame, work, picks) -> DataFrame:
                 count, need = known["count"][slot], known["need"][slot]
                 count[0] = 0
                 for size, at in picks(known, tokens, hashes, count, need):
-                    at, n = _unique(tokens, at, size)
-                    columns = [hashes[tokens[at + i]].view(np.int64) if i < size else np.zeros(len(at), np.int64) for i in range(LONGEST)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n.astype(np.int64))], [*_KEYS, "n"])
+                    for at, n in _in_turn(*_unique(tokens, at, size)):
+                        columns = [hashes[tokens[at + i]].view(np.int64) if i < size else np.zeros(len(at), np.int64) for i in range(LONGEST)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n.astype(np.int64))], [*_KEYS, "n"])
 
     counts = blocks.select("hash", "tokens").mapInArrow(run, _COUNTS).groupBy(*_KEYS).agg(F.sum("n").alias("n"))
     return counts.where(F.col("n") >= LEAST)

@@ -14,14 +14,16 @@ from linkledger.sinks.scratch import scratch_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def landed(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def landed(df: DataFrame, name: str, compression: str = "zstd", per_file: int = 0) -> DataFrame:
     """``df`` written once under the shared folder and read back; cuts the lineage.
 
     A lost executor repeats only the tasks of one side, and rows that later steps read
-    several times (or give numbers to) are the same rows each time.
+    several times (or give numbers to) are the same rows each time. ``per_file`` bounds the rows of a file, for rows of
+    megabytes: readers of columns take all rows of a file at once, up to 4,096.
     """
     path = scratch_dir(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", compression).parquet(path)
+    writer = df.write.option("compression", compression)
+    (writer.option("maxRecordsPerFile", per_file) if per_file else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

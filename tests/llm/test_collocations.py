@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_data import SCHEMA
 
@@ -73,3 +74,23 @@ def test_phrases(some, top, waves):
 def test_all_phrases_of_mixed_documents(docs, rows, empty):
     assert made(collocations.phrases(docs)) == brute([(r[1], r[2]) for r in rows], 2000)
     assert made(collocations.phrases(empty)) == []
+
+
+def test_blocks_and_counts_come_in_bounded_pieces(spark):
+    """Of blocks, megabytes each, few are in a file, as all of a file are read at once; counts are handed over in turn."""
+    docs = spark.createDataFrame([("en", f"some words {i}") for i in range(9)], "lang string, text string").coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1")
+    try:
+        blocks, words = collocations._split(docs)
+    finally:
+        spark.conf.set(setting, before)
+    files = [r[0] for r in blocks.selectExpr("_metadata.file_path AS f").groupBy("f").count().select("count").collect()]
+    assert sum(files) == 9 and max(files) <= collocations.PER_FILE
+    assert words.where("word = 'some'").first().n == 9
+    n = collocations.AT_ONCE + 5
+    a, b = np.arange(n), np.arange(n) * 2
+    parts = list(collocations._in_turn(a, b))
+    assert [len(x) for x, _ in parts] == [n - 5, 5] and (np.concatenate([y for _, y in parts]) == b).all()
+    assert not list(collocations._in_turn(a[:0], b[:0]))
